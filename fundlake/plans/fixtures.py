@@ -208,3 +208,116 @@ def events_arrivals(spark: SparkSession, sf_dir: str) -> str:
           .repartition("event_type").write.option("header", "true").csv(f"{path}/staging"))
         return path
     return _cached(spark, sf_dir, "events_arrivals", render)
+
+
+# --- statements: one text file per supplier, one page per return flag ------
+def _fmt_amount(v: Column) -> Column:
+    return F.when(v < 0, F.concat(F.lit("("), F.format_number(-v, 0), F.lit(")"))).otherwise(F.format_number(v, 0))
+
+
+def statement_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item with the printed fields of its holding line."""
+    li = table(spark, sf_dir, "lineitem")
+    p = table(spark, sf_dir, "part")
+    s = table(spark, sf_dir, "supplier")
+    due = F.date_format("l_shipdate", "yyyy/MM/dd")
+    desc = F.concat(F.col("p_name"), F.lit(" "), F.col("p_brand"), F.lit(", lot "),
+                    F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"),
+                    F.lit(", "), F.lower("p_type"), F.lit(" grade, due "), due)
+    mv = F.round(F.col("l_extendedprice").cast("decimal(15,2)") * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 0)
+    mv = F.when(F.col("l_linenumber") == 7, -mv).otherwise(mv).cast("long")
+    return (li.join(p, li["l_partkey"] == p["p_partkey"]).join(s, li["l_suppkey"] == s["s_suppkey"])
+            .select(F.col("s_suppkey").alias("doc"), F.col("s_name").alias("fund"),
+                    F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+                    F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_shipdate"), desc.alias("desc"),
+                    F.when(F.col("l_linenumber") % 2 == 1, "CAD").otherwise("USD").alias("ccy"),
+                    F.col("l_quantity").cast("long").alias("units"),
+                    F.round(F.col("l_extendedprice").cast("decimal(15,2)"), 0).cast("long").alias("cost"),
+                    mv.alias("mv")))
+
+
+def statements_text(spark: SparkSession, sf_dir: str) -> str:
+    def render(path):
+        it = statement_items(spark, sf_dir)
+        def keyed(df, g, st, k, o, n, sub, line):
+            return df.select("doc", "flag", F.struct(F.lit(g).cast("int").alias("g"), st.cast("string").alias("st"),
+                                                     F.lit(k).cast("int").alias("k"), o.cast("long").alias("o"),
+                                                     n.cast("int").alias("n"), sub.cast("int").alias("sub")).alias("key"),
+                             line.alias("line"))
+        z, e = F.lit(0), F.lit("")
+        docs = it.groupBy("doc", "fund").agg(F.max("l_shipdate").alias("d"), F.max("flag").alias("last_flag"),
+                                            F.sum("cost").alias("cost"), F.sum("mv").alias("mv"),
+                                            F.sum("units").alias("cash"))
+        pages = it.select("doc", "flag").distinct().join(docs, "doc")
+        first_flag = it.groupBy("doc").agg(F.min("flag").alias("first_flag"))
+        pages = pages.join(first_flag, "doc")
+        sched = F.when(F.col("flag") == F.col("first_flag"), F.lit("Schedule of Investment Portfolio")) \
+                 .otherwise(F.lit("Schedule of Investment Portfolio (cont’d)"))
+        header = [F.col("fund"), sched, F.date_format("d", "MMMM d, yyyy"), F.lit("Issue"), F.lit("currency"),
+                  F.lit("Number of units"), F.lit("Cost"), F.lit("Fair value")]
+        parts = [keyed(pages, 0, e, 0, z, z, F.lit(i), h) for i, h in enumerate(header)]
+        parts.append(keyed(pages, 1, e, 0, z, z, z, F.concat(F.lit("Flag "), F.col("flag"), F.lit(" items:"))))
+        groups = it.groupBy("doc", "flag", "status").agg(F.sum("cost").alias("c"), F.sum("mv").alias("m"))
+        parts.append(keyed(groups, 2, F.col("status"), 0, z, z, z,
+                           F.concat(F.lit("Line status "), F.col("status"), F.lit(" (weights in %):"))))
+        parts.append(keyed(groups, 2, F.col("status"), 2, z, z, z,
+                           F.concat_ws(" ", _fmt_amount(F.col("c")), _fmt_amount(F.col("m")))))
+        amounts = F.concat_ws(" ", F.col("ccy"), F.format_number(F.col("units"), 0),
+                              _fmt_amount(F.col("cost")), _fmt_amount(F.col("mv")))
+        wrap = F.col("l_linenumber").isin(2, 5)
+        head = F.concat(F.substring_index("desc", ", ", 2), F.lit(","))
+        tail = F.expr("substring(desc, length(substring_index(desc, ', ', 2)) + 3)")
+        lines_of_item = F.when(wrap, F.array(head, tail, amounts)).otherwise(F.array(F.concat_ws(" ", "desc", amounts)))
+        # (order, line number) repeats in the driver data: a row id keeps items apart
+        items = it.select("doc", "flag", "status", F.monotonically_increasing_id().alias("item_id"),
+                          F.posexplode(lines_of_item).alias("sub", "line"))
+        parts.append(keyed(items, 2, F.col("status"), 1, F.col("item_id"), F.lit(0),
+                           F.col("sub"), F.col("line")))
+        flags = it.groupBy("doc", "flag").agg(F.sum("cost").alias("c"), F.sum("mv").alias("m"))
+        parts.append(keyed(flags, 3, e, 0, z, z, z,
+                           F.concat_ws(" ", F.concat(F.lit("Total flag "), F.col("flag"), F.lit(" items")),
+                                       _fmt_amount(F.col("c")), _fmt_amount(F.col("m")))))
+        last = docs.select("doc", F.col("last_flag").alias("flag"), "cost", "mv", "cash")
+        parts.append(keyed(last, 4, e, 0, z, z, z, F.concat_ws(" ", F.lit("Total investments"),
+                                                               _fmt_amount(F.col("cost")), _fmt_amount(F.col("mv")))))
+        parts.append(keyed(last, 4, e, 1, z, z, z, F.concat_ws(" ", F.lit("Cash (Bank overdraft) (0.1%)"),
+                                                               _fmt_amount(F.col("cash")))))
+        parts.append(keyed(last, 4, e, 2, z, z, z, F.concat_ws(
+            " ", F.lit("Total net assets attributable to holders of redeemable units (100.0%)"),
+            _fmt_amount(F.col("mv") + F.col("cash")))))
+        lines = parts[0]
+        for p_ in parts[1:]:
+            lines = lines.unionByName(p_)
+        page_text = (lines.groupBy("doc", "flag")
+                     .agg(F.array_sort(F.collect_list(F.struct("key", "line"))).alias("ls"))
+                     .select("doc", "flag", F.concat_ws("\n", F.col("ls.line")).alias("page")))
+        doc_text = (page_text.groupBy("doc")
+                    .agg(F.array_sort(F.collect_list(F.struct("flag", "page"))).alias("ps"))
+                    .select(F.col("doc").alias("doc_id"), F.concat_ws("\f", F.col("ps.page")).alias("value")))
+        doc_text.write.partitionBy("doc_id").text(path)
+        return path
+    return _cached(spark, sf_dir, "statements_text", render)
+
+
+def statement_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracted-table layout: one table per supplier page (return flag):
+    a header row, one row per item (4 cells when the line number is 3, else
+    5), a one-cell note row and a total row; plus a header-only table."""
+    it = statement_items(spark, sf_dir)
+    cells = F.when(F.col("l_linenumber") == 3,
+                   F.array("desc", "ccy", F.col("units").cast("string"), F.col("cost").cast("string"))) \
+             .otherwise(F.array("desc", "ccy", F.col("units").cast("string"), F.col("cost").cast("string"),
+                                F.col("mv").cast("string")))
+    rows = it.select("doc", "flag", F.struct(F.lit(1).alias("k"), F.col("l_orderkey").alias("o"),
+                                             F.col("l_linenumber").alias("n"), cells.alias("cells")).alias("r"))
+    t = rows.groupBy("doc", "flag").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    header = F.array(F.lit("Issue"), F.lit("Currency"), F.lit("Units"), F.lit("Cost"), F.lit("Fair value"))
+    body = F.transform(F.col("rs"), lambda r: r["cells"])
+    full = F.concat(F.array(header), body, F.array(F.array(F.lit("see notes"))),
+                    F.array(F.array(F.concat(F.lit("Total flag "), F.col("flag")), F.lit(""), F.lit(""),
+                                    F.lit("0"), F.lit("0"))))
+    tables = t.select(F.col("doc").alias("doc_id"), F.lit(1).alias("page"),
+                      F.col("flag").alias("table_no"), full.alias("rows"))
+    lone = t.select(F.col("doc").alias("doc_id"), F.lit(1).alias("page"),
+                    F.concat(F.col("flag"), F.lit("-empty")).alias("table_no"), F.array(header).alias("rows"))
+    return tables.unionByName(lone)
