@@ -200,14 +200,14 @@ def lineitem_holdings(spark: SparkSession, sf_dir: str) -> str:
 
 # --- events arriving as several files ----------------------------------------
 def events_arrivals(spark: SparkSession, sf_dir: str) -> str:
-    """Events split by event type into separate files in one folder."""
-    def render(path):
-        e = table(spark, sf_dir, "events")
-        (e.select(_text(F.col("event_id")).alias("event_id"), _text(F.col("user_id")).alias("user_id"),
-                  "event_type", _text(F.col("value")).alias("value"), "props")
-          .repartition("event_type").write.option("header", "true").csv(f"{path}/staging"))
-        return path
-    return _cached(spark, sf_dir, "events_arrivals", render)
+    """Events split by event type into separate files of a fresh incoming
+    folder (not cached: a stream may archive the files it has loaded)."""
+    path = work_path(spark, "incoming-events")
+    e = table(spark, sf_dir, "events")
+    (e.select(_text(F.col("event_id")).alias("event_id"), _text(F.col("user_id")).alias("user_id"),
+              "event_type", _text(F.col("value")).alias("value"), "props")
+      .repartition("event_type").write.option("header", "true").csv(path))
+    return path
 
 
 # --- statements: one text file per supplier, one page per return flag ------

@@ -69,6 +69,12 @@ def read_delimited(spark: SparkSession, path: str | list[str], spec: IngestSpec)
         if spec.skip_lines == 1:
             reader = reader.option("enforceSchema", "true")
         df = reader.csv(paths).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return apply_null_rules(df, spec)
+
+
+def apply_null_rules(df: DataFrame, spec: IngestSpec) -> DataFrame:
+    """S04 on raw fields: ``\\N`` -> NULL, empty -> ''. Ragged rows keep
+    their fields NULL; they are rejected as malformed."""
     cols = [
         F.when(F.col(CORRUPT).isNull(), _null_rules(F.col(s), spec.null_marker)).alias(s)
         for s in spec.source_fields
