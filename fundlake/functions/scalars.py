@@ -36,7 +36,7 @@ def parse_amount(c: Column, type_text: str = "decimal(21,6)") -> Column:
     leading hyphen or U+2011 are negative. Unparsable text -> NULL."""
     t = F.trim(c)
     neg = t.startswith("(") & t.endswith(")") | t.startswith("-") | t.startswith(NB_HYPHEN)
-    digits = F.regexp_replace(t, r"[(),\s\-" + NB_HYPHEN + "]", "")
+    digits = F.translate(t, "(), \t-" + NB_HYPHEN, "")
     v = F.nullif(digits, F.lit("")).try_cast(type_text)
     return F.when(neg, -v).otherwise(v)
 

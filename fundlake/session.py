@@ -55,3 +55,11 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to the shared work folder and read it back, so
+    several consumers do not each recompute it (and lineage is cut)."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
