@@ -184,7 +184,8 @@ def unique_violations(spark: SparkSession, sf: str) -> DataFrame:
     spec = CUSTOMER_SPEC.with_options(unique_key=("name",))
     good = accepted(validate(read_delimited(spark, fx.customer_dups(spark, sf), spec), spec), spec)
     v = check_unique(good, ("name",), "UNICODE_CI_AI_RTRIM")
-    return v.select(normalized_key(F.col("name").cast("string")).alias("name_key"), "n", "n_spellings")
+    return v.select(normalized_key(F.col("name").cast("string")).alias("name_key"), "n",
+                    F.col("n_spellings").cast("bigint").alias("n_spellings"))
 
 
 @query("not_null_violations", """
