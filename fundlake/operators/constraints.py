@@ -25,12 +25,14 @@ def normalized_key(c: str | Column) -> Column:
 def check_unique(df: DataFrame, keys: tuple[str, ...] | list[str],
                  collation: str | None = "UNICODE_CI_AI_RTRIM") -> DataFrame:
     """Key groups seen more than once (K06): keys (in one stored spelling),
-    ``n`` and the distinct spellings. One aggregation; the partial
-    aggregate collapses a hot key before the shuffle."""
+    ``n`` and the number of distinct spellings. The partial aggregate
+    collapses a hot key before the shuffle."""
     grouped = [key_col(k, collation, df).alias(k) for k in keys]
-    spellings = F.array_sort(F.collect_set(F.concat_ws("|", *[F.col(f"`{k}`") for k in keys])))
+    # distinct spellings are counted by Spark's two-level distinct
+    # aggregation: no per-key set is ever held in one row
+    spelling = F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in keys])
     return (df.groupBy(*grouped)
-              .agg(F.count(F.lit(1)).alias("n"), F.size(spellings).alias("n_spellings"))
+              .agg(F.count(F.lit(1)).alias("n"), F.countDistinct(spelling).alias("n_spellings"))
               .filter(F.col("n") > 1))
 
 

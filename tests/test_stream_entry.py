@@ -38,3 +38,20 @@ def test_driver_contract(spark):
     rows = df.collect()
     assert rows and df.columns == ["sector", "currency", "n", "mv", "wt"]
     assert abs(sum(float(r.wt) for r in rows) - 1.0) < 1e-6
+
+
+def test_flows(spark, tmp_dir):
+    from conftest import write as w
+    from fundlake.flows import extract_holdings, import_web_classfees
+    from test_ingest import CLASS_FEE_TEXT
+    from test_statements import FUND, TEXT
+    fees = w(os.path.join(tmp_dir, "fees.csv"), CLASS_FEE_TEXT)
+    r = import_web_classfees(spark, fees)
+    assert r.rows_loaded == 4 and r.procedure_result.count() == 4
+    os.makedirs(os.path.join(tmp_dir, "stmts"))
+    w(os.path.join(tmp_dir, "stmts", "s1.txt"), TEXT)
+    codes = spark.createDataFrame([(FUND, "0042")], "fund_name string, fund_code string")
+    n = extract_holdings(spark, os.path.join(tmp_dir, "stmts"), codes, os.path.join(tmp_dir, "out"))
+    assert n == 5
+    back = spark.read.option("header", "true").csv(os.path.join(tmp_dir, "out"))
+    assert back.count() == 5 and back.columns[:3] == ["date", "fund_name", "fund_code"]
