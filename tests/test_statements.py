@@ -103,3 +103,34 @@ def test_ordered_scan_matches_plain_window(spark):
                     F.lag("w").over(w).alias("q"))
     got = sorted(tuple(r) for r in out.select("d", "p", "i", "f", "b", "r", "q").collect())
     assert got == sorted(tuple(r) for r in ref.collect())
+
+
+def test_splittable_reader_matches_whole_text(spark, tmp_dir):
+    import os
+    from fundlake.sources.statements import read_statement_lines
+    texts = {"a": "l1\nl2\fp2a\np2b\f\fp4\nx", "b": "\fstart\nsecond\n\nfourth", "c": TEXT,
+             "d": "x\fy\f", "e": "p1\n\fp2\n line\f\n\fz"}
+    for k, v in texts.items():
+        with open(os.path.join(tmp_dir, k + ".txt"), "w", encoding="utf-8") as f:
+            f.write(v)
+    ref = sorted(tuple(r) for r in S.statement_lines(S.read_statements(spark, tmp_dir)).collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")  # many splits per file
+    try:
+        assert spark.read.text(tmp_dir).rdd.getNumPartitions() > len(texts)
+        got = sorted(tuple(r) for r in read_statement_lines(spark, tmp_dir, block_lines=3).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == ref
+
+
+def test_size_routed_reader(spark, tmp_dir):
+    import os
+    from fundlake.sources.statements import statement_file_lines
+    for k, v in {"a": TEXT, "b": "tiny\fpage two"}.items():
+        with open(os.path.join(tmp_dir, k + ".txt"), "w", encoding="utf-8") as f:
+            f.write(v)
+    ref = sorted(tuple(r) for r in S.statement_lines(S.read_statements(spark, tmp_dir)).collect())
+    for limit in (0, 40, 1 << 20):  # all big, mixed, all small
+        got = sorted(tuple(r) for r in statement_file_lines(spark, tmp_dir, whole_file_bytes=limit).collect())
+        assert got == ref, limit
