@@ -97,8 +97,8 @@ def nnls(A: np.ndarray, b: np.ndarray, tol: float = 1e-10, max_iter: int = 200_0
     adaptive restart. Returns (x, projected-gradient violation, iterations),
     the violation relative to max|b|."""
     n = A.shape[1]
-    if n == 0:
-        return np.zeros(0), 0.0, 0
+    if n == 0 or A.shape[0] == 0:  # no cells, or no equation constrains them
+        return np.zeros(n), 0.0, 0
     scale = max(float(np.abs(b).max()), 1.0)
     bs = b / scale
     AtA = A.T @ A
