@@ -25,7 +25,9 @@ def main() -> None:
     from fundlake.session import build_session
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus * 2, 8),
                           extra={"spark.ui.showConsoleProgress": "false",
-                                 "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                                 "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 # small inputs: split files so every core gets a share
+                                 "spark.sql.files.openCostInBytes": os.environ.get("BENCH_OPEN_COST", "1048576")})
     from fundlake.plans import fixtures as fx
     from fundlake.plans.catalog import QUERIES
 
