@@ -10,8 +10,8 @@ from fundlake.sinks.tables import create_table, replace_table_data, with_surroga
 
 
 def test_merge_append_and_replace(spark):
-    target = spark.createDataFrame([("PGF 1", "A", 1), ("PGF 2", "B", 2)], "code string, cls string, v int")
-    source = spark.createDataFrame([("pgf 1 ", "a", 10), ("PGF 3", "C", 30)], "code string, cls string, v int")
+    target = spark.createDataFrame([("EXF 1", "A", 1), ("EXF 2", "B", 2)], "code string, cls string, v int")
+    source = spark.createDataFrame([("exf 1 ", "a", 10), ("EXF 3", "C", 30)], "code string, cls string, v int")
     app = merge_frames(target, source, ["code", "cls"], "append", "UNICODE_CI_AI_RTRIM")
     assert sorted(r.v for r in app.collect()) == [1, 2, 30]
     rep = merge_frames(target, source, ["code", "cls"], "replace", "UNICODE_CI_AI_RTRIM")
@@ -44,13 +44,13 @@ def test_verification(spark):
     assert d == {("s", "O"): (1, 0), ("s", "P"): (0, 1)}
     rc = reconcile_counts(a, b.limit(2)).first()
     assert (rc.source_rows, rc.loaded_rows, rc.counts_match) == (3, 2, False)
-    actual = spark.createDataFrame([("PGF 1100", "A", Decimal("2.47"), Decimal("1.00"), "CAD"),
-                                    ("PGF 1113", "F2", Decimal("1.41"), None, "CAD")],
+    actual = spark.createDataFrame([("EXF 1100", "A", Decimal("2.47"), Decimal("1.00"), "CAD"),
+                                    ("EXF 1113", "F2", Decimal("1.41"), None, "CAD")],
                                    "fund string, cls string, mer decimal(5,2), trailer decimal(5,2), ccy string")
-    expected = spark.createDataFrame([("PGF 1100", "A", 2.47, 1.00, "CAD"), ("PGF 1113", "F2", 1.41, None, "CAD"),
-                                      ("PGF 9", "A", 1.0, None, "CAD")],
+    expected = spark.createDataFrame([("EXF 1100", "A", 2.47, 1.00, "CAD"), ("EXF 1113", "F2", 1.41, None, "CAD"),
+                                      ("EXF 9", "A", 1.0, None, "CAD")],
                                      "fund string, cls string, mer double, trailer double, ccy string")
     res = {(r.fund, r.cls): r for r in check_records(actual, expected, ["fund", "cls"], ["mer", "trailer", "ccy"],
                                                      {"mer": "decimal(5,2)", "trailer": "decimal(5,2)"}).collect()}
-    assert res[("PGF 1100", "A")].ok and res[("PGF 1113", "F2")].ok
-    assert not res[("PGF 9", "A")].found
+    assert res[("EXF 1100", "A")].ok and res[("EXF 1113", "F2")].ok
+    assert not res[("EXF 9", "A")].found
