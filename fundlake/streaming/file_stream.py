@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import REASON, accepted, rejected, validate
+from ..operators.ingest import accepted, rejected, validate
 from ..sources.delimited import SOURCE_FILE, apply_null_rules, csv_options, raw_schema
 from ..spec import IngestSpec
 
@@ -74,5 +74,3 @@ def loaded(spark: SparkSession, sink: str, spec: IngestSpec) -> DataFrame:
     """The rows a stream has loaded so far, without the batch partition."""
     return spark.read.parquet(sink).select(*[c.name for c in spec.columns])
 
-
-__all__ = ["read_arrivals", "ingest_stream", "loaded", "REASON"]

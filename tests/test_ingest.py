@@ -4,7 +4,6 @@ import os
 from types import MappingProxyType
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import write
 from fundlake.operators.ingest import IngestError, ingest, rewrite_transform, validate
