@@ -132,3 +132,18 @@ def test_source_exists(spark, tmp_dir):
     write(os.path.join(tmp_dir, "x.csv"), "a\n")
     assert source_exists(spark, os.path.join(tmp_dir, "*.csv"))
     assert not source_exists(spark, os.path.join(tmp_dir, "nothing-*.csv"))
+
+
+def test_skip_lines_over_many_splits(spark, tmp_dir):
+    spec = SPEC.with_options(skip_lines=3)
+    body = "".join(f"{i},n{i % 7},{i % 5},x\n" for i in range(200))
+    write(os.path.join(tmp_dir, "big.csv"), "title\nsubtitle\nk,n,a,x\n" + body)
+    write(os.path.join(tmp_dir, "small.csv"), "t\ns\nh\n900,z,1,x\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")  # the big file spans many splits
+    try:
+        assert spark.read.text(tmp_dir).rdd.getNumPartitions() > 10
+        keys = sorted(r.k for r in validate(read_delimited(spark, tmp_dir, spec), spec).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert keys == list(range(200)) + [900]
