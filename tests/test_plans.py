@@ -31,3 +31,16 @@ def test_subtotals_are_one_grouping_sets_pass(spark):
     plan = _plan(al.subtotals(_holdings(spark)))
     assert plan.count("Expand") == 1
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_statement_scan_windows_are_blocked(spark):
+    import re
+    from fundlake.operators.scan import ordered_scan
+    df = spark.range(0, 100).select((F.col("id") % 2).cast("string").alias("doc_id"),
+                                   (F.col("id") / 30).cast("int").alias("blk"),
+                                   F.col("id").alias("line_no"), (F.col("id") % 7).alias("v"))
+    plan = _plan(ordered_scan(df, ["doc_id"], ["blk"], ["line_no"], forward={"f": F.col("v")}))
+    # windows over lines are partitioned by (document, block); only the
+    # block summaries are windowed by document alone
+    parts = re.findall(r"Window \[.*?windowspecdefinition\(([^,]+), ([^,]+),", plan)
+    assert any(p[0].startswith("doc_id") and p[1].startswith("blk") for p in parts), parts
