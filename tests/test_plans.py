@@ -44,3 +44,11 @@ def test_statement_scan_windows_are_blocked(spark):
     # block summaries are windowed by document alone
     parts = re.findall(r"Window \[.*?windowspecdefinition\(([^,]+), ([^,]+),", plan)
     assert any(p[0].startswith("doc_id") and p[1].startswith("blk") for p in parts), parts
+
+
+def test_unique_check_aggregates_before_the_shuffle(spark):
+    from fundlake.operators.constraints import check_unique
+    df = spark.range(0, 1000).select((F.col("id") % 3).cast("string").alias("k"))
+    plan = _plan(check_unique(df, ["k"]))
+    first_exchange = plan.index("Exchange")
+    assert "partial_count" in plan[first_exchange:]  # printed below (= runs before) the exchange
