@@ -128,3 +128,26 @@ SELECT doc_id, size, source_size, target, CAST(taken AS BIGINT) AS taken, CAST(t
        CASE WHEN words > 0 THEN CAST(pos AS BIGINT) END AS position
 FROM p WHERE k = 0
 """
+
+
+@query
+def op1_dedup_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without chunks of lines that occur before elsewhere."""
+    from fundlake.llm.linededup import dedup_lines
+    return dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records into ZIP packages and read back by range."""
+    from fundlake.llm.warc import read_packages, write_packages
+    return read_packages(write_packages(table(spark, sf_dir, "pages"))).drop("url")
+
+
+@query
+def op7_classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and verdict for all documents, from the labelled ones."""
+    from fundlake.llm.quality import classify, graded, train
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, graded(table(spark, sf_dir, "labels")))
+    return classify(docs, model, ["doc_id"]).select("row.doc_id", "expected_grade", "tail", "kept")
