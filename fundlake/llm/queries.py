@@ -151,3 +151,24 @@ def op7_classify_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, graded(table(spark, sf_dir, "labels")))
     return classify(docs, model, ["doc_id"]).select("row.doc_id", "expected_grade", "tail", "kept")
+
+
+@query
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and distances to the language references of all documents."""
+    from fundlake.llm.rules import quality_rules
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases, labels and detections of all documents."""
+    from fundlake.llm.licenses import scan_licenses
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored secret candidates of all documents."""
+    from fundlake.llm.secrets import scan_secrets
+    return scan_secrets(table(spark, sf_dir, "documents"))

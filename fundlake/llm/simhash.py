@@ -299,9 +299,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: id equal to the
-    component id. Of repeated rows of that id one stays (the least text); rows
-    without id stay when no row of their group has one."""
-    ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    stay = docs.join(ids.withColumnRenamed("doc_id", "_id"), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stand for their group: those whose id is the
+    component id. Of rows that repeat both that id and its text one stays. Rows
+    without an id stay, one for each text, when no row of their group has an id."""
+    no_id = F.lit(-(1 << 63))
+    ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("_key")).distinct()
+    return docs.withColumn("_key", F.coalesce("doc_id", no_id)).join(ids, "_key", "left_semi") \
+        .dropDuplicates(["_key", "text"]).drop("_key")
