@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 # Separators and word characters: ASCII letters and digits, all non-ASCII characters.
 SEP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 # The phrases and labels that are always scanned for.
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 
@@ -89,7 +89,7 @@ CLUES = (
     ("copyright", "copyright", "copyright c?"), ("public-domain", "public domain", "released|dedicated|placed into|to|in the public domain"),
     ("public-domain", "public domain", "public domain"), ("permissive-notice", "permission", "permission is hereby granted free of charge"),
     ("permissive-notice", "redistribution", "redistribution and use in source and binary forms"),
-    ("warranty-notice", "warranty", "without warranty of any kind"), ("warranty-notice", "as is", "provided as is without warranty"),
+    ("warranty-notice", "warranty", "without warranty of any kind"), ("warranty-notice", "warranty", "provided as is without warranty"),
     ("see-license", "licen", "see the? license|licence|copying file? for details"), ("unknown-license", "licen", "licensed|licenced under"),
     ("unknown-license", "licen", "license|licence agreement"), ("unknown-license", "licen", "open source license|licence"),
 )
@@ -130,13 +130,13 @@ def rules() -> list[tuple[str, str, str, int]]:
     return out
 
 
-#: A text without any of these holds no keyword of a rule and no base phrase.
-PREFILTER = ("licen", "spdx", "cc0", "rights reserved", "proprietary", "permission", "copyright", "public domain", "warranty",
-             "redistribution", "creative commons", "as is", "copying", "gpl")
+#: A text without any of these words, or "cc by", holds no match of any rule.
+PREFILTER = ("licen", "spdx", "cc0", "reserved", "proprietary", "permission", "copyright", "domain", "warranty",
+             "redistribut", "creative", "reproduced", "gpl", "mulan")
 
 
 def _count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"{WORD}+"))
+    return F.size(F.array_remove(F.split(text, f"{SEP}+"), ""))
 
 
 def _spaced(text: Column) -> Column:
@@ -164,7 +164,9 @@ def _detections(text: Column) -> Column:
     """All matches of the rules whose keyword the text holds."""
     listed = F.array(*[F.struct(F.lit(k).alias("keyword"), F.lit(r).alias("regex"), F.lit(label).alias("label"),
                                 F.lit(p).alias("priority"), F.lit(i).alias("rule")) for i, (k, r, label, p) in enumerate(rules())])
-    ready = F.transform(F.array(_spaced(text)), lambda low: F.filter(listed, lambda r: F.contains(low, r["keyword"])))[0]
+    keywords = F.array(*[F.lit(k) for k in sorted({k for k, *_ in rules()})])
+    present = F.transform(F.array(_spaced(text)), lambda low: F.filter(keywords, lambda k: F.contains(low, k)))
+    ready = F.transform(present, lambda ks: F.filter(listed, lambda r: F.array_contains(ks, r["keyword"])))[0]
     return F.flatten(F.transform(ready, lambda r: F.transform(
         _spans(text, r["regex"]),
         lambda s: F.struct(s["at"].alias("at"), (s["at"] + s["n"]).alias("till"), r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label")))))

@@ -27,11 +27,11 @@ WEIGHTS = (5, 2, 1)
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 0.5), (1.0, 2.0)))
 SHARE_NUM, SHARE_DEN = 3, 2
 EPOCHS = 2
-WORD = r"[^\x20\x09-\x0D]+"
+SPACES = r"[\x20\x09-\x0D]+"
 
 
 def words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")).cast("long")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
