@@ -34,7 +34,7 @@ from fundlake.llm.common import Words, open_store, partitions_for, ranges, text_
 MAGIC = b"TOKBITS1"
 BLOCK_IDS = 1 << 16
 #: Words whose ids a worker remembers, and the longest of them in bytes.
-CACHE_WORDS, CACHE_BYTES = 400_000, 64
+CACHE_WORDS, CACHE_BYTES = 250_000, 64
 #: Ids read and unpacked at once.
 READ_BLOCKS = 16
 #: Texts are cut at these bytes before encoding. The tokenizer splits at white
@@ -62,31 +62,96 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").ravel().astype("<u4")
 
 
+#: Stands between pieces that are encoded together (a private-use character).
+_MARK = "\ue000"
+
+
+class _Encoder:
+    """The tokenizer and the ids of the words met lately, in two generations:
+    a full younger one becomes the older, and words met again move back."""
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self._ids(_MARK)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _together(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, encoded as one text with marks between them. The
+        mark's ids decode to the mark alone, so pieces without it cannot hold them."""
+        ids = self._ids(f"\n{_MARK}\n".join([p.decode("utf-8", "replace") for p in pieces]))
+        k = len(self.mark)
+        at = np.flatnonzero(np.logical_and.reduce([ids[j:len(ids) - k + 1 + j] == self.mark[j] for j in range(k)])) if len(ids) >= k else ids[:0]
+        raw = ids.tobytes()
+        ends = [*(4 * at).tolist(), len(raw)]
+        begins = [0, *(4 * (at + k)).tolist()]
+        return [raw[x:y] for x, y in zip(begins, ends, strict=True)]
+
+    def __call__(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as little-endian bytes."""
+        young, old = self.young, self.old
+        got = [young.get(p) for p in pieces]
+        new = []
+        for k, x in enumerate(got):
+            if x is None:
+                p = pieces[k]
+                if (x := old.get(p)) is None:
+                    new.append(k)
+                else:
+                    got[k] = young[p] = x
+        odd = [k for k in new if b"\xee\x80\x80" in pieces[k]]
+        for k in odd:
+            got[k] = self._ids(pieces[k].decode("utf-8", "replace")).tobytes()
+        new = [k for k in new if got[k] is None]
+        for lo in range(0, len(new), 2048):
+            part = new[lo:lo + 2048]
+            for k, x in zip(part, self._together([pieces[k] for k in part]), strict=True):
+                got[k] = x
+                if len(pieces[k]) <= CACHE_BYTES:
+                    young[pieces[k]] = x
+        if len(young) > CACHE_WORDS:
+            self.young, self.old = {}, young
+        return got
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path), {}
+def _encoder(path: str) -> _Encoder:
+    return _Encoder(path)
+
+
+def _pieces(offsets: np.ndarray, data: bytes) -> Words:
+    """The texts cut at spaces and line ends, and before a full stop or comma
+    that ends a piece after an ASCII letter: the tokenizer cuts there as well.
+    It also lower-cases, so ASCII capitals are lowered first, except before a
+    non-ASCII byte (which might combine) and beside marks of special tokens."""
+    b = np.frombuffer(data, np.uint8)
+    if b"<|" not in data and len(b):
+        upper = (b >= 65) & (b <= 90)
+        upper[:-1] &= b[1:] < 128
+        data = (b + (upper.view(np.uint8) << 5)).astype(np.uint8).tobytes()
+    w = Words(offsets, data, _CUT)
+    b = np.frombuffer(w.data, np.uint8)
+    last, prior = b[w.ends - 1], b[np.maximum(w.ends - 2, 0)] | 32
+    at = np.flatnonzero((w.ends - w.starts > 1) & ((last == 46) | (last == 44)) & (prior >= 97) & (prior <= 122))
+    stops = w.ends[at] - 1
+    w.starts = np.insert(w.starts, at + 1, stops)
+    w.ends = np.insert(w.ends, at, stops)
+    w.doc_first = np.searchsorted(w.starts, offsets, "left")
+    return w
 
 
 def encode(offsets: np.ndarray, data: bytes, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, number of ids of each), ``end_id`` after each text.
     Each distinct piece between spaces is encoded once."""
-    tok, cache = _tokenizer(path)
-    w = Words(offsets, data, _CUT)
+    w = _pieces(offsets, data)
     codes, words = w.coded()
-    pieces = words.to_pylist()
-    got = [cache.get(p) for p in pieces]
-    new = [k for k, x in enumerate(got) if x is None]
-    for lo in range(0, len(new), 4096):
-        part = new[lo:lo + 4096]
-        for k, e in zip(part, tok.encode_batch([pieces[k].decode("utf-8", "replace") for k in part], add_special_tokens=False), strict=True):
-            got[k] = np.array(e.ids, "<u4").tobytes()
-            if len(pieces[k]) <= CACHE_BYTES:
-                cache[pieces[k]] = got[k]
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    size = np.array([len(x) >> 2 for x in got], np.int64)
+    got = _encoder(path)(words.to_pylist())
+    size = np.array([len(x) for x in got], np.int64) >> 2
     flat = np.frombuffer(b"".join(got), "<u4")
     first = np.cumsum(size) - size
     counts = size[codes]
