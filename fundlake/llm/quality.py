@@ -31,10 +31,12 @@ from fundlake.llm.common import BY_ALNUM, BY_SPACE, Words, map_texts, text_slice
 FEATURES = 1 << 18
 #: The first slots are for style (shapes, repeats), which is not shrunk by L2.
 STYLE = 1 << 12
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 20_000
 #: Features seen in fewer training rows get no weight.
 LEAST_ROWS = 6
 EPOCHS, RATE, L2 = 40, 0.04, 3e-4
+#: Small samples get more epochs, up to so many steps.
+BATCH, LEAST_STEPS = 512, 600
 SEED = 11
 #: Shares of tokens at which a shape counts once more.
 SHARES = (0.03, 0.1, 0.2, 0.4, 0.7)
@@ -121,10 +123,12 @@ class OrdinalModel:
         shrink = np.where(np.arange(FEATURES) < STYLE, 0.0, L2)
         rng, step = np.random.default_rng(SEED), 0
         size = np.diff(firsts)
-        for _ in range(EPOCHS):
+        epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // n))
+        total = epochs * -(-n // BATCH)
+        for _ in range(epochs):
             order = rng.permutation(n)
-            for lo in range(0, n, 1024):
-                pick = order[lo:lo + 1024]
+            for lo in range(0, n, BATCH):
+                pick = order[lo:lo + BATCH]
                 c = size[pick]
                 at = np.repeat(firsts[pick] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))
                 f, doc = slots[at], np.repeat(np.arange(len(pick)), c)
@@ -142,12 +146,13 @@ class OrdinalModel:
                 to_cut[r, g + 1] += slope[r, g + 1] / p
                 cut_grad = to_cut[:, 1:-1].mean(0)
                 grad = np.bincount(f, to_score[doc], minlength=FEATURES) / len(pick) - shrink * weights
+                rate = RATE * (1 - step / total)  # falls to zero, so that the last steps settle
                 step += 1
                 slow_w += 0.1 * (grad - slow_w)
                 fast_w += 0.002 * (grad * grad - fast_w)
-                weights += RATE * slow_w / (1 - 0.9 ** step) / (np.sqrt(fast_w / (1 - 0.998 ** step)) + 1e-8) * used
-                first += RATE * cut_grad.sum()
-                gaps = gaps + RATE * np.array([cut_grad[k + 1:].sum() for k in range(grades - 2)]) * np.exp(gaps)
+                weights += rate * slow_w / (1 - 0.9 ** step) / (np.sqrt(fast_w / (1 - 0.998 ** step)) + 1e-8) * used
+                first += rate * cut_grad.sum()
+                gaps = gaps + rate * np.array([cut_grad[k + 1:].sum() for k in range(grades - 2)]) * np.exp(gaps)
         cuts = first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
         return cls(weights, cuts)
 
@@ -189,7 +194,7 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str = "text", grades: in
     return OrdinalModel(np.frombuffer(bytes(got[0]["weights"]), "<f4").astype(np.float64), np.array(got[0]["cuts"]))
 
 
-def classify(docs: DataFrame, model: OrdinalModel, carry: list[str], text_col: str = "text", least_tail: float = 0.6,
+def classify(docs: DataFrame, model: OrdinalModel, carry: list[str], text_col: str = "text", least_tail: float = 0.7,
              least_grade: float = 1.0) -> DataFrame:
     """One row per row of ``docs``: ``row`` (the carried columns),
     ``expected_grade`` (0 to K-1), ``tail`` (probability of the best grade) and
