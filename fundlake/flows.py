@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.ingest import LoadResult, ingest
-from .operators.statements import read_statements, statement_holdings, statement_lines
+from .operators.statements import statement_holdings
+from .sources.statements import read_statement_lines
 from .spec import CLASS_FEES, HOLDINGS
 
 
@@ -34,7 +35,7 @@ def import_web_hold(spark: SparkSession, path: str, mode: str = "append", on_bad
 def extract_holdings(spark: SparkSession, statements: str, codes: DataFrame, output_csv: str) -> int:
     """Record layout: date, fund_name, fund_code, issuer, issue, currency,
     units, cost, mv."""
-    h = statement_holdings(statement_lines(read_statements(spark, statements)), codes)
+    h = statement_holdings(read_statement_lines(spark, statements), codes)
     cols = ["date", "fund_name", "fund_code", "issuer", "issue", "currency", "units", "cost", "mv"]
     obs = Observation("extract_holdings")
     h.select(*cols).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \

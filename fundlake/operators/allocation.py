@@ -115,10 +115,10 @@ def nnls(A: np.ndarray, b: np.ndarray, tol: float = 1e-10, max_iter: int = 200_0
         if (y - x_new) @ (x_new - x) > 0:  # restart when momentum points uphill
             t = 1.0
             y = x.copy()
-            continue
-        t_new = 0.5 * (1.0 + np.sqrt(1.0 + 4.0 * t * t))
-        y = x_new + ((t - 1.0) / t_new) * (x_new - x)
-        x, t = x_new, t_new
+        else:
+            t_new = 0.5 * (1.0 + np.sqrt(1.0 + 4.0 * t * t))
+            y = x_new + ((t - 1.0) / t_new) * (x_new - x)
+            x, t = x_new, t_new
         if it % 25 == 0:
             gx = AtA @ x - Atb
             viol = float(np.abs(x - np.maximum(x - gx, 0.0)).max())
@@ -129,6 +129,9 @@ def nnls(A: np.ndarray, b: np.ndarray, tol: float = 1e-10, max_iter: int = 200_0
     return x * scale, viol, it
 
 
+#: A fit whose optimality violation stays above this is an error, not a result.
+FIT_TOL = 1e-8
+
 FIT_SCHEMA = (f"{PID} long, cell_no int, asset_type string, sector string, currency string, "
               "fitted double, kkt_violation double, iterations int")
 
@@ -148,6 +151,8 @@ def _fit_group(cells: pd.DataFrame, eqs: pd.DataFrame) -> pd.DataFrame:
                 A[i, c] = 1.0
     b = eqs["residual"].astype(float).to_numpy()
     x, viol, it = nnls(A, b)
+    if viol > FIT_TOL:
+        raise RuntimeError(f"no fit for portfolio {cells[PID].iloc[0]}: violation {viol:.2e} after {it} steps")
     out = cells[[PID, "cell_no", *DIMS]].copy()
     out["fitted"] = x
     out["kkt_violation"] = viol
@@ -166,15 +171,19 @@ def fit(cells: DataFrame, resid: DataFrame) -> DataFrame:
 
 # --- weights, completion, subtotals (P08, X11, X12, C08, U01, G02-G04, V06, L02) ---
 
-def with_weight(df: DataFrame, value: str, total: str, name: str = "wt", scale: int = 8) -> DataFrame:
+#: Values before they are rounded to cents.
+EXACT = "decimal(26,8)"
+
+
+def with_weight(df: DataFrame, value: str, total: str, name: str = "wt", scale: int = 8, unit: str = "decimal(20,2)") -> DataFrame:
     """round(value / total, 8) in exact decimal arithmetic."""
-    q = F.col(value).cast("decimal(20,2)") / F.col(total).cast("decimal(20,2)")
+    q = F.col(value).cast(unit) / F.col(total).cast("decimal(20,2)")
     return df.withColumn(name, F.round(q, scale).cast(f"decimal(18,{scale})"))
 
 
 def complete_positions(positions: DataFrame, marginals: DataFrame, totals: DataFrame) -> DataFrame:
     """Known rows, then one hypothetical row per open cell with the
-    fitted value clamped at 0 and rounded to cents; weights against the
+    fitted value clamped at 0 and rounded to cents; weights of the unrounded values against the
     portfolio's total net assets (joined, not computed)."""
     cells = open_cells(grid(marginals), positions)
     fitted = fit(cells, residuals(marginals, positions))
@@ -183,13 +192,13 @@ def complete_positions(positions: DataFrame, marginals: DataFrame, totals: DataF
             .join(n_known, PID, "left")
             .select(PID, (F.coalesce(F.col("_n_known"), F.lit(0)) + F.col("cell_no")).cast("int").alias("ordinal"),
                     "holding_name", *DIMS,
-                    F.round(non_negative(F.col("fitted")).cast("decimal(20,4)"), 2).cast(MONEY).alias("market_value"),
-                    F.lit(True).alias("hypothetical")))
+                    F.round(non_negative(F.col("fitted")), 2).cast(MONEY).alias("market_value"),
+                    non_negative(F.col("fitted")).cast(EXACT).alias("_exact"), F.lit(True).alias("hypothetical")))
     known = positions.select(PID, F.col("position_no").cast("int").alias("ordinal"), "holding_name", *DIMS,
-                             F.round(F.col("market_value").cast("decimal(20,4)"), 2).cast(MONEY).alias("market_value"),
-                             F.lit(False).alias("hypothetical"))
+                             F.round(F.col("market_value"), 2).cast(MONEY).alias("market_value"),
+                             F.col("market_value").cast(EXACT).alias("_exact"), F.lit(False).alias("hypothetical"))
     both = known.unionByName(hypo).join(totals.select(PID, "total_net_assets"), PID, "left")
-    return with_weight(both, "market_value", "total_net_assets").drop("total_net_assets")
+    return with_weight(both, "_exact", "total_net_assets", unit=EXACT).drop("total_net_assets", "_exact")
 
 
 def subtotals(df: DataFrame, dims=DIMS, value: str = "market_value") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,14 @@ def check_unique(df: DataFrame, keys: tuple[str, ...] | list[str],
                  collation: str | None = "UNICODE_CI_AI_RTRIM") -> DataFrame:
     """Key groups seen more than once (K06): keys (in one stored spelling),
     ``n`` and the number of distinct spellings. The partial aggregate
-    collapses a hot key before the shuffle."""
+    collapses a hot key before the shuffle. As in a SQL unique key, a key with
+    a NULL part equals no other."""
     grouped = [key_col(k, collation, df).alias(k) for k in keys]
     # distinct spellings are counted by Spark's two-level distinct
     # aggregation: no per-key set is ever held in one row
-    spelling = F.concat_ws("|", *[F.col(f"`{k}`").cast("string") for k in keys])
-    return (df.groupBy(*grouped)
+    spelling = F.struct(*[F.col(f"`{k}`").cast("string") for k in keys])
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    return (df.filter(whole).groupBy(*grouped)
               .agg(F.count(F.lit(1)).alias("n"), F.countDistinct(spelling).alias("n_spellings"))
               .filter(F.col("n") > 1))
 

@@ -14,7 +14,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .constraints import key_col
+from ..session import materialize
+from .constraints import check_unique, key_col
 
 KINDS = ("append", "replace")
 
@@ -23,23 +24,35 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: list[str] | tuple[s
                  kind: str = "replace", collation: str | None = None) -> DataFrame:
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}, got {kind!r}")
+    if not check_unique(source, keys, collation).isEmpty():
+        raise ValueError(f"source rows repeat a key of {list(keys)}")
     keep, new = (target, source) if kind == "append" else (source, target)
-    # rows of `new` whose key is absent from `keep`
+    return keep.unionByName(_missing(keep, new, keys, collation).select(*keep.columns))
+
+
+def _missing(keep: DataFrame, new: DataFrame, keys, collation: str | None) -> DataFrame:
+    """Rows of ``new`` whose key is absent from ``keep``."""
     k = [f"__k{i}" for i in range(len(keys))]
     keep_keys = keep.select(*[key_col(c, collation, keep).alias(a) for c, a in zip(keys, k)])
     cond = reduce(lambda a, b: a & b,
                   [(key_col(new[c], collation) if new.schema[c].dataType.typeName() == "string" else new[c])
                    == keep_keys[a] for c, a in zip(keys, k)])
-    missing = new.join(keep_keys, cond, "left_anti")
-    return keep.unionByName(missing.select(*keep.columns))
+    return new.join(keep_keys, cond, "left_anti")
 
 
 def merge_table(spark: SparkSession, target_table: str, source: DataFrame,
                 keys: list[str] | tuple[str, ...], kind: str = "replace",
                 collation: str | None = None) -> DataFrame:
-    """Merge into a table: the result is written to a new folder and the
-    table is pointed at it (a table cannot be overwritten while read)."""
-    from ..sinks.tables import replace_table_data
+    """Merge into a table. ``append`` writes the new rows beside the old ones;
+    ``replace`` writes the result to a new folder and points the table at it (a
+    table cannot be overwritten while read)."""
+    from ..sinks.tables import append_table_data, replace_table_data
+    if kind == "append":
+        if not check_unique(source, keys, collation).isEmpty():
+            raise ValueError(f"source rows repeat a key of {list(keys)}")
+        # written once: the table is not read while it is appended to
+        append_table_data(spark, target_table, materialize(_missing(spark.table(target_table), source, keys, collation), "merge-new"))
+        return spark.table(target_table)
     merged = merge_frames(spark.table(target_table), source, keys, kind, collation)
     replace_table_data(spark, target_table, merged)
     return spark.table(target_table)

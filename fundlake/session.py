@@ -23,12 +23,13 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app: str = "fundlake", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         b = b.config(k, v)
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if shuffle_partitions:  # otherwise as the cluster sets it
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -42,7 +43,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        # Unset only in local runs and tests; a cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="fundlake-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..session import materialize, work_path
 from ..operators.ingest import _VARCHAR
 
 
@@ -64,18 +64,17 @@ def with_surrogate_id(df: DataFrame, col: str = "id", start: int = 1) -> DataFra
 
     ``monotonically_increasing_id`` holds the partition in its upper bits and
     the row's index inside the partition in its lower 33 bits. A per-partition
-    count (one row per partition, so its size is bounded by the partition
-    count and it is broadcast) gives each partition its offset. The input must
-    be a deterministic scan (a written table or staged files), so both passes
-    see the same partitions.
+    count (one row per partition) gives each partition its offset. Both numbers
+    are written with the rows once, so both passes see the same partitions
+    however a later scan is split.
     """
-    base = (df.withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
+    base = materialize(df.withColumn("_pid", F.spark_partition_id())
+                       .withColumn("_mono", F.monotonically_increasing_id()), "ids")
     counts = base.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     local = F.col("_mono") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    out = (base.join(F.broadcast(offsets), "_pid")
+    out = (base.join(offsets, "_pid")
                .withColumn(col, (F.lit(start) + F.col("_off") + local).cast("long")))
     return out.select(col, *df.columns)
 

@@ -38,19 +38,29 @@ def test_surrogate_ids_dense_across_partitions(spark):
 
 
 def test_verification(spark):
-    a = spark.createDataFrame([("F", Decimal("2.47")), ("F", None), ("O", Decimal("1.00"))], "s string, m decimal(10,4)")
-    b = spark.createDataFrame([("F", Decimal("2.4700")), ("F", None), ("P", Decimal("1.00"))], "s string, m decimal(10,4)")
+    a = spark.createDataFrame([("F", Decimal("3.05")), ("F", None), ("O", Decimal("1.00"))], "s string, m decimal(10,4)")
+    b = spark.createDataFrame([("F", Decimal("3.0500")), ("F", None), ("P", Decimal("1.00"))], "s string, m decimal(10,4)")
     d = {(r.column, r.value): (r.n_a, r.n_b) for r in multiset_diff(a, b, ["s", "m"], {"m": "decimal(5,2)"}).collect()}
     assert d == {("s", "O"): (1, 0), ("s", "P"): (0, 1)}
     rc = reconcile_counts(a, b.limit(2)).first()
     assert (rc.source_rows, rc.loaded_rows, rc.counts_match) == (3, 2, False)
-    actual = spark.createDataFrame([("EXF 1100", "A", Decimal("2.47"), Decimal("1.00"), "CAD"),
-                                    ("EXF 1113", "F2", Decimal("1.41"), None, "CAD")],
+    actual = spark.createDataFrame([("QRS 71", "B", Decimal("3.05"), Decimal("0.40"), "CAD"),
+                                    ("QRS 72", "K", Decimal("0.88"), None, "CAD")],
                                    "fund string, cls string, mer decimal(5,2), trailer decimal(5,2), ccy string")
-    expected = spark.createDataFrame([("EXF 1100", "A", 2.47, 1.00, "CAD"), ("EXF 1113", "F2", 1.41, None, "CAD"),
-                                      ("EXF 9", "A", 1.0, None, "CAD")],
+    expected = spark.createDataFrame([("QRS 71", "B", 3.05, 0.40, "CAD"), ("QRS 72", "K", 0.88, None, "CAD"),
+                                      ("QRS 8", "B", 1.0, None, "CAD")],
                                      "fund string, cls string, mer double, trailer double, ccy string")
     res = {(r.fund, r.cls): r for r in check_records(actual, expected, ["fund", "cls"], ["mer", "trailer", "ccy"],
                                                      {"mer": "decimal(5,2)", "trailer": "decimal(5,2)"}).collect()}
-    assert res[("EXF 1100", "A")].ok and res[("EXF 1113", "F2")].ok
-    assert not res[("EXF 9", "A")].found
+    assert res[("QRS 71", "B")].ok and res[("QRS 72", "K")].ok
+    assert not res[("QRS 8", "B")].found
+
+
+def test_merge_needs_unique_source_keys_and_null_keys_are_distinct(spark):
+    import pytest
+    from fundlake.operators.constraints import check_unique
+    from fundlake.operators.merge import merge_frames
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    with pytest.raises(ValueError):
+        merge_frames(t, spark.createDataFrame([(2, "x"), (2, "y")], "k int, v string"), ["k"], "append")
+    assert check_unique(spark.createDataFrame([("a", None), ("a", None)], "a string, b string"), ["a", "b"]).count() == 0

@@ -17,13 +17,13 @@ TEXT = "\n".join([
     "currency",
     "Fair value",
     "Mutual funds:",
-    "Example Corporate Fund, Class 'O' CAD 1,000 2,000 2,100",
+    "Harbour Pooled Trust, Series K CAD 1,000 2,000 2,100",
     "Total mutual funds (10.0%) 2,000 2,100",
     "Corporate bonds:",
     "Canada (5.0%):",
-    "Alpha Corporation, Callable, 2.95%, 2027/10/21 CAD 100 110 120",
-    "Beta Railway Company, Callable, 3.20%,",
-    "2028/07/31",
+    "Granite Paper Mills, Senior, 4.10%, 2031/05/09 CAD 100 110 120",
+    "Willow Ferry Lines, Secured, 5.75%,",
+    "2033/02/14",
     "CAD 200 190 (30)",
     "300 90",
     "Total corporate bonds (5.0%) 300 90",
@@ -32,9 +32,9 @@ TEXT = "\n".join([
     "Schedule of Investment Portfolio (cont’d)",
     "December 31, 2024",
     "Derivative liabilities:",
-    "Example Bank, Foreign Currency Forward, settlement",
-    "2025/01/22",
-    "1.37 USD 1,500 CAD 2,000 (40)",
+    "Lakeside Trustco, Interest Swap, closing",
+    "2026/08/03",
+    "0.91 EUR 1,500 CAD 2,000 (40)",
     "Total derivative liabilities (‑0.4%) (40)",
     "Cash (Bank overdraft) (1.0%) 500",
     "Total investments (15.0%) 2,300 2,190",
@@ -56,11 +56,11 @@ def test_holdings(spark, parsed, block):
     st = S.statement_state(lines, codes, block_lines=block)
     h = {(r.page, r.line_no): r for r in S.statement_holdings(lines, codes, state=st).collect()}
     assert sorted(h) == [(1, 8), (1, 12), (1, 15), (2, 7), (2, 9)]
-    assert h[(2, 7)].sec_name == "Example Bank, Foreign Currency Forward, settlement 2025/01/22"
+    assert h[(2, 7)].sec_name == "Lakeside Trustco, Interest Swap, closing 2026/08/03"
     assert (float(h[(2, 7)].units), float(h[(2, 7)].cost), float(h[(2, 7)].mv)) == (1500, 2000, -40)
     wrapped = h[(1, 15)]
-    assert wrapped.sec_name == "Beta Railway Company, Callable, 3.20%, 2028/07/31"
-    assert (wrapped.issuer, wrapped.issue, wrapped.currency) == ("Beta", "2028/07/31", "CAD")
+    assert wrapped.sec_name == "Willow Ferry Lines, Secured, 5.75%, 2033/02/14"
+    assert (wrapped.issuer, wrapped.issue, wrapped.currency) == ("Willow", "2033/02/14", "CAD")
     assert float(wrapped.mv) == -30 and wrapped.sector == "Canada (5.0%)"
     assert str(wrapped.date) == "2024-12-31" and wrapped.fund_code == "0042"
     kinds = [r.kind for r in S.statement_holdings(lines, codes, state=st).orderBy("page", "line_no").collect()]
@@ -124,13 +124,28 @@ def test_splittable_reader_matches_whole_text(spark, tmp_dir):
     assert got == ref
 
 
-def test_size_routed_reader(spark, tmp_dir):
+def test_reader_is_the_same_at_any_split_size(spark, tmp_dir):
     import os
-    from fundlake.sources.statements import statement_file_lines
-    for k, v in {"a": TEXT, "b": "tiny\fpage two"}.items():
-        with open(os.path.join(tmp_dir, k + ".txt"), "w", encoding="utf-8") as f:
-            f.write(v)
-    ref = sorted(tuple(r) for r in S.statement_lines(S.read_statements(spark, tmp_dir)).collect())
-    for limit in (0, 40, 1 << 20):  # all big, mixed, all small
-        got = sorted(tuple(r) for r in statement_file_lines(spark, tmp_dir, whole_file_bytes=limit).collect())
-        assert got == ref, limit
+    from fundlake.sources.statements import read_statement_lines
+    with open(os.path.join(tmp_dir, "a.txt"), "wb") as f:
+        f.write(b"one\rtwo\r\nthr\xffee\n\x0cpage two\nend\n")
+    rows = []
+    for size in ("128m", "8"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows.append(sorted((r.page, r.line_no, r.line, r.prev_line) for r in read_statement_lines(spark, tmp_dir, block_lines=2).collect()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows[0] == rows[1]
+    assert rows[0][:2] == [(1, 1, "one\rtwo", None), (1, 2, "thr\ufffdee", "one\rtwo")] and rows[0][-1][:3] == (2, 2, "end")
+
+
+def test_positions_of_very_long_pages_stay_apart(spark):
+    head = [FUND, "Schedule of Investment Portfolio", "December 31, 2024"]
+    lines = [("d", 1, i + 1, x, None) for i, x in enumerate(head)]
+    lines += [("d", 1, 1_000_005, "Granite Paper Mills CAD 1 2 3", None), ("d", 2, 5, "TotalWind SE EUR 4 5 6", None)]
+    df = spark.createDataFrame(lines, "doc_id string, page int, line_no int, line string, prev_line string")
+    df = df.withColumn("prev_line", F.when(F.col("line_no") == 3, F.lit("Schedule of Investment Portfolio")))
+    codes = spark.createDataFrame([(FUND, "0042")], "fund_name string, fund_code string")
+    got = S.statement_holdings(df, codes).orderBy("page").collect()
+    assert [float(r.mv) for r in got] == [3, 6] and got[1].issuer == "TotalWind"
