@@ -169,6 +169,23 @@ def fit(cells: DataFrame, resid: DataFrame) -> DataFrame:
     return left.groupBy(PID).cogroup(right.groupBy(PID)).applyInPandas(_fit_group, FIT_SCHEMA)
 
 
+def optimality(fitted: DataFrame, resid: DataFrame) -> DataFrame:
+    """C07, checked from the result alone: per portfolio, the number of cells and
+    the largest violation of the optimality conditions (relative to the largest
+    residual). A cell's gradient is the sum of the errors of its equations."""
+    cell = fitted.select(PID, "cell_no", "fitted", F.explode(F.array(*[
+        F.struct(F.lit(d).alias("dim"), F.col(d).alias("key")) for d in DIMS])).alias("e")) \
+        .select(PID, "cell_no", "fitted", "e.dim", "e.key")
+    wanted = resid.select(F.col(PID).cast("long").alias(PID), "dim", "key", F.col("residual").cast("double").alias("residual"))
+    error = wanted.join(cell.groupBy(PID, "dim", "key").agg(F.sum("fitted").alias("got")), [PID, "dim", "key"], "left") \
+        .select(PID, "dim", "key", (F.coalesce("got", F.lit(0.0)) - F.col("residual")).alias("error"))
+    scale = wanted.groupBy(PID).agg(F.greatest(F.max(F.abs("residual")), F.lit(1.0)).alias("scale"))
+    slope = cell.join(error, [PID, "dim", "key"]).groupBy(PID, "cell_no") \
+        .agg(F.max("fitted").alias("x"), F.sum("error").alias("g"), F.min("fitted").alias("least"))
+    off = F.greatest(F.abs(F.col("x") - F.greatest(F.col("x") - F.col("g"), F.lit(0.0))), -F.col("least")) / F.col("scale")
+    return slope.join(scale, PID).groupBy(PID).agg(F.count(F.lit(1)).alias("n_cells"), F.max(off).alias("violation"))
+
+
 # --- weights, completion, subtotals (P08, X11, X12, C08, U01, G02-G04, V06, L02) ---
 
 #: Values before they are rounded to cents.
@@ -223,11 +240,12 @@ def grand_total(df: DataFrame, value: str = "market_value", weight: str = "wt")
 
 
 def subtotal_diff(completed: DataFrame, marginals: DataFrame) -> DataFrame:
-    """Completed subtotals against the given totals."""
+    """Completed subtotals against the given totals; ``n`` rows were added
+    up, each rounded to cents."""
     s = subtotals(completed).filter(F.col("dim") != "all")
     m = marginals.select(PID, "dim", "key", F.col("total").cast("decimal(38,2)").alias("given"))
     return (s.join(m, [PID, "dim", "key"], "full")
-             .select(PID, "dim", "key", F.col("total").alias("completed"), "given",
+             .select(PID, "dim", "key", F.coalesce(F.col("n"), F.lit(0)).alias("n"), F.col("total").alias("completed"), "given",
                      (F.coalesce(F.col("total"), F.lit(0)) - F.coalesce(F.col("given"), F.lit(0)))
                      .cast("decimal(38,2)").alias("diff")))
 
