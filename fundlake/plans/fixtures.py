@@ -98,6 +98,43 @@ def part_blanks(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, sf_dir, "part_blanks", render)
 
 
+# --- class fees: two files of fee rows, the second with other spellings of its keys ---
+def class_fees_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    def render(path):
+        s = table(spark, sf_dir, "supplier")
+        cls = s.select("*", F.explode(F.array(F.lit("A"), F.lit("F"))).alias("cls"))
+        mer = F.col("s_nationkey").cast("decimal(5,2)")
+        trailer = F.when(F.col("cls") == "A", F.lit("1.00")).otherwise(F.lit(""))
+        code = F.concat(F.lit("S"), F.lpad(_text(F.col("s_suppkey")), 7, "0"))
+        def write(df, sub, code, mer, note):
+            (df.select(code.alias("fund_code"), F.col("s_name").alias("fund_name"), F.col("cls").alias("class"),
+                       F.lit(note).alias("description"), _text(mer).alias("mer"), trailer.alias("trailer"),
+                       F.lit("").alias("performance_fee"), F.lit("500").alias("min_initial"),
+                       F.lit("").alias("min_subsequent"), F.lit("CAD").alias("currency"))
+               .write.option("header", "true").option("emptyValue", "").csv(f"{path}/{sub}"))
+        write(cls.filter("s_nationkey < 15"), "a", code, mer, "first")
+        write(cls.filter("s_nationkey >= 10"), "b", F.lower(code), mer + 1, "second")
+        return path
+    root = _cached(spark, sf_dir, "class_fees", render)
+    return f"{root}/a", f"{root}/b"
+
+
+# --- documents, backslash dialect: separators, quotes and line breaks escaped ---
+def documents_escaped(spark: SparkSession, sf_dir: str) -> str:
+    def render(path):
+        d = table(spark, sf_dir, "documents")
+        def esc(c):
+            c = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+            for char, code in (("\n", "n"), ("\r", "r"), ("\t", "t"), (",", ","), ('"', '"')):
+                c = F.replace(c, F.lit(char), F.lit("\\" + code))
+            return F.coalesce(c, F.lit("\\N"))
+        cols = [_text(F.col("doc_id")), esc(F.col("text")), esc(F.col("lang")), esc(F.col("source")),
+                F.coalesce(_text(F.col("n_chars")), F.lit("\\N"))]
+        write_lines(d.select(F.concat_ws(",", *cols).alias("line")), path, header="doc_id;text;lang;source;n_chars")
+        return path
+    return _cached(spark, sf_dir, "documents_escaped", render)
+
+
 # --- documents: whole texts with quotes, commas and line breaks -------------
 def documents_csv(spark: SparkSession, sf_dir: str) -> str:
     def render(path):

@@ -12,11 +12,11 @@ from ..operators.constraints import check_not_null, check_unique, normalized_key
 from ..operators.ingest import accepted, ingest, validate
 from ..operators.lookup import with_fund_code
 from ..operators.merge import merge_table
-from ..operators.procedures import run_procedure
+from ..operators.procedures import lookup, run_procedure
 from ..session import unique_name, work_path
 from ..sinks.tables import create_table, replace_table_data, write_csv
 from ..sources.delimited import read_delimited, read_headered
-from ..spec import HOLDINGS, IngestSpec, TargetColumn as C
+from ..spec import CLASS_FEES, HOLDINGS, IngestSpec, TargetColumn as C
 from . import fixtures as fx
 from .fixtures import DEFECT_PRICE, DEFECT_PRIORITY, DEFECT_RAGGED, DEFECT_STATUS, DUP_PADDED, DUP_UPPER
 from .registry import query
@@ -137,6 +137,16 @@ def ingest_escapes(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(t)
 
 
+@query("ingest_backslash", """
+SELECT doc_id, text, lang, source, n_chars FROM documents
+""", covers="S04 backslash escapes of a bulk load: separators, quotes, tabs and line breaks, whole texts")
+def ingest_backslash(spark: SparkSession, sf: str) -> DataFrame:
+    t = unique_name("stg_document")
+    spec = DOCUMENT_SPEC.with_options(escape_char="\\", multiline=False)
+    ingest(spark, spec, fx.documents_escaped(spark, sf), table=t, on_bad="fail")
+    return spark.table(t)
+
+
 @query("ingest_rejects", f"""
 SELECT o_orderkey AS orderkey,
   CASE WHEN {DEFECT_RAGGED} THEN 'malformed record'
@@ -251,6 +261,39 @@ def merge_replace(spark: SparkSession, sf: str) -> DataFrame:
     return merge_table(spark, t, update, ["suppkey"], "replace")
 
 
+def _merge_class_fees(spark: SparkSession, sf: str, kind: str) -> str:
+    """Two class-fee loads, each merged into one target by the read procedure."""
+    target = unique_name("fees")
+    create_table(spark, target, CLASS_FEES.with_options(surrogate_id=None).ddl())
+    for path in fx.class_fees_files(spark, sf):
+        ingest(spark, CLASS_FEES, path, table=unique_name("stg_fees"), on_bad="fail",
+               procedure_params={"merge_type": kind, "target_table": target})
+    return target
+
+
+_FEE = """SELECT {code} AS "FundCode", s_name AS "FundName", c AS "Class", '{note}' AS "Description",
+  CAST(s_nationkey + {more} AS DECIMAL(5,2)) AS "Mer", CASE WHEN c = 'A' THEN CAST(1 AS DECIMAL(5,2)) END AS "Trailer",
+  CAST(NULL AS VARCHAR) AS "PerformanceFee", '500' AS "MinInvestmentInitial",
+  CAST(NULL AS VARCHAR) AS "MinInvestmentSubsequent", 'CAD' AS "Currency"
+  FROM supplier, (VALUES ('A'), ('F')) v(c) WHERE s_nationkey"""
+_FEE_CODE = "'S' || lpad(CAST(s_suppkey AS VARCHAR), 7, '0')"
+_FEE_A = _FEE.format(code=_FEE_CODE, note="first", more=0)
+_FEE_B = _FEE.format(code=f"lower({_FEE_CODE})", note="second", more=1)
+
+
+@query("class_fees_append", f"{_FEE_A} < 15 UNION ALL {_FEE_B} >= 15",
+       covers="P04 K07 class-fee procedure: append merge under the keys' collation")
+def class_fees_append(spark: SparkSession, sf: str) -> DataFrame:
+    return run_procedure(spark, "usp_FundClassFee_Load", table=_merge_class_fees(spark, sf, "append"))
+
+
+@query("class_fees_lookup", f"""SELECT * FROM ({_FEE_A} < 10 UNION ALL {_FEE_B} >= 10) WHERE "Class" = 'A'""",
+       covers="P04 K07 F01 class-fee procedure: replace merge, then a lookup by class in another spelling")
+def class_fees_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    fees = run_procedure(spark, "usp_FundClassFee_Load", table=_merge_class_fees(spark, sf, "replace"))
+    return lookup(fees, {"Class": "a "}, CLASS_FEES.key_collation)
+
+
 @query("csv_quote_all", """
 SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DECIMAL(18,8)) AS l_quantity,
        CAST(l_extendedprice AS DECIMAL(18,8)) AS l_extendedprice,

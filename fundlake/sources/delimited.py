@@ -5,10 +5,11 @@ fields bound by position, plus ``_corrupt_record`` (ragged or unparsable
 lines) and ``_source_file``. Files are read in parallel splits; nothing goes
 through the driver but the file listing Spark makes anyway.
 
-NULL and empty-string rules follow a server-side bulk load without an
-``ESCAPED BY`` clause: an empty field is the empty string, ``\\N`` is NULL.
-Spark's CSV reader yields NULL for empty fields, so raw fields are mapped
-back: ``\\N`` -> NULL, NULL -> ''.
+The rules follow a server-side bulk load without an ``ESCAPED BY`` clause: an
+empty field is the empty string, ``\\N`` is NULL, and a backslash escapes the
+next character. Spark's CSV parser yields NULL for empty fields, so raw fields
+are mapped back: ``\\N`` -> NULL, NULL -> ''. Blank lines are dropped, whatever
+the number of lines to skip.
 """
 
 from __future__ import annotations
@@ -21,9 +22,12 @@ from ..spec import IngestSpec
 
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
-# Files of the first split beyond this count are matched by a shuffle join
-# instead of a broadcast; one row per file, so the bound is on the listing.
-BROADCAST_FILE_LIMIT = 100_000
+LINE = "_line"
+LINE_SEPARATOR = "\u0001"
+MARK = "\u001f"
+# The letters that stand for control characters after a backslash
+# in a bulk load; any other character stands for itself.
+CONTROL_ESCAPES = {"0": "\u0000", "b": "\b", "n": "\n", "r": "\r", "t": "\t", "Z": "\u001a"}
 
 
 def raw_schema(spec: IngestSpec) -> T.StructType:
@@ -61,60 +65,111 @@ def _null_rules(c: Column, null_marker: str) -> Column:
 def read_delimited(spark: SparkSession, path: str | list[str], spec: IngestSpec) -> DataFrame:
     """Raw string fields in file order + ``_corrupt_record`` + ``_source_file``."""
     paths = [path] if isinstance(path, str) else list(path)
-    if spec.skip_lines > 1:
-        df = _read_skipping(spark, paths, spec)
-    else:
+    if spec.multiline:
+        # records span lines, so Spark's reader parses whole files; of the
+        # backslash escapes it knows the escaped quote only
+        if spec.skip_lines > 1:
+            raise ValueError("files with line breaks in fields may skip at most one line")
         reader = spark.read.schema(raw_schema(spec)).options(**csv_options(spec))
-        reader = reader.option("header", "true" if spec.skip_lines == 1 else "false")
         if spec.skip_lines == 1:
-            reader = reader.option("enforceSchema", "true")
+            reader = reader.option("header", "true").option("enforceSchema", "true")
         df = reader.csv(paths).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
-    return apply_null_rules(df, spec)
+        return apply_null_rules(df, spec)
+    lines = line_reader(spark.read, spec).csv(paths)
+    return parse_lines(_skip_head(lines, spec) if spec.skip_lines > 1 else numbered(lines), spec)
 
 
-def apply_null_rules(df: DataFrame, spec: IngestSpec) -> DataFrame:
-    """S04 on raw fields: ``\\N`` -> NULL, empty -> ''. Ragged rows keep
-    their fields NULL; they are rejected as malformed."""
-    cols = [
-        F.when(F.col(CORRUPT).isNull(), _null_rules(F.col(s), spec.null_marker)).alias(s)
-        for s in spec.source_fields
-    ]
-    return df.select(*cols, F.col(CORRUPT), F.col(SOURCE_FILE))
+def line_reader(reader, spec: IngestSpec):
+    """Options that make the CSV source a reader of whole lines, for batch and
+    stream alike: no quoting, one column, and a separator that real lines do not
+    hold (a line that does is ragged, and then comes whole as the corrupt
+    record). The source decodes the file's encoding, drops blank lines and, for
+    one header line, the first line of each file."""
+    opts = {**csv_options(spec), "sep": LINE_SEPARATOR, "quote": "\u0000", "escape": "\u0000",
+            "header": "true" if spec.skip_lines == 1 else "false", "enforceSchema": "true"}
+    return reader.schema(f"{LINE} STRING, {CORRUPT} STRING").options(**opts)
+
 
+def numbered(lines: DataFrame) -> DataFrame:
+    return lines.select(F.coalesce(F.col(CORRUPT), F.col(LINE)).alias(LINE),
+                        F.col("_metadata.file_path").alias(SOURCE_FILE))
 
-def _read_skipping(spark: SparkSession, paths: list[str], spec: IngestSpec) -> DataFrame:
+
+def _skip_head(lines: DataFrame, spec: IngestSpec) -> DataFrame:
     """Skip the first N lines of every file, N > 1, keeping files splittable.
+    Blank lines are not counted, as they are not for one header line.
 
     A line's index inside its file is only needed in the first split of each
     file (``file_block_start = 0``): there, ``monotonically_increasing_id``
     counts rows of the task in file order, so index = id - min(id) of that
-    file's first split. Later splits are kept whole. The per-file minimum is
-    a one-row-per-file aggregate; it is broadcast when the listing is small.
-    Quoted fields holding line breaks are not supported on this path.
+    file's first split. Later splits are kept whole. The per-file minimum is a
+    one-row-per-file aggregate, left to Spark's own size check for broadcasting.
     """
-    reader = spark.read
-    if spec.line_terminator not in ("\n", "\r\n"):
-        reader = reader.option("lineSep", spec.line_terminator)
-    lines = reader.text(paths).select(
-        F.col("value"),
+    lines = lines.select(
+        F.coalesce(F.col(CORRUPT), F.col(LINE)).alias(LINE),
         F.col("_metadata.file_path").alias(SOURCE_FILE),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    head = lines.filter(F.col("_block") == 0)
-    firsts = head.groupBy(SOURCE_FILE).agg(F.min("_row").alias("_first"))
-    n_files = len(spark.read.text(paths).inputFiles())
-    if n_files <= BROADCAST_FILE_LIMIT:
-        firsts = F.broadcast(firsts)
-    head = (head.join(firsts, SOURCE_FILE)
-            .filter(F.col("_row") - F.col("_first") >= spec.skip_lines)
-            .drop("_first"))
-    kept = head.unionByName(lines.filter(F.col("_block") > 0))
+        F.monotonically_increasing_id().alias("_row"))
+    firsts = lines.filter("_block = 0").groupBy(SOURCE_FILE).agg(F.min("_row").alias("_first"))
+    return (lines.join(firsts, SOURCE_FILE)
+            .filter((F.col("_block") > 0) | (F.col("_row") - F.col("_first") >= spec.skip_lines))
+            .select(LINE, SOURCE_FILE))
+
+
+def parse_lines(lines: DataFrame, spec: IngestSpec) -> DataFrame:
+    """Lines -> raw fields + ``_corrupt_record`` (the line as it stood) +
+    ``_source_file``, with the null and escape rules applied."""
+    escapes = spec.escape_char == "\\"
+    text = hide_escapes(F.col(LINE), spec) if escapes else F.col(LINE)
     schema_ddl = ", ".join(f"`{s}` STRING" for s in spec.source_fields) + f", `{CORRUPT}` STRING"
     opts = {k: v for k, v in csv_options(spec).items()
             if k not in ("multiLine", "lineSep", "encoding", "columnPruning")}
-    parsed = kept.select(F.from_csv(F.col("value"), schema_ddl, opts).alias("r"), F.col(SOURCE_FILE))
-    return parsed.select("r.*", SOURCE_FILE)
+    if escapes:
+        opts["escape"] = spec.quote_char  # the hidden ones aside, a doubled quote is a quote
+    r = lines.select(F.from_csv(text, schema_ddl, opts).alias("r"), LINE, SOURCE_FILE)
+    r = r.select(*[F.col(f"r.`{s}`").alias(s) for s in spec.source_fields],
+                 F.when(F.col(f"r.{CORRUPT}").isNotNull(), F.col(LINE)).alias(CORRUPT), SOURCE_FILE)
+    return apply_null_rules(r, spec, show_escapes if escapes else None)
+
+
+def hide_escapes(line: Column, spec: IngestSpec) -> Column:
+    """Backslash escapes as marks that hold neither separator nor quote, so that
+    the CSV parser does not see them. A mark is ``MARK`` and a letter; ``MARK``
+    itself is one too, so that any text survives. A backslash that ends a line
+    stays."""
+    c = F.replace(line, F.lit(MARK), F.lit(MARK + "u"))
+    for escaped, letter in (("\\", "b"), ("N", "N"), (spec.delimiter, "d"), (spec.quote_char, "q")):
+        c = F.replace(c, F.lit("\\" + escaped), F.lit(MARK + letter))
+    c = F.regexp_replace(c, r"(?s)\\(.)", MARK + "e$1")
+    return F.when(line.contains("\\") | line.contains(MARK), c).otherwise(line)
+
+
+def show_escapes(field: Column, spec: IngestSpec) -> Column:
+    """What the marks of ``hide_escapes`` stand for."""
+    c = field
+    for letter, char in CONTROL_ESCAPES.items():
+        c = F.replace(c, F.lit(MARK + "e" + letter), F.lit(char))
+    c = F.regexp_replace(c, "(?s)" + MARK + "e(.)", "$1")
+    for letter, char in (("d", spec.delimiter), ("q", spec.quote_char), ("N", "N"), ("b", "\\"), ("u", MARK)):
+        c = F.replace(c, F.lit(MARK + letter), F.lit(char))
+    return F.when(field.contains(MARK), c).otherwise(field)
+
+
+def apply_null_rules(df: DataFrame, spec: IngestSpec, decode=None) -> DataFrame:
+    """S04 on raw fields: ``\\N`` -> NULL, empty -> ''. Ragged rows keep
+    their fields NULL; they are rejected as malformed. A field that reads ``\\N``
+    only after decoding (an escaped backslash before an N) is text."""
+    if decode is None:
+        cols = [F.when(F.col(CORRUPT).isNull(), _null_rules(F.col(s), spec.null_marker)).alias(s)
+                for s in spec.source_fields]
+        return df.select(*cols, F.col(CORRUPT), F.col(SOURCE_FILE))
+    marker = F.lit(MARK + "N" if spec.null_marker == "\\N" else spec.null_marker)
+    # one array, so that the decoding is planned once and not once per use of a field
+    fields = F.transform(F.array(*spec.source_fields), lambda raw: F.when(
+        raw == marker, F.lit(None).cast("string")).otherwise(F.coalesce(decode(raw, spec), F.lit(""))))
+    ruled = df.select(F.when(F.col(CORRUPT).isNull(), fields).alias("_fields"), CORRUPT, SOURCE_FILE)
+    return ruled.select(*[F.get("_fields", F.lit(i)).alias(s) for i, s in enumerate(spec.source_fields)],
+                        CORRUPT, SOURCE_FILE)
 
 
 def read_headered(spark: SparkSession, path: str, sampling_ratio: float = 1.0, **options) -> DataFrame:

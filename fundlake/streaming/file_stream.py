@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import accepted, rejected, validate
-from ..sources.delimited import SOURCE_FILE, apply_null_rules, csv_options, raw_schema
+from ..sources.delimited import line_reader, numbered, parse_lines
 from ..spec import IngestSpec
 
 
@@ -28,16 +28,14 @@ def read_arrivals(spark: SparkSession, incoming: str, spec: IngestSpec,
     skipped per file as in a batch load; only 0 or 1 header line)."""
     if spec.skip_lines > 1:
         raise ValueError("streamed files may skip at most one header line")
-    r = (spark.readStream.schema(raw_schema(spec)).options(**csv_options(spec))
-         .option("header", "true" if spec.skip_lines == 1 else "false"))
-    if spec.skip_lines == 1:
-        r = r.option("enforceSchema", "true")
+    if spec.multiline:
+        raise ValueError("streamed files may not hold line breaks in fields")
+    r = line_reader(spark.readStream, spec)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    df = r.csv(incoming).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
-    return apply_null_rules(df, spec)
+    return parse_lines(numbered(r.csv(incoming)), spec)
 
 
 def _batch_writer(spec: IngestSpec, sink: str, rejects_sink: str):

@@ -147,3 +147,22 @@ def test_skip_lines_over_many_splits(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert keys == list(range(200)) + [900]
+
+
+@pytest.mark.parametrize("skip", [0, 1, 3])
+def test_backslash_escapes_blank_lines_encoding(spark, tmp_dir, skip):
+    spec = SPEC.with_options(skip_lines=skip, encoding="ISO-8859-1",
+                             columns=(C("k", "bigint", False), C("name", "string"), C("amt", "string"), C("note", "string")),
+                             field_transformations=MappingProxyType({}))
+    lines = ["1,x\\ty,s\\\\t,u\\,v", '2,"a""b","c\\"d,",caf\xe9', "", "3,\\N,\\\\N,a\\Nb", "4,\x1fb,\x01,\\q"]
+    with open(os.path.join(tmp_dir, "e.csv"), "wb") as f:
+        f.write("\n".join(["h"] * skip + lines).encode("latin-1"))
+    rows = {r.k: (r.name, r.amt, r.note) for r in validate(read_delimited(spark, tmp_dir, spec), spec).collect()}
+    assert rows == {1: ("x\ty", "s\\t", "u,v"), 2: ('a"b', 'c"d,', "caf\xe9"),
+                    3: (None, "\\N", "aNb"), 4: ("\x1fb", "\x01", "q")}
+
+
+def test_ragged_lines_come_back_as_written(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "r.csv"), "k,n,a,x\n1,a\\,b,1\n2,c,1,x,y\n3,d,1,z\n")
+    raw = read_delimited(spark, path, SPEC)
+    assert sorted(r[0] for r in raw.select("_corrupt_record").na.drop().collect()) == ["1,a\\,b,1", "2,c,1,x,y"]

@@ -75,6 +75,23 @@ def test_reconcile(spark, parsed):
     assert r[-1].n_items == 5
 
 
+def test_captions_and_notes_join_no_name(spark, parsed):
+    _, codes = parsed
+    text = "\n".join([FUND, "Schedule of Investment Portfolio", "December 31, 2024", "Issue", "currency",
+                      "Number of units /", " Face value ($)", "Fair value", "Bonds:",
+                      "Amber Rail, 2.00%, 2030/01/01 CAD 1 2 3"])
+    more = "\n".join([FUND, "Schedule of Investment Portfolio (cont’d)", "December 31, 2024",
+                      "The accompanying notes are an integral part of these financial statements. 9",
+                      "Issue currency", "Cost ($)", "Birch Holdings, 3.10%,", "2031/02/02", "CAD 4 5 6",
+                      "An odd footer", "Cedar Works, 3.10% CAD 7 8 9", "Contract", "rate Pay Receive",
+                      "Unrealized gain", "(loss)", "Dune Bank, swap,", "2026/01/01 CAD 1 2 3"])
+    docs = spark.createDataFrame([("d", text + "\f" + more)], "doc_id string, text string")
+    h = S.statement_holdings(S.statement_lines(docs), codes).orderBy("page", "line_no").collect()
+    assert [r.sec_name for r in h] == ["Amber Rail, 2.00%, 2030/01/01", "Birch Holdings, 3.10%, 2031/02/02",
+                                       "Cedar Works, 3.10%", "Dune Bank, swap, 2026/01/01"]
+    assert {r.sector for r in h} == {"Bonds"}
+
+
 def test_unknown_fund_is_not_extracted(spark, parsed):
     lines, _ = parsed
     other = spark.createDataFrame([("Another Fund", "1")], "fund_name string, fund_code string")
