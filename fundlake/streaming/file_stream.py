@@ -1,8 +1,8 @@
 """Files arriving in a folder, loaded once each.
 
 A Structured Streaming file source watches the incoming folder; every
-micro-batch runs the same validation as a batch load (``foreachBatch``) and
-writes its accepted rows and its rejects into ``batch_id=<epoch>``
+micro-batch runs the same validation, key check and surrogate ids as a batch
+load (``foreachBatch``), may add an audit row, and writes its accepted rows and its rejects into ``batch_id=<epoch>``
 partitions with dynamic partition overwrite. A replayed epoch after a
 failure rewrites its own partition instead of appending twice, so the sink
 is exactly-once together with the checkpoint, which is the record of the
@@ -13,12 +13,18 @@ the newest file can stay in place until the next run).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as _dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import accepted, rejected, validate
-from ..sources.delimited import line_reader, numbered, parse_lines
+from ..operators.constraints import check_unique, key_col
+from ..operators.ingest import REASON, IngestError, accepted, rejected, validate
+from ..operators.verify import append_audit
+from ..session import materialize
+from ..sinks.tables import with_surrogate_id
+from ..sources.delimited import line_reader, numbered, parse_lines, source_exists
 from ..spec import IngestSpec
 
 
@@ -38,31 +44,76 @@ def read_arrivals(spark: SparkSession, incoming: str, spec: IngestSpec,
     return parse_lines(numbered(r.csv(incoming)), spec)
 
 
-def _batch_writer(spec: IngestSpec, sink: str, rejects_sink: str):
+def _loaded_before(spark: SparkSession, sink: str, epoch: int) -> DataFrame | None:
+    """What earlier batches wrote; a replayed batch does not meet its own rows."""
+    if not source_exists(spark, sink):
+        return None
+    return spark.read.parquet(sink).filter(F.col("batch_id") != epoch)
+
+
+def _check_keys(good: DataFrame, before: DataFrame | None, spec: IngestSpec) -> None:
+    """The key check of a batch load: repeats inside the arriving rows, and
+    arriving keys that earlier batches hold."""
+    dups = check_unique(good, spec.unique_key, spec.key_collation).limit(5).collect()
+    if not dups and before is not None:
+        cond = [key_col(c, spec.key_collation, good) == F.col(f"__k{i}") for i, c in enumerate(spec.unique_key)]
+        old = before.select(*[key_col(c, spec.key_collation, before).alias(f"__k{i}")
+                              for i, c in enumerate(spec.unique_key)])
+        dups = good.select(*spec.unique_key).join(old, cond, "left_semi").limit(5).collect()
+    if dups:
+        raise IngestError(f"unique key {spec.unique_key} violated: {[tuple(d) for d in dups]}")
+
+
+def _batch_writer(spec: IngestSpec, sink: str, rejects_sink: str, on_bad: str, audit_table: str | None):
     def write(batch: DataFrame, epoch: int) -> None:
-        checked = validate(batch, spec).withColumn("batch_id", F.lit(epoch).cast("long"))
-        checked = checked.persist()  # one read of the micro-batch feeds both outputs
+        spark = batch.sparkSession
+        started = _dt.datetime.now(_dt.timezone.utc)
+        obs = Observation(f"batch_{epoch}")
+        # one read of the micro-batch feeds the checks and both outputs
+        checked = materialize(validate(batch, spec).observe(
+            obs, F.count(F.lit(1)).alias("rows"), F.count(F.col(REASON)).alias("rejected")), "batch")
+        rows, bad = int(obs.get["rows"]), int(obs.get["rejected"])
         try:
-            (accepted(checked, spec).withColumn("batch_id", F.lit(epoch).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(sink))
-            bad = rejected(checked).withColumn("batch_id", F.lit(epoch).cast("long"))
-            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(rejects_sink))
-        finally:
-            checked.unpersist()
+            if on_bad == "fail" and bad:
+                raise IngestError(f"{bad} rejected rows in batch {epoch}")
+            good, before = accepted(checked, spec), _loaded_before(spark, sink, epoch)
+            if spec.unique_key:
+                _check_keys(good, before, spec)
+            if spec.surrogate_id:
+                top = before.agg(F.max(spec.surrogate_id)).first()[0] if before is not None else None
+                good = with_surrogate_id(good, spec.surrogate_id, (top or 0) + 1)
+            for rows_out, folder in ((good, sink), (rejected(checked), rejects_sink)):
+                (rows_out.withColumn("batch_id", F.lit(epoch).cast("long"))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(folder))
+        except Exception as e:
+            if audit_table:
+                _audit(spark, audit_table, spec, sink, epoch, rows, 0, bad, "failed", f"{type(e).__name__}: {e}", started)
+            raise
+        if audit_table:
+            _audit(spark, audit_table, spec, sink, epoch, rows, rows - bad, bad, "ok", None, started)
     return write
 
 
+def _audit(spark, table, spec, sink, epoch, rows, loaded_rows, bad, status, message, started) -> None:
+    append_audit(spark, table, spec=spec, target_table=sink, path=f"batch {epoch}", mode="append",
+                 rows_read=rows, rows_loaded=loaded_rows, rows_rejected=bad, status=status,
+                 message=message, started=started)
+
+
 def ingest_stream(spark: SparkSession, spec: IngestSpec, incoming: str, sink: str, checkpoint: str,
                   rejects_sink: str | None = None, available_now: bool = True,
-                  max_files_per_trigger: int | None = None,
-                  archive_dir: str | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = None, archive_dir: str | None = None,
+                  on_bad: str = "quarantine", audit_table: str | None = None) -> StreamingQuery:
     """Start the load stream. ``available_now`` processes what has arrived
-    and stops (a scheduled run); otherwise it keeps watching."""
+    and stops (a scheduled run); otherwise it keeps watching. A batch passes the
+    checks of a batch load: with ``on_bad='fail'`` a rejected row, and always a
+    repeated key, ends the stream before the batch is written."""
+    if on_bad not in ("fail", "quarantine"):
+        raise ValueError(f"on_bad must be fail or quarantine, got {on_bad!r}")
     rejects_sink = rejects_sink or f"{sink.rstrip('/')}__rejects"
     src = read_arrivals(spark, incoming, spec, max_files_per_trigger, archive_dir)
-    w = (src.writeStream.foreachBatch(_batch_writer(spec, sink, rejects_sink))
+    w = (src.writeStream.foreachBatch(_batch_writer(spec, sink, rejects_sink, on_bad, audit_table))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

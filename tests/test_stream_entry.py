@@ -2,7 +2,10 @@
 
 import os
 
+import pytest
+
 from conftest import write
+from fundlake.session import unique_name
 from fundlake.spec import IngestSpec, TargetColumn as C
 from fundlake.streaming.file_stream import ingest_stream, loaded
 
@@ -30,6 +33,28 @@ def test_each_file_loaded_once(spark, tmp_dir):
     assert archived  # processed files leave the incoming folder (at least one batch behind)
 
 
+def test_stream_checks_keys_across_files(spark, tmp_dir):
+    spec = SPEC.with_options(unique_key=("kind",), surrogate_id="row_id")
+    incoming = os.path.join(tmp_dir, "incoming")
+    os.makedirs(incoming)
+    sink, ckpt, audit = os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt"), unique_name("audit")
+
+    def run():
+        ingest_stream(spark, spec, incoming, sink, ckpt, max_files_per_trigger=1, audit_table=audit).awaitTermination()
+
+    write(os.path.join(incoming, "a.csv"), "id,kind\n1,K\n2,y\n")
+    run()
+    write(os.path.join(incoming, "b.csv"), "id,kind\n3,z\n")
+    run()
+    assert sorted(r.row_id for r in spark.read.parquet(sink).collect()) == [1, 2, 3]
+    write(os.path.join(incoming, "c.csv"), "id,kind\n4,k \n")
+    with pytest.raises(Exception, match="unique key"):
+        run()
+    assert spark.read.parquet(sink).count() == 3
+    assert [(r.status, r.rows_loaded) for r in spark.table(audit).orderBy("started_at").collect()] == [
+        ("ok", 2), ("ok", 1), ("failed", 0)]
+
+
 def test_driver_contract(spark):
     import __spark_entry__ as E
     qs, sql = E.queries(), E.oracle_sql()
