@@ -122,12 +122,12 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents that the mix takes, as often as it takes them; a text that
     is taken in part is cut after that word. Rows that share an id share its
     largest ``taken``; rows with a null id are one id."""
-    per_id = mixed.groupBy("doc_id").agg(F.max("taken").alias("_taken")).where("_taken > 0").withColumnRenamed("doc_id", "_id")
-    size = words(F.col("text"))
-    copies = docs.join(per_id, docs["doc_id"].eqNullSafe(per_id["_id"])).withColumn("_size", F.greatest(size, F.lit(1))) \
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_size")))))
-    left = F.col("_taken") - F.col("_size") * (F.col("_copy") - 1)
-    pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    per_id = mixed.groupBy(F.col("doc_id").alias("id")).agg(F.max("taken").alias("taken")).where("taken > 0")
+    given = docs.select(F.struct("*").alias("row"), F.greatest(words(F.col("text")), F.lit(1)).alias("size"))
+    copies = given.join(per_id, given["row.doc_id"].eqNullSafe(per_id["id"])) \
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
+    left = F.col("taken") - F.col("size") * (F.col("copy") - 1)
+    pieces = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     cut = F.array_join(F.slice(pieces, F.lit(1), F.greatest(left, F.lit(0)).cast("int")), "")
-    text = F.when(left < F.col("_size"), cut).otherwise(F.col("text"))
-    return copies.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    text = F.when(left < F.col("size"), cut).otherwise(F.col("row.text"))
+    return copies.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -303,6 +303,7 @@ def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
     component id. Of rows that repeat both that id and its text one stays. Rows
     without an id stay, one for each text, when no row of their group has an id."""
     no_id = F.lit(-(1 << 63))
-    ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("_key")).distinct()
-    return docs.withColumn("_key", F.coalesce("doc_id", no_id)).join(ids, "_key", "left_semi") \
-        .dropDuplicates(["_key", "text"]).drop("_key")
+    ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("key")).distinct()
+    # The row as one column: no name of its own can clash, and only the digest is compared.
+    return docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", no_id).alias("key"), F.sha2("text", 256).alias("digest")) \
+        .join(ids, "key", "left_semi").dropDuplicates(["key", "digest"]).select("row.*")

@@ -17,8 +17,8 @@ TEXTS = [
 @pytest.fixture(scope="session")
 def edge(spark):
     """Nulls, empty and long texts, repeated rows, and columns that share names with results."""
-    rows = [(*r, 1, "x", 2, "y") for r in TEXTS]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_words int, row string, size int, label string")
+    rows = [(*r, 1, "x", 2, "y", "k", 3, 4, 5) for r in TEXTS]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_words int, row string, size int, label string, key string, taken int, `_id` int, `copy` int")
 
 
 @pytest.fixture(scope="session")

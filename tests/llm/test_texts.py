@@ -88,7 +88,9 @@ def test_components_of_a_hub_and_a_chain(spark):
 
 
 def test_keep_one_and_empty(edge, empty):
-    kept = rows(S.keep_one(edge, S.simhash_groups(edge)), "doc_id")
+    left = S.keep_one(edge, S.simhash_groups(edge))
+    kept = rows(left, "doc_id")
+    assert left.schema == edge.schema and set(rows(left, "key", "taken")) == {("k", 3)}
     assert kept == sorted([(1,), (2,), (5,), (7,), (8,), (None,)], key=repr)
     assert S.simhash_groups(empty).count() == 0
 
