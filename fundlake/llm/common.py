@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -182,6 +182,29 @@ def range_prefix(df: DataFrame, order: list[Column], partitions: int, size: str,
         .drop("_pid", "_local", "_p", "_k", "_before")
 
 
+#: Array items folded before what they gave is joined to the rest.
+FOLD_BLOCK = 1024
+
+
+def fold_rows(items: Column, first: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """The rows (array type ``kind``) that a walk over an array gives: ``step(state,
+    item)`` returns the next state and the item's rows. Items go in blocks, so a
+    long result is not copied for every item."""
+    none = F.array().cast(kind)
+
+    def add(a: Column, x: Column) -> Column:
+        state, rows = step(a["state"], x)
+        return F.struct(state.alias("state"), F.concat(a["out"], rows).alias("out"))
+
+    def block(a: Column, xs: Column) -> Column:
+        done = F.aggregate(xs, F.struct(a["state"].alias("state"), none.alias("out")), add)
+        return F.transform(F.array(done), lambda d: F.struct(d["state"].alias("state"), F.concat(a["out"], d["out"]).alias("out")))[0]
+
+    blocks = F.transform(F.array(items), lambda xs: F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(xs) / FOLD_BLOCK).cast("int")), lambda b: F.slice(xs, b * FOLD_BLOCK + 1, F.lit(FOLD_BLOCK))))[0]
+    return F.aggregate(blocks, F.struct(first.alias("state"), none.alias("out")), block, lambda a: a["out"])
+
+
 def partitions_for(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 

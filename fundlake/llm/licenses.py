@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fundlake.llm.common import fold_rows
+
 # Separators and word characters: ASCII letters and digits, all non-ASCII characters.
 SEP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
@@ -145,16 +147,20 @@ def _spaced(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, f"{SEP}+", " "))
 
 
+_SPANS = "array<struct<at:int,n:int>>"
+
+
 def _spans(text: Column, regex: Column) -> Column:
     """array<struct<at, n>>: first word and number of words of each match."""
-    pieces = F.transform(F.split(text, regex), _count)
-    found = F.transform(F.regexp_extract_all(text, regex, F.lit(0)), _count)
-    start = F.struct(F.lit(0).alias("words"), F.array().cast("array<struct<at:int,n:int>>").alias("out"))
-    return F.aggregate(
-        F.arrays_zip(found.alias("m"), F.slice(pieces, F.lit(1), F.size(found)).alias("p")), start,
-        lambda a, x: F.struct((a["words"] + x["p"] + x["m"]).alias("words"),
-                              F.concat(a["out"], F.array(F.struct((a["words"] + x["p"]).alias("at"), x["m"].alias("n")))).alias("out")),
-        lambda a: a["out"])
+    # One piece more than matches: the last pair has no match and gives nothing.
+    pairs = F.zip_with(F.split(text, regex), F.regexp_extract_all(text, regex, F.lit(0)),
+                       lambda p, m: F.struct(_count(p).alias("p"), F.when(m.isNotNull(), _count(m)).alias("m")))
+
+    def step(words: Column, x: Column) -> tuple[Column, Column]:
+        hit = F.array(F.struct((words + x["p"]).alias("at"), x["m"].alias("n")))
+        return words + x["p"] + F.coalesce(x["m"], F.lit(0)), F.when(x["m"].isNotNull(), hit).otherwise(F.array().cast(_SPANS))
+
+    return fold_rows(pairs, F.lit(0), _SPANS, step)
 
 
 _HIT = "array<struct<at:int,till:int,priority:int,rule:int,label:string>>"
@@ -176,16 +182,15 @@ def _kept(found: Column) -> Column:
     """Matches that no match of equal or higher priority contains."""
     ordered = F.array_sort(F.transform(found, lambda d: F.struct(
         d["at"].alias("at"), (-d["till"]).alias("back"), (-d["priority"]).alias("low"), d["rule"].alias("rule"), d["label"].alias("label"))))
-    state = F.struct(F.array().cast(_HIT).alias("out"), F.array(*[F.lit(-1)] * 4).alias("reach"))
 
-    def step(a: Column, d: Column) -> Column:
+    def step(reach: Column, d: Column) -> tuple[Column, Column]:
         till, priority = -d["back"], -d["low"]
-        inside = F.get(a["reach"], priority) >= till
+        inside = F.get(reach, priority) >= till
         hit = F.array(F.struct(d["at"].alias("at"), till.alias("till"), priority.alias("priority"), d["rule"].alias("rule"), d["label"].alias("label")))
-        reach = F.transform(a["reach"], lambda r, p: F.when(p <= priority, F.greatest(r, till)).otherwise(r))
-        return F.when(inside, a).otherwise(F.struct(F.concat(a["out"], hit).alias("out"), reach.alias("reach")))
+        return (F.transform(reach, lambda r, p: F.when(~inside & (p <= priority), F.greatest(r, till)).otherwise(r)),
+                F.when(inside, F.array().cast(_HIT)).otherwise(hit))
 
-    return F.aggregate(ordered, state, step, lambda a: a["out"])
+    return fold_rows(ordered, F.array(*[F.lit(-1)] * 4), _HIT, step)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,7 +207,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     low = F.lower("text")
     passes = F.transform(F.array(low), lambda x: _any(x))[0] | F.col("text").rlike(f"(?i)cc{SEP}+by")
     given = given.withColumn("passes", passes).withColumn("n_words", _count(F.col("text")).cast("long"))
-    given = given.withColumn("places", F.when(F.col("passes"), _spans(F.col("text"), base_regex)).otherwise(F.array().cast("array<struct<at:int,n:int>>"))) \
+    given = given.withColumn("places", F.when(F.col("passes"), _spans(F.col("text"), base_regex)).otherwise(F.array().cast(_SPANS))) \
         .withColumn("hits", F.when(F.col("passes"), _kept(_detections(F.col("text")))).otherwise(F.array().cast(_HIT)))
     given = given.withColumn("base", F.array_sort(F.filter(F.array(*[
         F.when(F.col("passes") & F.col("text").rlike(pattern(p)), F.lit(label)) for p, label in BASE]), lambda x: x.isNotNull())))

@@ -22,7 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fundlake.llm.common import write_once
+from fundlake.llm.common import fold_rows, write_once
 
 CANDIDATE = r"(?<![A-Za-z0-9_/+\-])(?=[A-Za-z_/+\-]*[0-9])[A-Za-z0-9_/+\-]{16,}={0,2}"
 CONTEXT = 48
@@ -67,11 +67,9 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str) -> Da
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text")) \
         .where(F.col("text").rlike(CANDIDATE))
     cut = given.select("doc_id", "path", F.split("text", CANDIDATE).alias("pieces"), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"))
-    ends = F.aggregate(
-        F.arrays_zip(F.slice("pieces", F.lit(1), F.size("found")).alias("p"), F.col("found").alias("f")),
-        F.struct(F.lit(0).cast("long").alias("n"), F.array().cast("array<bigint>").alias("at")),
-        lambda a, x: F.struct((a["n"] + F.length(x["p"]) + F.length(x["f"])).alias("n"), F.concat(a["at"], F.array(a["n"] + F.length(x["p"]))).alias("at")),
-        lambda a: a["at"])
+    ends = fold_rows(
+        F.arrays_zip(F.slice("pieces", F.lit(1), F.size("found")).alias("p"), F.col("found").alias("f")), F.lit(0).cast("long"), "array<bigint>",
+        lambda n, x: (n + F.length(x["p"]) + F.length(x["f"]), F.array(n + F.length(x["p"]))))
     each = F.transform("found", lambda c, i: F.struct(
         F.get(F.col("at"), i).alias("position"), c.alias("candidate"),
         F.right(F.get(F.col("pieces"), i), F.lit(CONTEXT)).alias("before"), F.left(F.get(F.col("pieces"), i + 1), F.lit(CONTEXT)).alias("after")))

@@ -45,6 +45,13 @@ def test_license_rules_and_suppression(spark):
     assert len(rules()) > 300
 
 
+def test_license_detections_of_many_matches(spark):
+    text = "copyright x and cc by 4.0, " * 3000
+    got = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (got.n_base, got.first_word, got.last_word, len(got.detections)) == (3000, 3, 2999 * 7 + 3, 6000)
+    assert [(d.at, d.till) for d in got.detections[-2:]] == [(2999 * 7, 2999 * 7 + 1), (2999 * 7 + 3, 2999 * 7 + 7)]
+
+
 # ---- quality rules ----
 
 def test_quality_rules_against_plain(edge, empty, sample):
