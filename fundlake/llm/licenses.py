@@ -173,7 +173,8 @@ def _detections(text: Column) -> Column:
     keywords = F.array(*[F.lit(k) for k in sorted({k for k, *_ in rules()})])
     present = F.transform(F.array(_spaced(text)), lambda low: F.filter(keywords, lambda k: F.contains(low, k)))
     ready = F.transform(present, lambda ks: F.filter(listed, lambda r: F.array_contains(ks, r["keyword"])))[0]
-    return F.flatten(F.transform(ready, lambda r: F.transform(
+    found = F.filter(ready, lambda r: F.rlike(text, r["regex"]))
+    return F.flatten(F.transform(found, lambda r: F.transform(
         _spans(text, r["regex"]),
         lambda s: F.struct(s["at"].alias("at"), (s["at"] + s["n"]).alias("till"), r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label")))))
 
