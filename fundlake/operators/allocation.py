@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import non_negative
@@ -55,6 +55,11 @@ def known_combos(positions: DataFrame) -> DataFrame:
     return positions.groupBy(PID, *DIMS).agg(F.count(F.lit(1)).alias("n_positions"))
 
 
+def cell_name(cell_no: Column) -> Column:
+    """P10: the name of an open cell's position."""
+    return F.concat(F.lit("Hypothetical Position "), cell_no.cast("string"))
+
+
 def open_cells(grid_df: DataFrame, positions: DataFrame) -> DataFrame:
     """C03/J04 + P10/W04: grid cells no known position covers, numbered
     1..n per portfolio in category order and named 'Hypothetical Position i'.
@@ -63,7 +68,7 @@ def open_cells(grid_df: DataFrame, positions: DataFrame) -> DataFrame:
     w = Window.partitionBy(PID).orderBy(*[f"{d}_ord" for d in DIMS])
     cell_no = F.row_number().over(w)
     return cells.select(PID, cell_no.alias("cell_no"),
-                        F.concat(F.lit("Hypothetical Position "), cell_no.cast("string")).alias("holding_name"),
+                        cell_name(cell_no).alias("holding_name"),
                         *DIMS)
 
 
@@ -202,13 +207,11 @@ def complete_positions(positions: DataFrame, marginals: DataFrame, totals: DataF
     """Known rows, then one hypothetical row per open cell with the
     fitted value clamped at 0 and rounded to cents; weights of the unrounded values against the
     portfolio's total net assets (joined, not computed)."""
-    cells = open_cells(grid(marginals), positions)
-    fitted = fit(cells, residuals(marginals, positions))
+    fitted = fit(open_cells(grid(marginals), positions), residuals(marginals, positions))
     n_known = positions.groupBy(PID).agg(F.count(F.lit(1)).alias("_n_known"))
-    hypo = (cells.join(fitted.select(PID, "cell_no", "fitted"), [PID, "cell_no"])
-            .join(n_known, PID, "left")
+    hypo = (fitted.join(n_known, PID, "left")
             .select(PID, (F.coalesce(F.col("_n_known"), F.lit(0)) + F.col("cell_no")).cast("int").alias("ordinal"),
-                    "holding_name", *DIMS,
+                    cell_name(F.col("cell_no")).alias("holding_name"), *DIMS,
                     F.round(non_negative(F.col("fitted")), 2).cast(MONEY).alias("market_value"),
                     non_negative(F.col("fitted")).cast(EXACT).alias("_exact"), F.lit(True).alias("hypothetical")))
     known = positions.select(PID, F.col("position_no").cast("int").alias("ordinal"), "holding_name", *DIMS,
@@ -270,9 +273,13 @@ def top_positions(holdings: DataFrame, k: int = 10, value: str = "market_value",
 def marginals_of(holdings: DataFrame, value: str = "market_value") -> DataFrame:
     """Totals by each dimension per portfolio, keys numbered in key order,
     from one GROUPING SETS aggregation."""
-    s = subtotals(holdings, DIMS, value).filter(F.col("dim") != "all")
+    return numbered(subtotals(holdings, DIMS, value))
+
+
+def numbered(sums: DataFrame) -> DataFrame:
+    """The marginals among ``subtotals``, keys numbered in key order."""
     w = Window.partitionBy(PID, "dim").orderBy("key")
-    return s.select(PID, "dim", "key", F.row_number().over(w).alias("ordinal"), "total")
+    return sums.filter(F.col("dim") != "all").select(PID, "dim", "key", F.row_number().over(w).alias("ordinal"), "total")
 
 
 def net_assets_of(holdings: DataFrame, value: str = "market_value") -> DataFrame:

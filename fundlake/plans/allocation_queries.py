@@ -35,8 +35,13 @@ def order_holdings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def inputs(spark: SparkSession, sf: str):
+    """Known positions, marginals and totals, read many times by a completion and
+    much smaller than the holdings: written once, from one pass over these for
+    the positions and one for all sums."""
     h = order_holdings(spark, sf)
-    return al.top_positions(h, TOP_K), al.marginals_of(h), al.net_assets_of(h)
+    sums = materialize(al.subtotals(h), "subtotals")
+    totals = sums.filter(F.col("dim") == "all").select(PID, F.col("total").alias("total_net_assets"))
+    return materialize(al.top_positions(h, TOP_K), "top-positions"), materialize(al.numbered(sums), "marginals"), totals
 
 
 def exact_weight_sql(v: str, tot: str) -> str:
@@ -100,7 +105,8 @@ FROM h JOIN t ON h.portfolio_id = t.portfolio_id
 """, covers="P08 X11 weight = round(mv / total net assets, 8), exact decimals")
 def weights(spark: SparkSession, sf: str) -> DataFrame:
     h = order_holdings(spark, sf)
-    tot = al.net_assets_of(h)
+    # Written, so that its size is known: a small one is broadcast, and a hot portfolio is not shuffled.
+    tot = materialize(al.net_assets_of(h), "net-assets")
     return al.with_weight(h.join(tot, PID), "market_value", "total_net_assets").select(
         PID, "holding_name", "market_value", "wt")
 
@@ -110,8 +116,7 @@ WITH {TOP_SQL}
 SELECT portfolio_id, asset_type, sector, currency, count(*) AS n_positions FROM top GROUP BY 1, 2, 3, 4
 """, covers="G06 distinct combinations of the known top positions (top-k per portfolio)")
 def known_combos(spark: SparkSession, sf: str) -> DataFrame:
-    top, _, _ = inputs(spark, sf)
-    return al.known_combos(top)
+    return al.known_combos(al.top_positions(order_holdings(spark, sf), TOP_K))
 
 
 @query("open_cells", f"""
