@@ -1,16 +1,22 @@
-"""Line deduplication by content-defined chunks of lines.
-
-A text's lines are hashed; a rolling hash over the last ``WINDOW`` line hashes
-ends a chunk where it is divisible by ``DIVISOR``, so a shared passage is cut
-alike wherever it stands. A chunk has at least ``LEAST_LINES`` lines. Chunks of
-the whole corpus are grouped by digest and bytes; of each group found twice or
-more, the first stays (least document id, then place in the text) and the rest
-are removed.
+"""Line deduplication by content-defined chunks of lines and passages of words.
+
+A text's lines are hashed; the hash of a line ends a chunk where it is divisible
+by ``DIVISOR``, so what stands before a shared passage moves no cut inside it. A
+chunk has at least ``LEAST_LINES`` lines. Besides, from every line with words the
+shortest run of lines of over ``PASSAGE_WORDS`` words goes on, and to every such
+line the shortest one leads up: of a passage of more words, the first runs cover
+all but the end and the second ones that. So a repeated passage is found whole,
+whatever stands around it, be it one line or many.
+
+Chunks and runs of the whole corpus are grouped by their SHA-256; of each group
+found twice or more, the first stays (least document id, then place in the text)
+and the lines of the rest are removed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +26,12 @@ from pyspark.sql import functions as F
 
 from fundlake.llm.common import text_slices, write_once
 
-WINDOW = 2
 DIVISOR = 2
 LEAST_LINES = 2
 #: Shorter chunks (bytes without the line ends) stay: blank lines, rules.
 LEAST_BYTES = 32
+#: Repeated passages of more words go whole.
+PASSAGE_WORDS = 50
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,76 +50,99 @@ def line_spans(offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray
     return starts[by], ends[by_end], first
 
 
-def chunks(offsets: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first byte, byte after, lines, lines of the text before) of each
-    chunk; a chunk's bytes include its inner line ends only."""
-    starts, ends, first = line_spans(offsets, data)
+def chunks(first: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First line of each chunk and line after it."""
     h, view = xxhash.xxh3_64_intdigest, memoryview(data)
     lines = np.array([h(view[s:e]) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)], np.uint64)
-    place = np.arange(len(lines)) - np.repeat(first[:-1], np.diff(first))
-    roll = lines.copy()
-    for j in range(1, WINDOW):
-        roll[j:] += np.where(place[j:] >= j, lines[:-j], np.uint64(0)) * _BASE ** np.uint64(j)
-    cut = ((roll * _BASE) >> np.uint64(40)) % np.uint64(DIVISOR) == 0
-    text, lo, hi = [], [], []
-    for t in range(len(offsets) - 1):
+    cut = ((lines * _BASE) >> np.uint64(40)) % np.uint64(DIVISOR) == 0
+    lo, hi = [], []
+    for t in range(len(first) - 1):
         a, z = int(first[t]), int(first[t + 1])
         begin = a
         for c in (np.flatnonzero(cut[a:z]) + a + 1).tolist():
             if c - begin >= LEAST_LINES and (z - c >= LEAST_LINES or c == z):
-                text.append(t), lo.append(begin), hi.append(c)
+                lo.append(begin), hi.append(c)
                 begin = c
         if begin < z:
-            text.append(t), lo.append(begin), hi.append(z)
-    text, lo, hi = np.array(text, np.int64), np.array(lo, np.int64), np.array(hi, np.int64)
-    return text, starts[lo] if len(lo) else lo, ends[hi - 1] if len(hi) else hi, hi - lo, lo - first[text] if len(lo) else lo
+            lo.append(begin), hi.append(z)
+    return np.array(lo, np.int64), np.array(hi, np.int64)
 
 
-def _candidates(offsets: np.ndarray, data: bytes):
-    text, lo, hi, n, at = chunks(offsets, data)
-    ok = (n >= LEAST_LINES) & (hi - lo - (n - 1) >= LEAST_BYTES)
-    view, h = memoryview(data), xxhash.xxh3_128_digest
-    digest = [h(view[a:b]) if use else None for a, b, use in zip(lo.tolist(), hi.tolist(), ok.tolist(), strict=True)]
-    return text, lo, hi, n, at, ok, digest
+def passages(offsets: np.ndarray, data: bytes, first: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First line and line after of the shortest runs of over ``PASSAGE_WORDS``
+    words that begin or end with each line that has words."""
+    b = np.frombuffer(data, np.uint8)
+    inside = (b != 0x20) & ((b < 0x09) | (b > 0x0D))
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    at = offsets[:-1][offsets[:-1] < len(b)]
+    begins[at] = inside[at]
+    before = np.concatenate([[0], np.cumsum(begins)])
+    n = before[ends] - before[starts]
+    total = np.concatenate([[0], np.cumsum(n)])
+    has = np.flatnonzero(n)
+    size = np.diff(first)
+    text_lo, text_hi = np.repeat(first[:-1], size)[has], np.repeat(first[1:], size)[has]
+    on = np.searchsorted(total, total[has] + PASSAGE_WORDS, "right")
+    back = np.searchsorted(total, total[has + 1] - PASSAGE_WORDS, "left") - 1
+    fits, leads = on <= text_hi, back >= text_lo
+    return np.concatenate([has[fits], back[leads]]), np.concatenate([on[fits], has[leads] + 1])
+
+
+def _spans(offsets: np.ndarray, data: bytes):
+    """Line starts and ends, first line of each text, chunks of each text, and
+    (text, first line, line after) of all that may go if it is repeated."""
+    starts, ends, first = line_spans(offsets, data)
+    lo, hi = chunks(first, starts, ends, data)
+    n_chunks = np.diff(np.searchsorted(lo, first))
+    ok = (hi - lo >= LEAST_LINES) & (ends[hi - 1] - starts[lo] - (hi - lo - 1) >= LEAST_BYTES)
+    p_lo, p_hi = passages(offsets, data, first, starts, ends)
+    both = np.unique(np.concatenate([lo[ok], p_lo]) * (len(starts) + 1) + np.concatenate([hi[ok], p_hi]))
+    lo, hi = both // (len(starts) + 1), both % (len(starts) + 1)
+    return starts, ends, first, n_chunks, np.searchsorted(first, lo, "right") - 1, lo, hi
 
 
-def _rows(docs: DataFrame, body: bool) -> DataFrame:
-    """One row per chunk of two lines or more: doc_id, th, digest, again (an
-    earlier equal chunk in the same text), and its bytes if asked for."""
+def _rows(docs: DataFrame) -> DataFrame:
+    """One row per text and different chunk or passage in it: doc_id, th, digest, n (times)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, offsets, data in text_slices(batch.column(2)):
-                text, lo, hi, _, _, ok, digest = _candidates(offsets, data)
-                pick = np.flatnonzero(ok)
-                if not len(pick):
-                    continue
-                ids = pa.array(text[pick] + row)
-                keys = [digest[k] for k in pick.tolist()]
-                columns = [batch.column(0).take(ids), batch.column(1).take(ids), pa.array(keys, pa.binary())]
-                if body:
-                    columns.append(pa.array([data[a:b] for a, b in zip(lo[pick].tolist(), hi[pick].tolist(), strict=True)], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "digest", "body"][:len(columns)])
-    return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, digest binary" + ", body binary" * body)
+                starts, ends, _, _, text, lo, hi = _spans(offsets, data)
+                view, seen = memoryview(data), {}
+                for t, a, z in zip(text.tolist(), starts[lo].tolist(), ends[hi - 1].tolist(), strict=True):
+                    key = (t, sha256(view[a:z]).digest())
+                    seen[key] = seen.get(key, 0) + 1
+                if seen:
+                    ids = pa.array([row + t for t, _ in seen], pa.int64())
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(ids), batch.column(1).take(ids), pa.array([d for _, d in seen], pa.binary()), pa.array(list(seen.values()), pa.int64())],
+                        names=["doc_id", "th", "digest", "n"])
+    return docs.select("doc_id", "th", "text").mapInArrow(run, "doc_id long, th long, digest binary, n long")
+
+
+def _runs(gone: np.ndarray) -> list[tuple[int, int, bool]]:
+    """(first, after, gone) of the runs of equal values."""
+    at = [0, *(np.flatnonzero(gone[1:] != gone[:-1]) + 1).tolist(), len(gone)]
+    return [(a, z, bool(gone[a])) for a, z in zip(at, at[1:])]
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_lines, n_chunks, removed_chunks,
-    removed (array of first line, from 0, and lines) and the text without the
-    removed lines.
+    """One row per row of ``docs``: doc_id, n_lines, n_chunks, removed_chunks
+    (runs of removed lines), removed (array of first line, from 0, and lines) and
+    the text without the removed lines.
 
     Null texts count as empty (one line, no chunk to remove) and come back
     empty. Rows that repeat an id count as one document: each keeps the first
-    occurrence of a chunk that the id owns. A chunk found only under null ids
-    stays where it is; otherwise null ids are the last to own a chunk. Chunks of
-    one digest and different bytes all stay. An empty table gives no rows."""
+    occurrence of a chunk that the id owns, and what overlaps that occurrence is
+    no second one. A chunk found only under null ids stays where it is;
+    otherwise null ids are the last to own a chunk. Every removed line stays
+    where its first copy stands. An empty table gives no rows."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
         .withColumn("th", F.xxhash64("text"))
-    # Grouping on the bytes is the byte comparison; equal chunks of a task meet before the shuffle.
-    groups = _rows(base, True).groupBy("digest", "body").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")) \
-        .select("digest", "owner", "n")
-    repeated = write_once(groups.groupBy("digest").agg(F.count("*").alias("texts"), F.min("owner").alias("owner"), F.sum("n").alias("n"))
-                          .where("texts = 1 and n > 1 and owner is not null").select("digest", "owner"), "line-chunks")
-    found = _rows(base, False).join(repeated, "digest") \
+    # Equal chunks of a task meet before the shuffle.
+    repeated = write_once(_rows(base).groupBy("digest").agg(F.min("doc_id").alias("owner"), F.sum("n").alias("n"))
+                          .where("n > 1 and owner is not null").select("digest", "owner"), "line-chunks")
+    found = _rows(base).join(repeated, "digest") \
         .groupBy("doc_id", "th").agg(F.collect_set(F.struct("digest", (F.col("owner").eqNullSafe(F.col("doc_id"))).alias("own"))).alias("cut"))
     found = found.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "cut")
     paired = base.join(found, base["doc_id"].eqNullSafe(found["_id"]) & (base["th"] == found["_th"]), "left").select("doc_id", "cut", "text")
@@ -122,24 +152,23 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             for row, offsets, data in text_slices(batch.column(2)):
                 n = len(offsets) - 1
                 cuts = batch.column(1).slice(row, n).to_pylist()
-                text, lo, hi, lines, at, _, digest = _candidates(offsets, data)
-                first = np.searchsorted(text, np.arange(n + 1))
-                out, removed, total = [], [], []
+                starts, ends, first, n_chunks, text, lo, hi = _spans(offsets, data)
+                of_text = np.searchsorted(text, np.arange(n + 1))
+                view, out, removed = memoryview(data), [], []
                 for t in range(n):
                     own = {x["digest"]: x["own"] for x in cuts[t] or ()}
-                    kept, gone, seen = [], [], set()
-                    for k in range(int(first[t]), int(first[t + 1])):
-                        d = digest[k]
-                        if d in own and (not own[d] or d in seen):
-                            gone.append({"line": int(at[k]), "lines": int(lines[k])})
-                        else:
-                            kept.append(data[lo[k]:hi[k]])
-                        seen.add(d)
-                    out.append(b"\n".join(kept))
-                    removed.append(gone)
-                    total.append(int(lines[first[t]:first[t + 1]].sum()))
+                    a = int(first[t])
+                    gone, kept_till = np.zeros(int(first[t + 1]) - a, bool), {}
+                    for k in range(int(of_text[t]), int(of_text[t + 1])) if own else ():
+                        b, z = int(lo[k]), int(hi[k])
+                        d = sha256(view[starts[b]:ends[z - 1]]).digest()
+                        if d in own and (not own[d] or b >= kept_till.setdefault(d, z)):
+                            gone[b - a:z - a] = True
+                    runs = _runs(gone)
+                    out.append(b"\n".join(data[starts[a + b]:ends[a + z - 1]] for b, z, g in runs if not g))
+                    removed.append([{"line": b, "lines": z - b} for b, z, g in runs if g])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, n), pa.array(total, pa.int64()), pa.array(np.diff(first)), pa.array([len(g) for g in removed], pa.int64()),
+                    [batch.column(0).slice(row, n), pa.array(np.diff(first)), pa.array(n_chunks), pa.array([len(g) for g in removed], pa.int64()),
                      pa.array(removed, pa.list_(pa.struct([("line", pa.int64()), ("lines", pa.int64())]))),
                      pa.array(out, pa.binary()).cast(pa.string())],
                     names=["doc_id", "n_lines", "n_chunks", "removed_chunks", "removed", "text"])

@@ -154,6 +154,23 @@ def test_shared_passage_is_removed_once(spark):
         assert left == [x for k, x in enumerate(t.split("\n")) if k not in gone]
 
 
+def test_short_passages_of_many_words_go_whole(spark):
+    docs, want = [], {}
+    for n in range(1, 7):
+        for case in range(8):
+            passage = [f"passage {n} {case} line {k} " + " ".join(f"w{j}" for j in range(52 // n)) for k in range(n)]
+            for copy in range(2):
+                i = len(docs)
+                own = [[f"own {side} {i} {k} of no other text" for k in range((case + copy * side) % 4)] for side in (1, 2)]
+                docs.append((i, "\n".join([*own[0], *passage, *own[1]])))
+                want[i] = docs[-1][1] if not copy else "\n".join([*own[0], *own[1]])
+    loop = "\n".join(["the same ten words stand in this line over again"] * 40)
+    docs.append((len(docs), loop))
+    got = {r.doc_id: r.text for r in L.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {i: got[i] for i in want} == want
+    assert 50 < len(spaced(got[len(docs) - 1])) < 80, "what repeats itself stays once"
+
+
 def test_line_dedup_edges(edge, empty):
     got = L.dedup_lines(edge)
     texts = {(r.doc_id, r.text) for r in got.collect()}
