@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import partitions_for, range_prefix, write_once
@@ -76,23 +76,33 @@ def demand_time(x: Column, target: Column, schedule: tuple[tuple[float, float],
     return out.otherwise(F.lit(schedule[-1][0]))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = WEIGHTS, schedules: tuple = SCHEDULES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target, taken
-    (words, repeats counted), train_time (when its first word is due) and
-    position (words of the mix before it); the last two null where not taken.
+def row_key(doc_id: Column, text: Column, source: Column) -> Column:
+    """Digest of a row's id, source and text; never null, so rows without an id spread."""
+    source = source.cast("string")
+    parts = (F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.coalesce(F.length(source).cast("string"), F.lit("")),
+             F.coalesce(source, F.lit("")), F.coalesce(F.concat(F.lit("t"), text.cast("string")), F.lit("")))
+    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
+
+
+def mix_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               weights: tuple[int, ...] = WEIGHTS, schedules: tuple = SCHEDULES) -> DataFrame:
+    """The first copy (copy 0) of each row of ``docs`` and those further ones
+    that are taken: row_key, doc_id, size, source_size, target, taken (words of
+    all copies), copy, words (of this one), train_time (when its first word is
+    due) and position (words of the mix before it; both null where no word is taken).
 
     Null texts have size 0; a null source is a source of its own, the last. A
-    source of size 0 has target 0. Ties in the hashed order go by id, then size;
-    equal rows are interchangeable. An empty table gives no rows."""
+    source of size 0 has target 0. Ties in the hashed order go by id, size, then
+    row key; equal rows are interchangeable. An empty table gives no rows."""
     spark = docs.sparkSession
     rows = write_once(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                                  words(F.col(text_col)).alias("size")), "mix-sizes")
+                                  words(F.col(text_col)).alias("size"),
+                                  row_key(F.col(id_col), F.col(text_col), F.col(source_col)).alias("row_key")), "mix-sizes")
     want = targets(rows.select("source", "size"), weights).withColumnRenamed("source", "_source")
     keyed = rows.join(want, rows["source"].eqNullSafe(want["_source"])).drop("_source", "source") \
         .withColumn("okey", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     n = partitions_for(spark)
-    order = [F.col(c) for c in ("rank", "okey", "doc_id", "size")]
+    order = [F.col(c) for c in ("rank", "okey", "doc_id", "size", "row_key")]
     c = range_prefix(keyed, order, n, "size", "c", "mix-order", by="rank")
     demand = F.floor(F.col("target") + F.lit(0.5))
     per_copy = [F.greatest(F.least(demand - F.col("c") - F.col("source_size") * k, F.col("size")), F.lit(0)) for k in range(EPOCHS)]
@@ -109,25 +119,42 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     copies = c.withColumn("copy", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), per_copy[k].alias("words"), due(k).alias("time"))
                                                       for k in range(EPOCHS)]))) \
         .where("copy.k = 0 or copy.words > 0") \
-        .select("doc_id", "size", "source_size", "target", "taken", "rank", "okey", F.col("copy.k").alias("k"),
+        .select("row_key", "doc_id", "size", "source_size", "target", "taken", "rank", "okey", F.col("copy.k").alias("k"),
                 F.col("copy.words").alias("words"), F.col("copy.time").alias("train_time"))
-    order = [F.col("train_time").asc_nulls_last(), *[F.col(x) for x in ("rank", "okey", "doc_id", "size", "k")]]
+    order = [F.col("train_time").asc_nulls_last(), *[F.col(x) for x in ("rank", "okey", "doc_id", "size", "row_key", "k")]]
     placed = range_prefix(copies, order, n, "words", "position", "mix-positions")
-    return placed.where("k = 0").select(
-        "doc_id", "size", "source_size", "target", "taken", "train_time",
+    return placed.select(
+        "row_key", "doc_id", "size", "source_size", "target", "taken", F.col("k").alias("copy"), "words", "train_time",
         F.when(F.col("words") > 0, F.col("position")).alias("position"))
 
 
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights: tuple[int, ...] = WEIGHTS, schedules: tuple = SCHEDULES) -> DataFrame:
+    """One row per row of ``docs``, its first copy in ``mix_copies``: doc_id,
+    size, source_size, target, taken, train_time, position, row_key."""
+    return mix_copies(docs, id_col, text_col, source_col, weights, schedules).where("copy = 0").select(
+        "doc_id", "size", "source_size", "target", "taken", "train_time", "position", "row_key")
+
+
 def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The documents that the mix takes, as often as it takes them; a text that
-    is taken in part is cut after that word. Rows that share an id share its
-    largest ``taken``; rows with a null id are one id."""
-    per_id = mixed.groupBy(F.col("doc_id").alias("id")).agg(F.max("taken").alias("taken")).where("taken > 0")
-    given = docs.select(F.struct("*").alias("row"), F.greatest(words(F.col("text")), F.lit(1)).alias("size"))
-    copies = given.join(per_id, given["row.doc_id"].eqNullSafe(per_id["id"])) \
-        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("taken") / F.col("size")))))
-    left = F.col("taken") - F.col("size") * (F.col("copy") - 1)
+    """The rows of ``docs`` (columns doc_id, text, source) that the mix takes, as
+    often as it takes each, at most ``EPOCHS`` times; a copy that is taken in
+    part is cut after that word. ``mixed`` is what ``mix`` or ``mix_copies`` gave
+    for these rows. Rows that share an id, or have none, are rows of their own."""
+    if "copy" not in mixed.columns:
+        mixed = mixed.withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(EPOCHS)]))) \
+            .withColumn("words", F.greatest(F.least(F.col("taken") - F.col("size") * F.col("copy"), F.col("size")), F.lit(0)))
+    # Equal rows are numbered on both sides; the j-th of each copy goes to the j-th row.
+    among = Window.partitionBy("row_key", "copy").orderBy(F.col("words").desc())
+    copies = write_once(mixed.select("row_key", "copy", "size", "words", F.row_number().over(among).alias("number")), "mix-copies")
+    given = docs.select(F.struct("*").alias("row"), row_key(F.col("doc_id"), F.col("text"), F.col("source")).alias("key"))
+    if (copies.agg(F.max("number")).first()[0] or 1) > 1:
+        given = given.withColumn("j", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+    else:
+        given = given.withColumn("j", F.lit(1))
+    taken = copies.where("words > 0")
+    found = given.join(taken, (given["key"] == taken["row_key"]) & (given["j"] == taken["number"]))
     pieces = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = F.array_join(F.slice(pieces, F.lit(1), F.greatest(left, F.lit(0)).cast("int")), "")
-    text = F.when(left < F.col("size"), cut).otherwise(F.col("row.text"))
-    return copies.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("row.text"))
+    return found.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

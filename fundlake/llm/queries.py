@@ -79,7 +79,7 @@ def op5_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the source targets and placed in training order."""
     from fundlake.llm.mixing import mix
-    return mix(table(spark, sf_dir, "documents"))
+    return mix(table(spark, sf_dir, "documents")).drop("row_key")
 
 
 ORACLE["op6_mix_sources"] = r"""

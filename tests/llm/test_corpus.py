@@ -11,7 +11,7 @@ import pyarrow.fs as pafs
 
 from fundlake.llm import warc
 from fundlake.llm.licenses import BASE, rules, scan_licenses
-from fundlake.llm.mixing import apply_mix, demand_time, mix, targets
+from fundlake.llm.mixing import apply_mix, demand_time, mix, mix_copies, targets
 from fundlake.llm.quality import OrdinalModel, classify, features, graded, train
 from fundlake.llm.rules import quality_rules
 from fundlake.llm.secrets import EXAMPLES, scan_secrets
@@ -168,6 +168,27 @@ def test_apply_mix_cuts_and_repeats(edge):
     assert all(words[i] == taken[i] for i in (1, 5, 7, 8))
 
 
+def test_apply_mix_takes_each_row_on_its_own(spark):
+    def text(tag, n):
+        return " ".join(f"{tag}{k}" for k in range(n))
+    given = [(None, text("huge", 3000), "a"), (9, text("nine", 400), "a"), (9, text("neun", 30), "a"), (9, text("short", 5), "c"), (None, None, "b"), (None, "", None)]
+    given += [(None, text(f"n{i}x", 10), "abc"[i % 3]) for i in range(90)] + [(None, "one text that is the same", "b")] * 7
+    given += [(i, text(f"d{i}x", 40 + i), "abc"[i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(given, "doc_id long, text string, source string")
+    for mixed in (mix(docs), mix_copies(docs)):
+        out = apply_mix(docs, mixed).collect()
+        got, want = Counter(), {}
+        for r in out:
+            got[r.source] += len(spaced(r.text))
+        for r in targets(docs.selectExpr("source", "cast(size(filter(split(coalesce(text, ''), ' '), x -> x <> '')) as long) as size")).collect():
+            want[r.source] = int(r.target + 0.5)
+        assert dict(got) == {s: n for s, n in want.items() if n}, "every source meets its target"
+        first = Counter((r.doc_id, r.source, spaced(r.text)[0]) for r in out)
+        there = Counter((i, s, spaced(t)[0]) for i, t, s in given if t)
+        assert all(n <= 2 * there[k] for k, n in first.items()), "no row comes more than twice"
+        assert all(any((t or "").startswith(r.text) for i, t, s in given if (i, s) == (r.doc_id, r.source)) for r in out)
+
+
 # ---- classifier ----
 
 def test_classifier_held_out(spark):
