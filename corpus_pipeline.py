@@ -25,7 +25,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each SimHash group, that of the smallest id."""
+    """Keep one row of each SimHash group, that of the smallest id."""
     return keep_one(docs, simhash_groups(docs))
 
 

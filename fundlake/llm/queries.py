@@ -24,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints and near-duplicate components of all documents."""
     from fundlake.llm.simhash import simhash_groups
-    return simhash_groups(table(spark, sf_dir, "documents"))
+    return simhash_groups(table(spark, sf_dir, "documents")).drop("root", "digest")
 
 
 @query

@@ -76,15 +76,22 @@ def _within(counts: np.ndarray) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp long): the 64-bit SimHash of each text's word shingles. A text of
-    fewer words is one shingle; a text without words has fingerprint 0."""
+    """(id, fp long, digest): the 64-bit SimHash of each text's word shingles and
+    the text's SHA-256. A text of fewer words is one shingle; a text without words
+    has fingerprint 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, offsets, data in text_slices(batch.column(1)):
                 fp = _fingerprints(offsets, data, shingle_words).view(np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(fp)), pa.array(fp)], names=["doc_id", "fp"])
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")) \
-        .mapInArrow(run, "doc_id long, fp long")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(fp)), pa.array(fp), batch.column(2).slice(at, len(fp))],
+                                                 names=["doc_id", "fp", "digest"])
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), text_digest(F.col(text_col))) \
+        .mapInArrow(run, "doc_id long, fp long, digest binary")
+
+
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text; a null text counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
 
 
 # ---- the index --------------------------------------------------------------
@@ -281,7 +288,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    shingle_words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """Near-duplicate groups: one row per row of ``docs`` with ``doc_id``,
     ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id that
-    links of at most ``distance`` bits reach.
+    links of at most ``distance`` bits reach; besides ``root``, a fingerprint that
+    names the group also where no row of it has an id, and the text's ``digest``.
 
     Null texts count as empty; all texts without words share fingerprint 0 and
     are one fingerprint class. Repeated rows stay, one output row each. Rows
@@ -293,17 +301,18 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of_class = classes.join(roots, classes["fp"] == roots["node"], "left") \
         .select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = of_class.groupBy("root").agg(F.min("rep").alias("component_id"))
-    members = write_once(of_class.join(least, "root").select(F.col("fp").alias("_fp"), "component_id"), "simhash-members")
+    members = write_once(of_class.join(least, "root").select(F.col("fp").alias("_fp"), "component_id", "root"), "simhash-members")
     return fps.join(members, fps["fp"] == members["_fp"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root", "digest")
 
 
 def keep_one(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: those whose id is the
-    component id. Of rows that repeat both that id and its text one stays. Rows
-    without an id stay, one for each text, when no row of their group has an id."""
-    no_id = F.lit(-(1 << 63))
-    ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", no_id).alias("key")).distinct()
+    """Exactly one row of ``docs`` for each group of ``groups`` (``simhash_groups``
+    of these rows): that of the smallest id, rows without an id last; of rows that
+    share the id, that of the least text digest; of equal ones any."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest"))
+    stay = groups.groupBy("root").agg(least.alias("row")).select("row.no_id", F.coalesce("row.doc_id", F.lit(0)).alias("id"), "row.digest")
     # The row as one column: no name of its own can clash, and only the digest is compared.
-    return docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", no_id).alias("key"), F.sha2("text", 256).alias("digest")) \
-        .join(ids, "key", "left_semi").dropDuplicates(["key", "digest"]).select("row.*")
+    given = docs.select(F.struct("*").alias("row"), F.col("doc_id").isNull().alias("no_id"),
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), text_digest(F.col("text")).alias("digest"))
+    return given.join(stay, ["no_id", "id", "digest"], "left_semi").dropDuplicates(["no_id", "id", "digest"]).select("row.*")

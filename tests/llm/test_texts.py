@@ -95,6 +95,20 @@ def test_keep_one_and_empty(edge, empty):
     assert S.simhash_groups(empty).count() == 0
 
 
+def test_keep_one_of_groups_with_and_without_ids(spark):
+    def near(word, change):
+        return " ".join([f"{word}{k}" for k in range(400)] + ([change] if change else []))
+    docs = spark.createDataFrame([
+        (1, near("a", "")), (None, near("a", "x")),                      # near copy of a document with an id
+        (None, near("b", "")), (None, near("b", "y")), (None, near("b", "y")),  # a group without ids
+        (2, near("c", "")), (2, near("c", "z")),                         # an id with two near texts
+        (3, near("d", "")), (3, near("e", "")), (None, near("f", ""))], "doc_id long, text string")
+    groups = S.simhash_groups(docs, distance=8)
+    assert groups.select("root").distinct().count() == 6
+    assert sorted((str(r.doc_id), r.text[0]) for r in S.keep_one(docs, groups).collect()) == \
+        [("1", "a"), ("2", "c"), ("3", "d"), ("3", "e"), ("None", "b"), ("None", "f")]
+
+
 # ---- decontamination ----
 
 def plain_hits(docs, items, window=10):
