@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fundlake.llm.common import write_once
 from fundlake.llm.decontaminate import decontaminate
-from fundlake.llm.mixing import apply_mix, mix
+from fundlake.llm.mixing import apply_mix, mix_copies
 from fundlake.llm.quality import classify, graded, train
 from fundlake.llm.simhash import keep_one, simhash_groups
 from fundlake.llm.tokens import read_tokens, write_tokens
@@ -36,8 +36,9 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat, cut and drop documents as the mix of their sources takes them."""
-    return apply_mix(docs, mix(docs))
+    """Repeat, cut and drop documents as the mix of their sources takes them, in
+    training order. The packed tokens of the next stage stand by id again."""
+    return apply_mix(docs, mix_copies(docs))
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

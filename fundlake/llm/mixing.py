@@ -140,13 +140,15 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The rows of ``docs`` (columns doc_id, text, source) that the mix takes, as
     often as it takes each, at most ``EPOCHS`` times; a copy that is taken in
     part is cut after that word. ``mixed`` is what ``mix`` or ``mix_copies`` gave
-    for these rows. Rows that share an id, or have none, are rows of their own."""
-    if "copy" not in mixed.columns:
+    for these rows. Rows that share an id, or have none, are rows of their own.
+    With ``mix_copies``, which places every copy, the rows come in training order."""
+    placed = "copy" in mixed.columns
+    if not placed:
         mixed = mixed.withColumn("copy", F.explode(F.array(*[F.lit(k) for k in range(EPOCHS)]))) \
             .withColumn("words", F.greatest(F.least(F.col("taken") - F.col("size") * F.col("copy"), F.col("size")), F.lit(0)))
     # Equal rows are numbered on both sides; the j-th of each copy goes to the j-th row.
     among = Window.partitionBy("row_key", "copy").orderBy(F.col("words").desc())
-    copies = write_once(mixed.select("row_key", "copy", "size", "words", F.row_number().over(among).alias("number")), "mix-copies")
+    copies = write_once(mixed.select("row_key", "copy", "size", "words", "position", F.row_number().over(among).alias("number")), "mix-copies")
     given = docs.select(F.struct("*").alias("row"), row_key(F.col("doc_id"), F.col("text"), F.col("source")).alias("key"))
     if (copies.agg(F.max("number")).first()[0] or 1) > 1:
         given = given.withColumn("j", F.row_number().over(Window.partitionBy("key").orderBy("key")))
@@ -157,4 +159,6 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     pieces = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     cut = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
     text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("row.text"))
+    if placed:
+        found = found.orderBy("position")
     return found.select(*[text.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -189,6 +189,15 @@ def test_apply_mix_takes_each_row_on_its_own(spark):
         assert all(any((t or "").startswith(r.text) for i, t, s in given if (i, s) == (r.doc_id, r.source)) for r in out)
 
 
+def test_mixed_rows_are_written_in_training_order(spark, sample):
+    from corpus_pipeline import mix_sources
+    from fundlake.llm.common import write_once
+    docs = sample.where("length(text) > 0").dropDuplicates(["doc_id"])
+    want = [r.doc_id for r in mix_copies(docs).where("words > 0").orderBy("position").collect()]
+    assert [r.doc_id for r in write_once(mix_sources(spark, docs, ""), "ordered").collect()] != sorted(want)
+    assert [r.doc_id for r in mix_sources(spark, docs, "").collect()] == want
+
+
 # ---- classifier ----
 
 def test_classifier_held_out(spark):
