@@ -33,7 +33,7 @@ RELEVANCE = {NOTICE: 1.0, VERSIONED: 0.9, NAMED: 0.7, CLUE: 0.3}
 @dataclass(frozen=True)
 class Family:
     label: str
-    keyword: str          # stands in every text that any of its rules match
+    keyword: str          # gates those of its rules whose words hold it; see gate()
     names: tuple[str, ...]
     versions: tuple[str, ...] = ()
     tags: tuple[str, ...] = ()
@@ -57,7 +57,7 @@ FAMILIES = (
     Family("boost", "boost", ("boost software license|licence",), ("1 0",), ("bsl 1 0",)),
     Family("isc", "isc", ("isc license|licence",), (), ("isc",)),
     Family("unlicense", "unlicense", ("the? unlicense",), (), ("unlicense",)),
-    Family("wtfpl", "want to public", ("do what the f fuck? you want to public license|licence",), ("2",), ("wtfpl",)),
+    Family("wtfpl", "want to public", ("do what the fuck|f ck|k|fuck? you want to public license|licence",), ("2",), ("wtfpl",)),
     Family("python", "python", ("python software foundation license|licence", "python license|licence"), ("2", "2 0"), ("psf 2 0", "python 2 0")),
     Family("php", "php", ("php license|licence",), ("3 0", "3 01"), ("php 3 0", "php 3 01")),
     Family("ruby", "ruby", ("ruby license|licence", "ruby s license|licence"), (), ("ruby",)),
@@ -116,25 +116,62 @@ def pattern(phrase: str) -> str:
     return f"(?i)(?<!{WORD}){out}(?!{WORD})"
 
 
-def rules() -> list[tuple[str, str, str, int]]:
-    """(keyword, regex, label, priority), in order: what precedes wins ties."""
+def _required(phrase: str) -> list[str]:
+    """Texts of which a match of the phrase holds each, separators as one space:
+    the runs of words that are neither optional nor one of several."""
+    out, run = [], []
+    for token in [*phrase.split(), "?"]:
+        if "|" in token or token.endswith("?"):
+            out += [" ".join(run)] if run else []
+            run = []
+        else:
+            run.append(token)
+    return out
+
+
+def holds(phrase: str, keyword: str) -> bool:
+    """Whether the keyword stands in every match of the phrase."""
+    choices = [t.split("|") for t in phrase.split() if "|" in t and not t.endswith("?")]
+    return any(keyword in run for run in _required(phrase)) or any(all(keyword in w for w in c) for c in choices)
+
+
+def gate(phrase: str, keyword: str) -> str:
+    """The keyword, if every match of the phrase holds it, or else the longest text that one does."""
+    return keyword if holds(phrase, keyword) else max(_required(phrase), key=len)
+
+
+def listed() -> list[tuple[str, str, str, int]]:
+    """(keyword, phrase, label, priority), in order: what precedes wins ties."""
     out = []
+
+    def add(keyword: str, phrase: str, label: str, priority: int) -> None:
+        out.append((gate(phrase, keyword), phrase, label, priority))
+
     for f in FAMILIES:
         for name in f.names:
             for v in f.versions:
                 said = f"{name} version|v? {v}"
-                out.append((f.keyword, pattern(said), f"{f.label}-{v.replace(' ', '.')}", VERSIONED))
-                out += [(f.keyword, pattern(n.format(said)), f"{f.label}-{v.replace(' ', '.')}", NOTICE) for n in NOTICES[:2]]
-            out += [(f.keyword, pattern(n.format(name)), f.label, NOTICE) for n in NOTICES]
-            out.append((f.keyword, pattern(name), f.label, NAMED))
-        out += [("spdx", pattern(f"spdx license identifier {t}"), f"spdx-{t.replace(' ', '-')}", NOTICE) for t in f.tags]
-    out += [(k, pattern(p), label, CLUE) for label, k, p in CLUES]
+                add(f.keyword, said, f"{f.label}-{v.replace(' ', '.')}", VERSIONED)
+                for n in NOTICES[:2]:
+                    add(f.keyword, n.format(said), f"{f.label}-{v.replace(' ', '.')}", NOTICE)
+            for n in NOTICES:
+                add(f.keyword, n.format(name), f.label, NOTICE)
+            add(f.keyword, name, f.label, NAMED)
+        for t in f.tags:
+            add("spdx", f"spdx license identifier {t}", f"spdx-{t.replace(' ', '-')}", NOTICE)
+    for label, k, p in CLUES:
+        add(k, p, label, CLUE)
     return out
 
 
+def rules() -> list[tuple[str, str, str, int]]:
+    """(keyword, regex, label, priority) of the listed rules."""
+    return [(k, pattern(p), label, priority) for k, p, label, priority in listed()]
+
+
 #: A text without any of these words, or "cc by", holds no match of any rule.
 PREFILTER = ("licen", "spdx", "cc0", "reserved", "proprietary", "permission", "copyright", "domain", "warranty",
-             "redistribut", "creative", "reproduced", "gpl", "mulan")
+             "redistribut", "creative", "reproduced", "gpl", "mulan", "copying")
 
 
 def _count(text: Column) -> Column:

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow.fs as pafs
 
 from fundlake.llm import warc
-from fundlake.llm.licenses import BASE, rules, scan_licenses
+from fundlake.llm.licenses import BASE, listed, rules, scan_licenses
 from fundlake.llm.mixing import apply_mix, demand_time, mix, mix_copies, targets
 from fundlake.llm.quality import OrdinalModel, classify, features, graded, train
 from fundlake.llm.rules import quality_rules
@@ -52,6 +52,26 @@ def test_license_detections_of_many_matches(spark):
     assert [(d.at, d.till) for d in got.detections[-2:]] == [(2999 * 7, 2999 * 7 + 1), (2999 * 7 + 3, 2999 * 7 + 7)]
 
 
+def examples(phrase):
+    """Word sequences that the phrase stands for: each alternative and each optional word at least once."""
+    choices = [(t.rstrip("?").split("|"), t.endswith("?")) for t in phrase.split()]
+    full, least = [c[0] for c, _ in choices], [None if optional else c[0] for c, optional in choices]
+    out = [full, least]
+    for k, (c, _) in enumerate(choices):
+        out += [[*full[:k], w, *full[k + 1:]] for w in c[1:]]
+    return {" ".join(w for w in words if w) for words in out}
+
+
+def test_license_rules_all_fire(spark):
+    wanted = sorted({(text, label) for _, phrase, label, _ in listed() for text in examples(phrase)})
+    texts = ["Do What The F*ck You Want To Public License", "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE, version 2",
+             "This is under the GNU Library\n * General Public Licence", "see the COPYING file, for details", "the Expat License"]
+    wanted += list(zip(texts, ["wtfpl", "wtfpl-2", "lgpl", "see-license", "mit"], strict=True))
+    given = spark.createDataFrame([(i, f"So: {t}.") for i, (t, _) in enumerate(wanted)], "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.labels.split(",") for r in scan_licenses(given).select("doc_id", "labels").collect()}
+    assert [x for i, x in enumerate(wanted) if x[1] not in got[i]] == []
+
+
 # ---- quality rules ----
 
 def test_quality_rules_against_plain(edge, empty, sample):
