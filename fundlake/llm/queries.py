@@ -172,3 +172,35 @@ def op10_scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored secret candidates of all documents."""
     from fundlake.llm.secrets import scan_secrets
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as fill-in-the-middle examples, and restored from them."""
+    from fundlake.llm.pieces import fill_in_middle, restore
+    made = fill_in_middle(table(spark, sf_dir, "documents"), ["doc_id"])
+    told = ["n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    back = restore(made.select("row.doc_id", *told, "output"), ["doc_id", *told])
+    return back.select("row.doc_id", *[f"row.{c}" for c in told], "restored_sha256")
+
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), r AS (
+  SELECT *, len(u) AS n, [CAST('0x' || substr(h, 1 + 8 * k, 8) AS BIGINT) FOR k IN range(4)] AS x FROM d
+), c AS (
+  SELECT *, least(x[1] % (n + 1), x[2] % (n + 1)) AS a, greatest(x[1] % (n + 1), x[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR x[3] % 100 >= 90 THEN 'plain'
+              WHEN x[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM r
+), p AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle, array_to_string(u[b + 1:], '') AS suffix FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
