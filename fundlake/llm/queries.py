@@ -204,3 +204,71 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST
               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256
 FROM p
 """
+
+
+@query
+def op11_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by rule and repaired by the cheapest edits."""
+    from fundlake.llm.turns import damaged, repair, summarize
+    given = table(spark, sf_dir, "conversations")
+    found = summarize(repair(damaged(given))).withColumnRenamed("conv_id", "_found")
+    ids = given.groupBy("conv_id").agg(F.lit(0).alias("_n")).drop("_n")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(found, ids["conv_id"].eqNullSafe(found["_found"]), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+ORACLE["op11_repair_turns"] = r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations
+), h AS (
+  SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(k[i]) AS BIGINT) FOR i IN range(1, length(k) + 1)]),
+      LAMBDA a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], LAMBDA x, y: xor(x >> 1, 3988292384 * (x & 1)))),
+      CAST(4294967295 AS BIGINT)) % 20 AS m FROM c
+), dmg AS (
+  SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+         CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN m = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM h WHERE m <> 0
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM dmg
+), f AS (
+  SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+      lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o
+), told AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY conv_id
+), e AS (
+  -- cheapest ways after the row and before any insertion: nothing yet, after s, after u, after a
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {'c': 0, 'a': '', 't': ''} AS p0, {'c': 1000000, 'a': '', 't': ''} AS p1,
+         {'c': 1000000, 'a': '', 't': ''} AS p2, {'c': 1000000, 'a': '', 't': ''} AS p3 FROM told
+  UNION ALL
+  SELECT conv_id, i, list_min([{'c': e0.c + 3, 'a': e0.a || 'D', 't': e0.t}]),
+    list_min([{'c': e1.c + 3, 'a': e1.a || 'D', 't': e1.t}, {'c': e0.c + u + CASE WHEN ini = 's' THEN 0 ELSE 1000000 END, 'a': e0.a || 'K', 't': e0.t || chr(10) || line}]),
+    list_min(list_concat([{'c': e2.c + 3, 'a': e2.a || 'D', 't': e2.t}],
+      [{'c': x.c + u + CASE WHEN ini = 'u' THEN 0 ELSE 1000000 END, 'a': x.a || 'K', 't': x.t || chr(10) || line} FOR x IN [e0, e1, e3]],
+      [{'c': x.c + u + 2, 'a': x.a || 'R', 't': x.t || chr(10) || 'user:' || text} FOR x IN [e0, e1, e3]])),
+    list_min([{'c': e3.c + 3, 'a': e3.a || 'D', 't': e3.t}, {'c': e2.c + u + CASE WHEN ini = 'a' THEN 0 ELSE 1000000 END, 'a': e2.a || 'K', 't': e2.t || chr(10) || line},
+      {'c': e2.c + u + 2, 'a': e2.a || 'R', 't': e2.t || chr(10) || 'assistant:' || text}])
+  FROM (
+    SELECT e.conv_id, f.i, f.text, f.ini, f.role || ':' || f.text AS line,
+      CASE f.fault WHEN 'truncated' THEN 1 WHEN '' THEN 0 ELSE 1000000 END AS u, p0 AS e0, p1 AS e1,
+      list_min(list_concat([p2], [{'c': x.c + 2, 'a': x.a || 'I', 't': x.t || chr(10) || 'user:'} FOR x IN [p0, p1, p3]])) AS e2,
+      list_min(list_concat([p3, {'c': p2.c + 2, 'a': p2.a || 'I', 't': p2.t || chr(10) || 'assistant:'}],
+        [{'c': x.c + 4, 'a': x.a || 'II', 't': x.t || chr(10) || 'user:' || chr(10) || 'assistant:'} FOR x IN [p0, p1]])) AS e3
+    FROM e JOIN f ON e.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = e.i + 1
+  )
+), last AS (
+  SELECT told.*, list_min(list_concat([p0, p3, {'c': p2.c + 2, 'a': p2.a || 'I', 't': p2.t || chr(10) || 'assistant:'}],
+      [{'c': x.c + 4, 'a': x.a || 'II', 't': x.t || chr(10) || 'user:' || chr(10) || 'assistant:'} FOR x IN [p0, p1]])) AS w
+  FROM e JOIN told ON e.conv_id IS NOT DISTINCT FROM told.conv_id AND e.i = told.n
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(w.c, 0) AS BIGINT) AS cost, coalesce(w.a, '') AS audit,
+       sha256(coalesce(w.t[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN last ON a.conv_id IS NOT DISTINCT FROM last.conv_id
+"""
