@@ -234,9 +234,11 @@ WITH RECURSIVE c AS (
 ), o AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM dmg
 ), f AS (
-  SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+  SELECT *, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
       WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-      WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault,
+      WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault,
       lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM o
 ), told AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
@@ -272,3 +274,40 @@ SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
        sha256(coalesce(w.t[2:], '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN last ON a.conv_id IS NOT DISTINCT FROM last.conv_id
 """
+
+
+@query
+def op12_minmax_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by min-max hashing."""
+    from fundlake.llm.minmax import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_minmax_groups"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT rid, array_to_string(w[k:k + 4], ' ') AS g FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT rid, count(*) AS n FROM s GROUP BY rid
+), t AS (
+  -- sets that are alike share one of each set's few least frequent shingles
+  SELECT s.rid, s.g, n.n, row_number() OVER (PARTITION BY s.rid ORDER BY f.c, s.g) AS at
+  FROM s JOIN n USING (rid) JOIN (SELECT g, count(*) AS c FROM s GROUP BY g) f USING (g)
+), p AS (
+  SELECT DISTINCT a.rid AS u, b.rid AS v FROM t a JOIN t b ON a.g = b.g AND a.rid < b.rid
+  WHERE a.at <= a.n - (85 * a.n + 99) // 100 + 1 AND b.at <= b.n - (85 * b.n + 99) // 100 + 1 AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+), l AS (
+  SELECT u, v FROM p JOIN s a ON a.rid = u JOIN s b ON b.rid = v AND a.g = b.g JOIN n x ON x.rid = u JOIN n y ON y.rid = v
+  GROUP BY u, v, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+), r AS (
+  SELECT rid AS a, rid AS b FROM d
+  UNION
+  SELECT r.a, e.v FROM r JOIN (SELECT u, v FROM l UNION ALL SELECT v, u FROM l) e ON r.b = e.u
+), c AS (
+  SELECT a, min(x.doc_id) AS component_id FROM r JOIN d x ON x.rid = r.b GROUP BY a
+)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN c ON c.a = d.rid LEFT JOIN n ON n.rid = d.rid
+"""
