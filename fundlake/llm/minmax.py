@@ -15,7 +15,8 @@ in rounds, so that a large group of near copies never becomes all its pairs:
 1. every class asks the bucket's smallest class that it shares most bands with;
 2. where a bucket still holds several components, each class asks the class of another
    component whose signature agrees most with its own, found block by block;
-3. what then still differs in component and agrees enough by signature is asked.
+3. what then still differs in component and agrees enough by signature is asked; here
+   whole sets meet in pairs of blocks, so no row stands for a single pair.
 
 Every link is confirmed on the full sets. Of pairs at the similarity sought, the
 signature test of rounds 2 and 3 (five standard errors below) loses fewer than 3e-7.
@@ -45,6 +46,8 @@ SEED = 12
 CHUNK = 8192
 #: Classes of a bucket in one block; pairs of blocks are independent rows of work.
 BLOCK = 256
+#: Shingles of a block; bounds what a task holds where sets are long.
+BLOCK_SHINGLES = 1 << 20
 #: Pairs compared at once inside a task.
 PAIRS = 1 << 16
 #: Standard errors that a signature may fall short of the similarity sought.
@@ -204,61 +207,142 @@ def _agreeing(cls, comp, n, sig, side, start: np.ndarray, percent: int) -> Itera
         at = to
 
 
-def meetings(members: DataFrame, percent: int, best: bool) -> DataFrame:
-    """Pairs (u, v), u > v, that may link components within the buckets of ``members``
-    (key, cls, comp, n, signature). With ``best``, one pair at most for each class: with the
-    class that agrees most with it; otherwise all."""
+def _blocks(members: DataFrame, extra: list[str]) -> DataFrame:
+    """The members of the buckets that hold several components, dealt to pairs of
+    blocks (key, i, j) and sorted by them. ``side`` is -1 within one block, else the
+    member's block. A block has about BLOCK classes and BLOCK_SHINGLES shingles."""
     spark = members.sparkSession
-    open_ = members.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("_n")).where("_a <> _b") \
-        .select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    open_ = members.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), blocks).where("_a <> _b").select("key", "blocks")
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    rows = members.join(open_, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+    return members.join(open_, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"),
-                "cls", "comp", "n", "signature") \
+                "cls", "comp", "n", "signature", *extra) \
         .repartition(partitions_for(spark) * 2, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        """Tables that end where a group ends."""
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
-            cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in range(3)):
-                yield pa.Table.from_batches(held)
-                held = []
-            if len(cut):
-                yield pa.Table.from_batches([*held, batch.slice(0, int(cut[-1]))])
-                held = [batch.slice(int(cut[-1]))]
-            else:
-                held.append(batch)
-        if held:
-            yield pa.Table.from_batches(held)
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Tables of whole groups (the first three columns): table, first rows and ends of its groups."""
+    def told(held: list[pa.RecordBatch]) -> tuple[pa.Table, np.ndarray, np.ndarray]:
+        t = pa.Table.from_batches(held)
+        keys = [t.column(k).to_numpy() for k in range(3)]
+        heads = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+        return t, heads, np.append(heads[1:], t.num_rows)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
+        cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+        if held and any(held[-1].column(k)[-1] != batch.column(k)[0] for k in range(3)):
+            yield told(held)
+            held = []
+        if len(cut):
+            yield told([*held, batch.slice(0, int(cut[-1]))])
+            held = [batch.slice(int(cut[-1]))]
+        else:
+            held.append(batch)
+    if held:
+        yield told(held)
+
+
+def _pairs(t: pa.Table, heads: np.ndarray, ends: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    side, cls, comp, n = (t.column(k).to_numpy() for k in range(3, 7))
+    sig = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(t.num_rows, VALUES)
+    yield from _agreeing(cls, comp, n, sig, side, np.repeat(ends, ends - heads), percent)
+
+
+def best_partners(members: DataFrame, percent: int) -> DataFrame:
+    """For each class at most one pair (u, v), u > v: with the class of another
+    component whose signature agrees most with its own in some bucket of ``members``
+    (key, cls, comp, n, signature)."""
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in groups(batches):
-            key, i, j, side, cls, comp, n = (t.column(k).to_numpy() for k in range(7))
-            sig = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(len(key), VALUES)
-            heads = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
-            ends = np.append(heads[1:], len(key))
-            start = np.repeat(ends, ends - heads)
-            for a, b, same in _agreeing(cls, comp, n, sig, side, start, percent):
-                u, v = cls[a], cls[b]
-                if best:
-                    u, v, same = np.concatenate([u, v]), np.concatenate([v, u]), np.concatenate([same, same])
-                    order = np.lexsort((v, -same, u))
-                    order = order[np.concatenate([[True], u[order][1:] != u[order][:-1]])] if len(order) else order
-                    u, v, same = u[order], v[order], same[order]
-                else:
-                    u, v = np.maximum(u, v), np.minimum(u, v)
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(same.astype(np.int32))], names=["u", "v", "same"])
-
-    found = rows.mapInArrow(meet, "u long, v long, same int")
-    if best:
-        found = found.groupBy("u").agg(F.max(F.struct("same", (-F.col("v")).alias("v"))).alias("x")).select("u", (-F.col("x.v")).alias("v"))
-        found = found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    return found.select("u", "v").distinct()
+        for t, heads, ends in _groups(batches):
+            cls = t.column(4).to_numpy()
+            for a, b, same in _pairs(t, heads, ends, percent):
+                u, v, same = np.concatenate([cls[a], cls[b]]), np.concatenate([cls[b], cls[a]]), np.concatenate([same, same])
+                order = np.lexsort((v, -same, u))
+                if len(order):
+                    order = order[np.concatenate([[True], u[order][1:] != u[order][:-1]])]
+                    yield pa.RecordBatch.from_arrays([pa.array(u[order]), pa.array(v[order]), pa.array(same[order].astype(np.int32))], names=["u", "v", "same"])
+
+    found = _blocks(members, []).mapInArrow(meet, "u long, v long, same int")
+    found = found.groupBy("u").agg(F.max(F.struct("same", (-F.col("v")).alias("v"))).alias("x")).select("u", (-F.col("x.v")).alias("v"))
+    return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def remaining_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v), u > v, that join the components of ``members`` (key, cls, comp, n,
+    signature, bands) as all links between classes that share a bucket would.
+
+    A pair is asked in its first shared band only. Sets travel once for each pair of
+    blocks in which they are asked, not once for each pair of classes, and of the
+    links found in a pair of blocks only a spanning forest comes out."""
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, heads, ends in _groups(batches):
+            keys = t.column(0).to_numpy()
+            shared = t.column(8).combine_chunks().flatten().to_numpy().reshape(t.num_rows, BANDS)
+            rows, partners = [], []
+            for a, b, _ in _pairs(t, heads, ends, percent):
+                same = shared[a] == shared[b]
+                first = same.argmax(axis=1)
+                here = shared[a, first] == keys[a]
+                rows.append(a[here])
+                partners.append(b[here])
+            a, b = np.concatenate([*rows, [0][:0]]).astype(np.int64), np.concatenate([*partners, [0][:0]]).astype(np.int64)
+            if not len(a):
+                continue
+            order = np.argsort(a, kind="stable")
+            a, b = a[order], b[order]
+            told = np.union1d(a, b)
+            counts = np.bincount(np.searchsorted(told, a), minlength=len(told))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(t.column(4).to_numpy()[b]))
+            part = t.take(pa.array(told))
+            yield pa.RecordBatch.from_arrays([*(part.column(k).combine_chunks() for k in (0, 1, 2, 4, 5)), lists], names=["key", "i", "j", "cls", "comp", "partners"])
+
+    asked = _blocks(members, ["bands"]).mapInArrow(ask, "key long, i int, j int, cls long, comp long, partners array<long>")
+    told = asked.join(sets.select("cls", "items"), "cls").select("key", "i", "j", "cls", "comp", "partners", "items") \
+        .repartition(partitions_for(members.sparkSession) * 2, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t, heads, ends in _groups(batches):
+            cls, comp = t.column(3).to_numpy(), t.column(4).to_numpy()
+            first, flat = _flat(t.column(5))
+            starts, items = _flat(t.column(6))
+            u, v = [], []
+            for s, e in zip(heads.tolist(), ends.tolist(), strict=True):
+                place = {c: k for k, c in enumerate(cls[s:e].tolist(), s)}
+                parent: dict[int, int] = {}
+
+                def root(c: int) -> int:
+                    while c in parent:
+                        c = parent[c]
+                    return c
+
+                for k in range(s, e):
+                    mine = items[starts[k]:starts[k + 1]]
+                    for other in flat[first[k]:first[k + 1]].tolist():
+                        x, y = root(int(comp[k])), root(int(comp[place[other]]))
+                        if x == y:
+                            continue
+                        theirs = items[starts[place[other]]:starts[place[other] + 1]]
+                        both = len(np.intersect1d(mine, theirs, assume_unique=True))
+                        if 100 * both >= percent * (len(mine) + len(theirs) - both):
+                            parent[x] = y
+                            u.append(int(cls[k]))
+                            v.append(other)
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
+
+    return told.mapInArrow(settle, "u long, v long").distinct()
+
+
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a list column."""
+    lists = column.combine_chunks()
+    lists = lists.cast(pa.large_list(lists.type.value_type))
+    return lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten().to_numpy()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
@@ -288,13 +372,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     asked = write_once(asked, "minmax-asked")
     links = write_once(confirmed(asked, sets, least_percent), "minmax-links")
     roots = components(links)
-    told = members.select("key", "cls").join(classes.select("cls", "n", "signature"), "cls")
-    for best in (True, False):
-        now = told.join(roots, told["cls"] == roots["node"], "left").select("key", "cls", F.coalesce("root", "cls").alias("comp"), "n", "signature")
-        more = write_once(meetings(now, least_percent, best).join(asked, ["u", "v"], "left_anti"), "minmax-asked")
-        links = links.union(write_once(confirmed(more, sets, least_percent), "minmax-links"))
-        asked = asked.union(more)
-        roots = components(links)
+    told = members.select("key", "cls").join(classes.select("cls", "n", "signature", "bands"), "cls")
+
+    def by_component() -> DataFrame:
+        return told.join(roots, told["cls"] == roots["node"], "left").select("key", "cls", F.coalesce("root", "cls").alias("comp"), "n", "signature", "bands")
+
+    best = best_partners(by_component(), least_percent).join(asked, ["u", "v"], "left_anti")
+    links = links.union(write_once(confirmed(best, sets, least_percent), "minmax-links"))
+    roots = components(links)
+    links = links.union(write_once(remaining_links(by_component(), sets, least_percent), "minmax-links"))
+    roots = components(links)
 
     of_class = classes.join(roots, classes["cls"] == roots["node"], "left").select("set_digest", "rep.doc_id", F.coalesce("root", "cls").alias("root"))
     least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))
