@@ -149,6 +149,20 @@ def documents_csv(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, sf_dir, "documents_csv", render)
 
 
+# --- documents: raw line breaks inside quoted fields, backslash escapes ------
+def documents_breaks(spark: SparkSession, sf_dir: str) -> str:
+    def render(path):
+        d = table(spark, sf_dir, "documents")
+        def quoted(c):
+            text = F.replace(F.replace(F.col(c), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+            return F.coalesce(F.concat(F.lit('"'), text, F.lit('"')), F.lit("\\N"))
+        def number(c):
+            return F.coalesce(_text(F.col(c)), F.lit("\\N"))
+        d.select(F.concat_ws(",", number("doc_id"), quoted("text"), quoted("lang"), quoted("source"), number("n_chars"))).write.text(path)
+        return path
+    return _cached(spark, sf_dir, "documents_breaks", render)
+
+
 # --- orders: clean split files and a file with injected defects --------------
 ORDERS_SPLIT_DATE = "1998-01-01"
 

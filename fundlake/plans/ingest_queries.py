@@ -147,6 +147,16 @@ def ingest_backslash(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(t)
 
 
+@query("ingest_multiline", """
+SELECT doc_id, text, lang, source, n_chars FROM documents
+""", covers="S01 S04 raw line breaks in quoted fields together with backslash escapes, read in splits")
+def ingest_multiline(spark: SparkSession, sf: str) -> DataFrame:
+    t = unique_name("stg_document")
+    spec = DOCUMENT_SPEC.with_options(escape_char="\\", skip_lines=0)
+    ingest(spark, spec, fx.documents_breaks(spark, sf), table=t, on_bad="fail")
+    return spark.table(t)
+
+
 @query("ingest_rejects", f"""
 SELECT o_orderkey AS orderkey,
   CASE WHEN {DEFECT_RAGGED} THEN 'malformed record'

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..spec import IngestSpec
+from .multiline import read_records
 
 CORRUPT = "_corrupt_record"
 SOURCE_FILE = "_source_file"
@@ -66,15 +67,8 @@ def read_delimited(spark: SparkSession, path: str | list[str], spec: IngestSpec)
     """Raw string fields in file order + ``_corrupt_record`` + ``_source_file``."""
     paths = [path] if isinstance(path, str) else list(path)
     if spec.multiline:
-        # records span lines, so Spark's reader parses whole files; of the
-        # backslash escapes it knows the escaped quote only
-        if spec.skip_lines > 1:
-            raise ValueError("files with line breaks in fields may skip at most one line")
-        reader = spark.read.schema(raw_schema(spec)).options(**csv_options(spec))
-        if spec.skip_lines == 1:
-            reader = reader.option("header", "true").option("enforceSchema", "true")
-        df = reader.csv(paths).select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
-        return apply_null_rules(df, spec)
+        hide = hide_escapes if spec.escape_char == "\\" else None
+        return parse_lines(read_records(spark, paths, spec, LINE, SOURCE_FILE, hide), spec)
     lines = line_reader(spark.read, spec).csv(paths)
     return parse_lines(_skip_head(lines, spec) if spec.skip_lines > 1 else numbered(lines), spec)
 
@@ -122,8 +116,7 @@ def parse_lines(lines: DataFrame, spec: IngestSpec) -> DataFrame:
     escapes = spec.escape_char == "\\"
     text = hide_escapes(F.col(LINE), spec) if escapes else F.col(LINE)
     schema_ddl = ", ".join(f"`{s}` STRING" for s in spec.source_fields) + f", `{CORRUPT}` STRING"
-    opts = {k: v for k, v in csv_options(spec).items()
-            if k not in ("multiLine", "lineSep", "encoding", "columnPruning")}
+    opts = {k: v for k, v in csv_options(spec).items() if k not in ("lineSep", "encoding", "columnPruning")}
     if escapes:
         opts["escape"] = spec.quote_char  # the hidden ones aside, a doubled quote is a quote
     r = lines.select(F.from_csv(text, schema_ddl, opts).alias("r"), LINE, SOURCE_FILE)
