@@ -112,9 +112,13 @@ def audit_frame(spark: SparkSession, **row) -> DataFrame:
 
 def append_audit(spark: SparkSession, audit_table: str, *, spec, target_table: str, path,
                  mode: str, rows_read: int, rows_loaded: int, rows_rejected: int, status: str,
-                 message: str | None, started: _dt.datetime) -> None:
+                 message: str | None, started: _dt.datetime, run_id: str | None = None) -> None:
+    """One audit row. A row of the same ``run_id`` and status is not written twice."""
     from ..sinks.tables import append_table_data, ensure_table
-    row = audit_frame(spark, spec=spec.name, target_table=target_table, source=path,
+    if run_id and spark.catalog.tableExists(audit_table) and spark.table(audit_table).where(
+            (F.col("run_id") == run_id) & (F.col("status") == status)).limit(1).count():
+        return
+    row = audit_frame(spark, run_id=run_id, spec=spec.name, target_table=target_table, source=path,
                       mode=mode, rows_read=rows_read, rows_loaded=rows_loaded,
                       rows_rejected=rows_rejected, status=status, message=message,
                       started_at=started, ended_at=_dt.datetime.now(_dt.timezone.utc))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,41 @@ def file_stream_load(spark: SparkSession, sf: str) -> DataFrame:
     return loaded(spark, f"{root}/sink", EVENTS_SPEC)
 
 
+@query("file_stream_keys", """
+SELECT c_custkey AS custkey, c_name AS name, CAST(c_acctbal AS DECIMAL(15,2)) AS acctbal,
+       count(*) OVER () AS max_id, CAST(2 AS BIGINT) AS batches_loaded, CAST(1 AS BIGINT) AS batches_refused,
+       count(*) FILTER (c_nationkey = 3) OVER () AS keys_refused FROM customer
+""", covers="S07 K06 K08 V07 arriving files with keyed state: ids go on, a key repeated over two files is refused, an audit row per batch")
+def file_stream_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Four files of customers arrive, then one that spells known names another way."""
+    root, audit = work_path(spark, "keyed-stream"), unique_name("stream_audit")
+    spec = CUSTOMER_SPEC.with_options(unique_key=("name",), surrogate_id="id")
+    c = fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+    def arrive(rows: DataFrame, files: int) -> None:
+        rows.repartition(files).write.mode("append").option("header", "true").option("ignoreTrailingWhiteSpace", "false").csv(f"{root}/incoming")
+
+    def run() -> None:
+        ingest_stream(spark, spec, f"{root}/incoming", f"{root}/sink", f"{root}/checkpoint", max_files_per_trigger=2,
+                      audit_table=audit).awaitTermination()
+
+    for part in range(4):
+        arrive(c.where(F.col("c_custkey") % 4 == part), 1)
+    run()
+    again = c.where("c_nationkey = 3").withColumn("c_name", F.concat(F.upper("c_name"), F.lit("  ")))
+    arrive(again, 1)
+    try:
+        run()
+    except StreamingQueryException as e:
+        if "unique key" not in str(e):
+            raise
+    told = spark.table(audit).agg(F.count_if(F.col("status") == "ok").alias("batches_loaded"), F.count_if(F.col("status") == "failed").alias("batches_refused"),
+                                  F.sum(F.when(F.col("status") == "failed", F.col("rows_read"))).alias("keys_refused")).first()
+    top = spark.read.parquet(f"{root}/sink").agg(F.max("id")).first()[0]
+    return loaded(spark, f"{root}/sink", spec).select("custkey", "name", "acctbal", F.lit(top).cast("bigint").alias("max_id"),
+                                                      *[F.lit(told[k]).cast("bigint").alias(k) for k in ("batches_loaded", "batches_refused", "keys_refused")])
+
+
 @query("reconcile_counts", """
 SELECT count(*) AS source_rows, count(*) AS loaded_rows, TRUE AS counts_match FROM orders
 """, covers="V01 V02 V03 G01 G05 source rows vs rows loaded by two loads")

@@ -173,12 +173,9 @@ def read_headered(spark: SparkSession, path: str, sampling_ratio: float = 1.0, *
 
 
 def source_exists(spark: SparkSession, path: str) -> bool:
-    """True when the path or glob matches at least one file.
-
-    Plain reads need no check: ``spark.read`` raises ``PATH_NOT_FOUND``. The
-    binary-file listing reads no content when only ``path`` is selected."""
-    from pyspark.errors import AnalysisException
-    try:
-        return len(spark.read.format("binaryFile").load(path).select("path").inputFiles()) > 0
-    except AnalysisException:
-        return False
+    """True when the path or glob matches at least one file or folder (S06), by the
+    file system that holds it. Plain reads need no check: ``spark.read`` raises
+    ``PATH_NOT_FOUND``."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob)
+    return bool(found)

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import write
 from fundlake.session import unique_name
@@ -55,6 +56,81 @@ def test_stream_checks_keys_across_files(spark, tmp_dir):
         ("ok", 2), ("ok", 1), ("failed", 0)]
 
 
+KEYED = SPEC.with_options(unique_key=("kind",), surrogate_id="row_id")
+
+
+def folders(tmp_dir):
+    incoming = os.path.join(tmp_dir, "incoming")
+    os.makedirs(incoming)
+    return incoming, os.path.join(tmp_dir, "sink"), os.path.join(tmp_dir, "ckpt")
+
+
+def test_replayed_epoch_leaves_one_audit_row_and_the_same_ids(spark, tmp_dir):
+    incoming, sink, ckpt = folders(tmp_dir)
+    audit = unique_name("audit")
+
+    def run():
+        ingest_stream(spark, KEYED, incoming, sink, ckpt, max_files_per_trigger=1, audit_table=audit).awaitTermination()
+        return sorted((r.row_id, r.kind) for r in spark.read.parquet(sink).collect())
+
+    write(os.path.join(incoming, "a.csv"), "id,kind\n1,p\n2,q\n")
+    run()
+    write(os.path.join(incoming, "b.csv"), "id,kind\n3,r\n4,s\n")
+    before = run()
+    for name in ("1", ".1.crc"):
+        os.remove(os.path.join(ckpt, "commits", name))  # as if the driver had died after the batch was written
+    assert run() == before and [i for i, _ in before] == [1, 2, 3, 4]
+    assert sorted((r.status, r.rows_loaded) for r in spark.table(audit).collect()) == [("ok", 2), ("ok", 2)]
+    write(os.path.join(incoming, "c.csv"), "id,kind\n5,t\n")
+    assert run()[-1] == (5, "t")
+
+
+@pytest.mark.parametrize("old, new, refused", [
+    ("Café", "cafe  ", True), ("STRASSE", "straße", True), ("ab", "a\u0001b", True), ("x1", "x\u00b9", True), ("æon", "AEON", None), ("æon", "Æon", True),
+    ("ab", "abc", False), ("a b", "ab", False), ("зима", "ЗИМА", True), ("", "", True)])
+def test_state_keys_hold_the_collation(spark, tmp_dir, old, new, refused):
+    """A key over two files is refused exactly when the table's collation calls it equal."""
+    equal = spark.range(1).select((F.collate(F.lit(old), "UNICODE_CI_AI_RTRIM") == F.collate(F.lit(new), "UNICODE_CI_AI_RTRIM")).alias("e")).first().e
+    assert refused is None or equal == refused
+    incoming, sink, ckpt = folders(tmp_dir)
+    for name, kind in (("a", old), ("b", new)):
+        write(os.path.join(incoming, f"{name}.csv"), f'id,kind\n1,"{kind}"\n')
+        try:
+            ingest_stream(spark, KEYED, incoming, sink, ckpt).awaitTermination()
+        except Exception as e:
+            assert name == "b" and equal and "unique key" in str(e)
+        else:
+            assert name == "a" or not equal
+
+
+def test_batches_do_not_read_earlier_batches(spark, tmp_dir):
+    """Keys and ids come from the state and the ledger: the sink's earlier rows may be gone."""
+    incoming, sink, ckpt = folders(tmp_dir)
+    write(os.path.join(incoming, "a.csv"), "id,kind\n1,p\n2,q\n")
+    ingest_stream(spark, KEYED, incoming, sink, ckpt).awaitTermination()
+    os.rename(sink, sink + "-away")
+    write(os.path.join(incoming, "b.csv"), "id,kind\n3,r\n,\n")
+    ingest_stream(spark, KEYED, incoming, sink, ckpt).awaitTermination()
+    assert [(r.row_id, r.kind) for r in spark.read.parquet(sink).collect()] == [(3, "r")]
+
+
+def test_procedure_runs_on_each_batch(spark, tmp_dir):
+    from fundlake.spec import HOLDINGS
+    incoming, sink, ckpt = folders(tmp_dir)
+    got = {}
+
+    def run():
+        ingest_stream(spark, HOLDINGS, incoming, sink, ckpt, procedure_params={"date": "2020-01-02"},
+                      after=lambda rows, epoch: got.setdefault(epoch, sorted(r.sec_name for r in rows.collect()))).awaitTermination()
+
+    head = "date,fund_name,sec_name,sector,currency,units,cost,mv\n"
+    write(os.path.join(incoming, "a.csv"), head + "2020-01-02,F,one,S,CAD,1,2,3\n2020-01-03,F,two,S,CAD,1,2,3\n")
+    run()
+    write(os.path.join(incoming, "b.csv"), head + "2020-01-02,F,three,S,CAD,1,2,3\n")
+    run()
+    assert got == {0: ["one"], 1: ["three"]}
+
+
 def test_driver_contract(spark):
     import __spark_entry__ as E
     qs, sql = E.queries(), E.oracle_sql()
