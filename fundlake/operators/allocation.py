@@ -91,31 +91,66 @@ def residuals(marginals: DataFrame, positions: DataFrame) -> DataFrame:
 
 
 def unknown_categories(marginals: DataFrame, positions: DataFrame) -> DataFrame:
-    """Known positions whose category has no marginal (reported, not fatal)."""
-    return _stacked(positions).join(marginals.select(PID, "dim", "key"), [PID, "dim", "key"], "left_anti")
+    """Categories of known positions that have no marginal: portfolio, dim, key,
+    the number of positions and their value."""
+    held = _stacked(positions).groupBy(PID, "dim", "key").agg(F.count(F.lit(1)).alias("n_positions"), F.sum("value").cast("decimal(38,2)").alias("value"))
+    return held.join(marginals.select(PID, "dim", "key"), [PID, "dim", "key"], "left_anti")
+
+
+class UnknownCategory(ValueError):
+    """A known position stands in a category without a total."""
+
+
+def check_categories(marginals: DataFrame, positions: DataFrame) -> None:
+    """Raises where a known position's category has no marginal, before any fit."""
+    found = unknown_categories(marginals, positions).orderBy(PID, "dim", "key").limit(5).collect()
+    if found:
+        raise UnknownCategory(f"known positions in categories without a total: {[(r[PID], r['dim'], r['key']) for r in found]}")
 
 
 # --- the fit (C06, C07) -------------------------------------------------------
 
-def nnls(A: np.ndarray, b: np.ndarray, tol: float = 1e-10, max_iter: int = 200_000):
+class Incidence:
+    """The 0/1 incidence of cells in equations, as the equation numbers of every
+    cell (one column per dimension; -1 where a cell has none) in place of a matrix.
+    Products cost a few passes over the cells and hold a few vectors of them."""
+
+    def __init__(self, of_cell: np.ndarray, n_equations: int):
+        self.n_cells, self.n_equations = len(of_cell), n_equations
+        # one more equation takes what no equation constrains
+        self.columns = [np.where(c < 0, n_equations, c).astype(np.int64) for c in of_cell.T]
+
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Each equation's sum over its cells."""
+        return sum(np.bincount(c, x, self.n_equations + 1) for c in self.columns)[:-1]
+
+    def spread(self, r: np.ndarray) -> np.ndarray:
+        """Each cell's sum over its equations."""
+        padded = np.append(r, 0.0)
+        return sum(padded[c] for c in self.columns)
+
+
+def nnls(A: np.ndarray | Incidence, b: np.ndarray, tol: float = 1e-10, max_iter: int = 200_000):
     """min 0.5*||Ax-b||^2 s.t. x >= 0 by accelerated projected gradient with
-    adaptive restart. Returns (x, projected-gradient violation, iterations),
-    the violation relative to max|b|."""
-    n = A.shape[1]
-    if n == 0 or A.shape[0] == 0:  # no cells, or no equation constrains them
+    adaptive restart; ``A`` is an incidence or a matrix. Returns (x,
+    projected-gradient violation, iterations), the violation relative to max|b|."""
+    if isinstance(A, Incidence):
+        n, forward, back = A.n_cells, A.sums, A.spread
+    else:
+        n, forward, back = A.shape[1], A.__matmul__, A.T.__matmul__
+    if n == 0 or len(b) == 0:  # no cells, or no equation constrains them
         return np.zeros(n), 0.0, 0
     scale = max(float(np.abs(b).max()), 1.0)
     bs = b / scale
-    AtA = A.T @ A
-    Atb = A.T @ bs
-    lip = float(np.abs(AtA).sum(axis=1).max()) or 1.0  # Gershgorin bound on the largest eigenvalue
+    # the largest row sum of A'A bounds its largest eigenvalue (all incidences are 0 or 1)
+    lip = float(np.abs(back(forward(np.ones(n))) if isinstance(A, Incidence) else np.abs(A.T) @ np.abs(A).sum(axis=1)).max()) or 1.0
     x = np.zeros(n)
     y = x.copy()
     t = 1.0
     viol = np.inf
     it = 0
     for it in range(1, max_iter + 1):
-        g = AtA @ y - Atb
+        g = back(forward(y) - bs)
         x_new = np.maximum(y - g / lip, 0.0)
         if (y - x_new) @ (x_new - x) > 0:  # restart when momentum points uphill
             t = 1.0
@@ -125,12 +160,10 @@ def nnls(A: np.ndarray, b: np.ndarray, tol: float = 1e-10, max_iter: int = 200_0
             y = x_new + ((t - 1.0) / t_new) * (x_new - x)
             x, t = x_new, t_new
         if it % 25 == 0:
-            gx = AtA @ x - Atb
-            viol = float(np.abs(x - np.maximum(x - gx, 0.0)).max())
+            viol = float(np.abs(x - np.maximum(x - back(forward(x) - bs), 0.0)).max())
             if viol <= tol:
                 break
-    gx = AtA @ x - Atb
-    viol = float(np.abs(x - np.maximum(x - gx, 0.0)).max())
+    viol = float(np.abs(x - np.maximum(x - back(forward(x) - bs), 0.0)).max())
     return x * scale, viol, it
 
 
@@ -146,16 +179,10 @@ def _fit_group(cells: pd.DataFrame, eqs: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(columns=[c.split()[0] for c in FIT_SCHEMA.split(", ")])
     cells = cells.sort_values("cell_no").reset_index(drop=True)
     eqs = eqs.sort_values(["dim", "ordinal"]).reset_index(drop=True)
-    # Incidence of each open cell in each (dim, key) equation
-    A = np.zeros((len(eqs), len(cells)))
-    row = {(d, k): i for i, (d, k) in enumerate(zip(eqs["dim"], eqs["key"]))}
-    for j, d in enumerate(DIMS):
-        for c, key in enumerate(cells[d]):
-            i = row.get((d, key))
-            if i is not None:
-                A[i, c] = 1.0
+    number = {(d, k): i for i, (d, k) in enumerate(zip(eqs["dim"], eqs["key"]))}
+    of_cell = np.column_stack([cells[d].map(lambda key, d=d: number.get((d, key), -1)).to_numpy(np.int64) for d in DIMS])
     b = eqs["residual"].astype(float).to_numpy()
-    x, viol, it = nnls(A, b)
+    x, viol, it = nnls(Incidence(of_cell, len(eqs)), b)
     if viol > FIT_TOL:
         raise RuntimeError(f"no fit for portfolio {cells[PID].iloc[0]}: violation {viol:.2e} after {it} steps")
     out = cells[[PID, "cell_no", *DIMS]].copy()
@@ -206,7 +233,9 @@ def with_weight(df: DataFrame, value: str, total: str, name: str = "wt", scale:
 def complete_positions(positions: DataFrame, marginals: DataFrame, totals: DataFrame) -> DataFrame:
     """Known rows, then one hypothetical row per open cell with the
     fitted value clamped at 0 and rounded to cents; weights of the unrounded values against the
-    portfolio's total net assets (joined, not computed)."""
+    portfolio's total net assets (joined, not computed). Known positions in a category
+    without a marginal raise ``UnknownCategory``."""
+    check_categories(marginals, positions)
     fitted = fit(open_cells(grid(marginals), positions), residuals(marginals, positions))
     n_known = positions.groupBy(PID).agg(F.count(F.lit(1)).alias("_n_known"))
     hypo = (fitted.join(n_known, PID, "left")
@@ -237,8 +266,8 @@ def subtotals(df: DataFrame, dims=DIMS, value: str = "market_value") -> DataFram
 
 
 def grand_total(df: DataFrame, value: str = "market_value", weight: str = "wt") -> DataFrame:
-    """Per portfolio, the sum of market value and of weight."""
-    return df.groupBy(PID).agg(F.sum(value).cast("decimal(38,2)").alias("total_mv"),
+    """Per portfolio, the sum of market value and of weight, and the rows ``n``."""
+    return df.groupBy(PID).agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("decimal(38,2)").alias("total_mv"),
                                F.sum(weight).cast("decimal(38,8)").alias("total_wt"))
 
 

@@ -172,6 +172,29 @@ def completed_subtotals(spark: SparkSession, sf: str) -> DataFrame:
     return d.select(PID, "dim", "key", "given", (F.abs("diff") <= F.lit(0.005) * (F.col("n") + 1)).alias("given_met"))
 
 
+@query("completed_totals", f"""
+WITH {TOP_SQL}, {MARG_SQL}
+SELECT portfolio_id, CAST(sum(total) AS DECIMAL(38,2)) AS given, TRUE AS mv_met, TRUE AS wt_met FROM m WHERE dim = 'asset_type' GROUP BY 1
+""", covers="G03 a completed portfolio's market value and weight totals against its net assets")
+def completed_totals(spark: SparkSession, sf: str) -> DataFrame:
+    top, marg, tot = inputs(spark, sf)
+    done = al.grand_total(al.complete_positions(top, marg, tot)).join(tot, PID)
+    # each row is rounded to cents, and its weight to eight decimals
+    return done.select(PID, F.col("total_net_assets").cast("decimal(38,2)").alias("given"),
+                       (F.abs(F.col("total_mv") - F.col("total_net_assets")) <= F.lit(0.005) * (F.col("n") + 1)).alias("mv_met"),
+                       (F.abs(F.col("total_wt") - 1) <= F.lit(5e-9) * (F.col("n") + 1)).alias("wt_met"))
+
+
+@query("unknown_categories", f"""
+WITH {TOP_SQL}, {MARG_SQL}
+SELECT top.portfolio_id, 'sector' AS dim, top.sector AS key, count(*) AS n_positions, CAST(sum(top.market_value) AS DECIMAL(38,2)) AS value
+FROM top WHERE top.sector LIKE '%-URGENT' GROUP BY 1, 2, 3
+""", covers="J05 known positions in categories without a total are reported")
+def unknown_categories(spark: SparkSession, sf: str) -> DataFrame:
+    top, marg, _ = inputs(spark, sf)
+    return al.unknown_categories(marg.where(~F.col("key").endswith("-URGENT")), top)
+
+
 @query("first_rows", f"""
 WITH {TOP_SQL}, {MARG_SQL}, {GRID_SQL},
 nk AS (SELECT portfolio_id, count(*) AS n FROM top GROUP BY 1),
