@@ -321,6 +321,20 @@ def csv_quote_all(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("l_returnflag").cast("string").alias("l_returnflag"))
 
 
+@query("headered_layouts", """
+SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS acctbal, CASE WHEN c_nationkey % 3 <> 2 THEN c_nationkey END AS nationkey
+FROM customer
+""", covers="S08 files whose headers name the columns in other orders, bound by name; a file without a column")
+def headered_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    c = fx.table(spark, sf, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"),
+                                               F.col("c_acctbal").alias("acctbal"), F.col("c_nationkey").alias("nationkey"))
+    root = work_path(spark, "headered")
+    for k, names in enumerate((["custkey", "name", "acctbal", "nationkey"], ["nationkey", "acctbal", "custkey", "name"], ["name", "custkey", "acctbal"])):
+        c.where(F.col("nationkey") % 3 == k).select(*names).write.mode("append").option("header", "true").csv(root)
+    return read_headered(spark, root).select(F.col("custkey").cast("bigint").alias("custkey"), "name",
+                                             F.col("acctbal").cast("double").alias("acctbal"), F.col("nationkey").cast("int").alias("nationkey"))
+
+
 READ_DATE = "1996-03-15"
 
 

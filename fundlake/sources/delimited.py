@@ -165,11 +165,53 @@ def apply_null_rules(df: DataFrame, spec: IngestSpec, decode=None) -> DataFrame:
                         CORRUPT, SOURCE_FILE)
 
 
-def read_headered(spark: SparkSession, path: str, sampling_ratio: float = 1.0, **options) -> DataFrame:
-    """Header-named CSV with inferred types (S08). Inference costs one extra
-    pass over the sampled fraction; production loads use a spec."""
-    return (spark.read.option("header", "true").option("inferSchema", "true")
-            .option("samplingRatio", str(sampling_ratio)).options(**options).csv(path))
+#: Inferred types from narrow to wide; other pairs meet in a string.
+WIDER = ("int", "bigint", "double")
+
+
+def _common_type(kinds: set[str]) -> str:
+    kinds = kinds - {"void"}
+    if len(kinds) == 1:
+        return kinds.pop()
+    return max(kinds, key=WIDER.index) if kinds and kinds <= set(WIDER) else "string"
+
+
+def read_headered(spark: SparkSession, path: str | list[str], sampling_ratio: float = 1.0, **options) -> DataFrame:
+    """Header-named CSV with inferred types (S08). Columns bind by name: files are
+    grouped by their header line, each group is read in its own order, and the groups
+    are joined by name; a column that a file lacks is NULL in its rows. Types are
+    inferred per group and widened to a common one.
+
+    Inference costs an extra pass over the sampled fraction, and where there are
+    several files one over their lines for the headers; production loads use a spec."""
+    paths = [path] if isinstance(path, str) else list(path)
+    opts = {"samplingRatio": str(sampling_ratio), **options, "header": "true"}
+
+    def group(files: list[str], schema: str | None = None) -> DataFrame:
+        reader = spark.read.options(**opts)
+        return (reader.schema(schema).option("enforceSchema", "false") if schema else reader.option("inferSchema", "true")).csv(files)
+
+    lines = spark.read.text(paths, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.regexp_replace("value", r"\r\z", "").alias("line"))
+    if len(lines.inputFiles()) < 2:
+        return group(paths)
+    heads = lines.where("block = 0 and trim(line) <> ''").groupBy("file").agg(F.min_by("line", "row").alias("head"))
+    # One row per layout; the list of files is the one that Spark holds for the read anyway.
+    layouts = [r.files for r in heads.groupBy("head").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("head").collect()]
+    if len(layouts) < 2:
+        return group(paths)
+    found = [group(files).dtypes for files in layouts]
+    kinds: dict[str, set[str]] = {}
+    for dtypes in found:
+        for name, kind in dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    tick = "`"
+    parts = [group(files, ", ".join(f"`{n.replace(tick, tick * 2)}` {_common_type(kinds[n])}" for n, _ in dtypes)) for files, dtypes in zip(layouts, found)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
 
 
 def source_exists(spark: SparkSession, path: str) -> bool:

@@ -166,3 +166,16 @@ def test_ragged_lines_come_back_as_written(spark, tmp_dir):
     path = write(os.path.join(tmp_dir, "r.csv"), "k,n,a,x\n1,a\\,b,1\n2,c,1,x,y\n3,d,1,z\n")
     raw = read_delimited(spark, path, SPEC)
     assert sorted(r[0] for r in raw.select("_corrupt_record").na.drop().collect()) == ["1,a\\,b,1", "2,c,1,x,y"]
+
+
+def test_headered_files_bind_by_name(spark, tmp_dir):
+    from fundlake.sources.delimited import read_headered
+    write(os.path.join(tmp_dir, "1.csv"), "a,b\n1,x\n2,\n")
+    write(os.path.join(tmp_dir, "2.csv"), "b,a\r\ny,2.5\r\n")
+    write(os.path.join(tmp_dir, "3.csv"), "c,b\n7,8\n")
+    write(os.path.join(tmp_dir, "4.csv"), "a,b\n3,z\n")
+    write(os.path.join(tmp_dir, "5.csv"), "")
+    got = read_headered(spark, tmp_dir)
+    assert dict(got.dtypes) == {"a": "double", "b": "string", "c": "int"}
+    assert sorted(map(tuple, got.select("a", "b", "c").collect()), key=repr) == sorted(
+        [(1.0, "x", None), (2.0, None, None), (2.5, "y", None), (None, "8", 7), (3.0, "z", None)], key=repr)

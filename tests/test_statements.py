@@ -166,3 +166,24 @@ def test_positions_of_very_long_pages_stay_apart(spark):
     codes = spark.createDataFrame([(FUND, "0042")], "fund_name string, fund_code string")
     got = S.statement_holdings(df, codes).orderBy("page").collect()
     assert [float(r.mv) for r in got] == [3, 6] and got[1].issuer == "TotalWind"
+
+
+def _one_page(spark, *lines):
+    text = "\n".join([FUND, "Schedule of Investment Portfolio", "December 31, 2024", *lines])
+    docs = spark.createDataFrame([("d1", text)], "doc_id string, text string")
+    return S.statement_lines(docs), spark.createDataFrame([(FUND, "0042")], "fund_name string, fund_code string")
+
+
+def test_long_captions_join_no_name(spark):
+    caption = "Issue currency number of units cost ($) fair value ($) " * 3 + "unrealized gain (loss)"
+    lines, codes = _one_page(spark, "Mutual funds:", "Issue", caption, "harbour Trust CAD 10 20 30", "Total mutual funds (1.0%) 20 30")
+    assert len(caption) > 100
+    assert [r.sec_name for r in S.statement_holdings(lines, codes).collect()] == ["harbour Trust"]
+
+
+def test_names_with_the_word_total_are_holdings(spark):
+    lines, codes = _one_page(spark, "Mutual funds:", "Total Return Bond Trust CAD 10 20 30", "Northern Total Market Fund CAD 1 5 6",
+                             "25 36", "Total mutual funds (1.0%) 25 36", "Total investments (1.0%) 25 36")
+    assert sorted(r.sec_name for r in S.statement_holdings(lines, codes).collect()) == ["Northern Total Market Fund", "Total Return Bond Trust"]
+    checks = S.statement_reconcile(lines, codes).collect()
+    assert len(checks) == 3 and all(r.ok and r.n_items == 2 for r in checks)
