@@ -124,6 +124,13 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
     started = _dt.datetime.now(_dt.timezone.utc)
     status, message = "failed", None
     rows_read = rows_rejected = rows_loaded = 0
+
+    def audit() -> None:
+        if audit_table:
+            append_audit(spark, audit_table, spec=spec, target_table=table, path=path, mode=mode,
+                         rows_read=rows_read, rows_loaded=rows_loaded if status == "ok" else 0,
+                         rows_rejected=rows_rejected, status=status, message=message, started=started)
+
     try:
         ensure_table(spark, table, spec.ddl())
         checked = validate(read_delimited(spark, path, spec), spec)
@@ -168,13 +175,12 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
             params.update(procedure_params or {})
             proc = run_procedure(spark, spec.procedure_name, table=table, **params)
         status = "ok"
-        return LoadResult(table, rows_read, rows_loaded, rows_rejected, staged_path, rejects, proc)
     except Exception as e:  # recorded, then re-raised: a failed load is an error
         message = f"{type(e).__name__}: {e}"
+        try:
+            audit()
+        except Exception as told:  # never in place of the load's own error
+            e.add_note(f"the audit row was not written: {told}")
         raise
-    finally:
-        if audit_table:
-            append_audit(spark, audit_table, spec=spec, target_table=table, path=path, mode=mode,
-                         rows_read=rows_read, rows_loaded=rows_loaded if status == "ok" else 0,
-                         rows_rejected=rows_rejected, status=status, message=message,
-                         started=started)
+    audit()
+    return LoadResult(table, rows_read, rows_loaded, rows_rejected, staged_path, rejects, proc)

@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _cached(spark: SparkSession, sf_dir: str, key: str, render) -> str:
+def cached(spark: SparkSession, sf_dir: str, key: str, render) -> str:
     k = (spark.sparkContext.applicationId, sf_dir, key)
     if k not in _CACHE:
         _CACHE[k] = render(work_path(spark, f"fixture-{key}"))
@@ -50,7 +50,7 @@ def customer_csv(spark: SparkSession, sf_dir: str) -> str:
                   _text(F.col("c_acctbal")), "c_mktsegment")
           .write.option("header", "true").csv(path))
         return path
-    return _cached(spark, sf_dir, "customer_csv", render)
+    return cached(spark, sf_dir, "customer_csv", render)
 
 
 # --- suppliers: pipe-separated, single-quoted, ';'-terminated ----------------
@@ -61,7 +61,7 @@ def supplier_pipe(spark: SparkSession, sf_dir: str) -> str:
           .write.option("header", "true").option("sep", "|").option("quote", "'")
           .option("quoteAll", "true").option("lineSep", ";").csv(path))
         return path
-    return _cached(spark, sf_dir, "supplier_pipe", render)
+    return cached(spark, sf_dir, "supplier_pipe", render)
 
 
 # --- nations: three files with 0, 1 and 3 leading lines ----------------------
@@ -78,7 +78,7 @@ def nation_skips(spark: SparkSession, sf_dir: str) -> dict[int, str]:
         both = pre.unionByName(body.withColumn("_o", F.lit(0).cast("long")))
         write_lines(both.orderBy("_o").coalesce(1).select("line"), f"{path}/skip3")
         return path
-    root = _cached(spark, sf_dir, "nation_skips", render)
+    root = cached(spark, sf_dir, "nation_skips", render)
     return {0: f"{root}/skip0", 1: f"{root}/skip1", 3: f"{root}/skip3"}
 
 
@@ -95,7 +95,7 @@ def part_blanks(spark: SparkSession, sf_dir: str) -> str:
           .write.option("header", "true").option("nullValue", "\\N").option("emptyValue", "")
           .csv(path))
         return path
-    return _cached(spark, sf_dir, "part_blanks", render)
+    return cached(spark, sf_dir, "part_blanks", render)
 
 
 # --- class fees: two files of fee rows, the second with other spellings of its keys ---
@@ -115,7 +115,7 @@ def class_fees_files(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         write(cls.filter("s_nationkey < 15"), "a", code, mer, "first")
         write(cls.filter("s_nationkey >= 10"), "b", F.lower(code), mer + 1, "second")
         return path
-    root = _cached(spark, sf_dir, "class_fees", render)
+    root = cached(spark, sf_dir, "class_fees", render)
     return f"{root}/a", f"{root}/b"
 
 
@@ -132,7 +132,7 @@ def documents_escaped(spark: SparkSession, sf_dir: str) -> str:
                 F.coalesce(_text(F.col("n_chars")), F.lit("\\N"))]
         write_lines(d.select(F.concat_ws(",", *cols).alias("line")), path, header="doc_id;text;lang;source;n_chars")
         return path
-    return _cached(spark, sf_dir, "documents_escaped", render)
+    return cached(spark, sf_dir, "documents_escaped", render)
 
 
 # --- documents: whole texts with quotes, commas and line breaks -------------
@@ -146,7 +146,7 @@ def documents_csv(spark: SparkSession, sf_dir: str) -> str:
           .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
           .csv(path))
         return path
-    return _cached(spark, sf_dir, "documents_csv", render)
+    return cached(spark, sf_dir, "documents_csv", render)
 
 
 # --- documents: raw line breaks inside quoted fields, backslash escapes ------
@@ -160,7 +160,7 @@ def documents_breaks(spark: SparkSession, sf_dir: str) -> str:
             return F.coalesce(_text(F.col(c)), F.lit("\\N"))
         d.select(F.concat_ws(",", number("doc_id"), quoted("text"), quoted("lang"), quoted("source"), number("n_chars"))).write.text(path)
         return path
-    return _cached(spark, sf_dir, "documents_breaks", render)
+    return cached(spark, sf_dir, "documents_breaks", render)
 
 
 # --- orders: clean split files and a file with injected defects --------------
@@ -180,7 +180,7 @@ def orders_split(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         o.filter(early).select(*fields).write.option("header", "true").csv(f"{path}/a")
         o.filter(~early).select(*fields).write.option("header", "true").csv(f"{path}/b")
         return path
-    root = _cached(spark, sf_dir, "orders_split", render)
+    root = cached(spark, sf_dir, "orders_split", render)
     return f"{root}/a", f"{root}/b"
 
 
@@ -203,7 +203,7 @@ def orders_defects(spark: SparkSession, sf_dir: str) -> str:
         lines = o.select(F.when(F.expr(DEFECT_RAGGED), short).otherwise(full).alias("line"))
         write_lines(lines, path, header="o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority")
         return path
-    return _cached(spark, sf_dir, "orders_defects", render)
+    return cached(spark, sf_dir, "orders_defects", render)
 
 
 # --- customers plus case-changed / space-padded copies -----------------------
@@ -223,7 +223,7 @@ def customer_dups(spark: SparkSession, sf_dir: str) -> str:
         (base.unionByName(upper).unionByName(padded)
          .write.option("header", "true").option("ignoreTrailingWhiteSpace", "false").csv(path))
         return path
-    return _cached(spark, sf_dir, "customer_dups", render)
+    return cached(spark, sf_dir, "customer_dups", render)
 
 
 # --- lineitem as a holdings file ---------------------------------------------
@@ -246,7 +246,7 @@ def lineitem_holdings(spark: SparkSession, sf_dir: str) -> str:
            .write.option("header", "true").option("quoteAll", "true").option("emptyValue", "")
            .csv(path))
         return path
-    return _cached(spark, sf_dir, "lineitem_holdings", render)
+    return cached(spark, sf_dir, "lineitem_holdings", render)
 
 
 # --- events arriving as several files ----------------------------------------
@@ -347,7 +347,7 @@ def statements_text(spark: SparkSession, sf_dir: str) -> str:
                     .select(F.col("doc").alias("doc_id"), F.concat_ws("\f", F.col("ps.page")).alias("value")))
         doc_text.write.partitionBy("doc_id").text(path)
         return path
-    return _cached(spark, sf_dir, "statements_text", render)
+    return cached(spark, sf_dir, "statements_text", render)
 
 
 def statement_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
