@@ -113,6 +113,7 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
     """
     from ..sinks.tables import ensure_table, replace_table_data, append_table_data, with_surrogate_id
     from .constraints import check_unique
+    from .keys import check_append, drop_keys, remember
     from .procedures import run_procedure
     from ..operators.verify import append_audit
 
@@ -149,12 +150,12 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
         good = accepted(staged, spec)
         existing = spark.table(table)
         if spec.unique_key:
-            pool = good.select(*spec.unique_key)
             if mode == "append":
-                pool = pool.unionByName(existing.select(*spec.unique_key))
-            dups = check_unique(pool, spec.unique_key, spec.key_collation).limit(5).collect()
+                dups = check_append(spark, table, good, spec)
+            else:
+                dups = check_unique(good, spec.unique_key, spec.key_collation).limit(5).collect()
             if dups:
-                raise IngestError(f"unique key {spec.unique_key} violated: {[tuple(d) for d in dups]}")
+                raise IngestError(f"unique key {spec.unique_key} violated: {[tuple(d)[:len(spec.unique_key)] for d in dups]}")
         if spec.surrogate_id:
             start = 1
             if mode == "append":
@@ -163,8 +164,11 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
         rows_loaded = rows_read - rows_rejected
         if mode == "replace":
             replace_table_data(spark, table, good)
+            drop_keys(spark, table)
         else:
             append_table_data(spark, table, good)
+            if spec.unique_key:
+                remember(spark, table, good, spec)
         if quarantine_table and rows_rejected:
             ensure_table(spark, quarantine_table,
                          f"`{SOURCE_FILE}` STRING, `{RAW}` STRING, `{REASON}` STRING")

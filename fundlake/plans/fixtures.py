@@ -184,6 +184,17 @@ def orders_split(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{root}/a", f"{root}/b"
 
 
+def orders_halves(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """The later file of ``orders_split`` as two."""
+    def render(path):
+        o = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit(ORDERS_SPLIT_DATE).cast("timestamp_ntz"))
+        for k in (0, 1):
+            o.filter(F.col("o_orderkey") % 2 == k).select(*_order_fields(o)).write.option("header", "true").csv(f"{path}/{k}")
+        return path
+    root = cached(spark, sf_dir, "orders_halves", render)
+    return f"{root}/0", f"{root}/1"
+
+
 # Fixed defect rules of the reject fixture, shared with its oracle SQL.
 DEFECT_RAGGED = "day(o_orderdate) = 1 AND o_orderstatus = 'P'"
 DEFECT_PRICE = "day(o_orderdate) = 13"

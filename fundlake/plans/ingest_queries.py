@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.constraints import check_not_null, check_unique, normalized_key
-from ..operators.ingest import accepted, ingest, validate
+from ..operators.ingest import IngestError, accepted, ingest, validate
 from ..operators.lookup import with_fund_code
 from ..operators.merge import merge_table
 from ..operators.procedures import lookup, run_procedure
@@ -183,6 +183,25 @@ def ingest_append(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(t).select(*ORDER_COLS)
 
 
+@query("ingest_appends", f"""
+SELECT o_orderkey AS orderkey, o_orderpriority AS priority, count(*) OVER () AS max_id, CAST(1 AS BIGINT) AS refused FROM orders
+""", covers="K02 K06 K08 repeated appends: arriving keys against the bucketed key table, a stored key refused")
+def ingest_appends(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = fx.orders_split(spark, sf)
+    c, d = fx.orders_halves(spark, sf)
+    t = unique_name("stg_orders")
+    ingest(spark, ORDERS_SPEC, a, mode="replace", table=t, on_bad="fail")
+    for part in (c, d):  # the first builds the key table, the second asks it
+        ingest(spark, ORDERS_SPEC, part, mode="append", table=t, on_bad="fail")
+    refused = 0
+    try:
+        ingest(spark, ORDERS_SPEC, b, mode="append", table=t, on_bad="fail")
+    except IngestError:
+        refused = 1
+    top = spark.table(t).agg(F.max("id")).first()[0]
+    return spark.table(t).select("orderkey", "priority", F.lit(top).cast("bigint").alias("max_id"), F.lit(refused).cast("bigint").alias("refused"))
+
+
 @query("ingest_replace", ORDER_SQL + f" WHERE o_orderdate >= TIMESTAMP '{fx.ORDERS_SPLIT_DATE}'",
        covers="K01 K03 replace load swaps the table's contents")
 def ingest_replace(spark: SparkSession, sf: str) -> DataFrame:

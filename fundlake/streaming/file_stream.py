@@ -28,18 +28,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
-import unicodedata
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.constraints import check_unique, key_col
+from ..operators.constraints import check_unique
 from ..operators.ingest import REASON, IngestError, accepted, rejected, validate
+from ..operators.keys import HARD, KEY, folded_key, repeated_keys
 from ..operators.procedures import run_procedure
 from ..operators.verify import append_audit
 from ..session import materialize, unique_name
@@ -50,7 +49,7 @@ from ..spec import IngestSpec
 #: What a stream is started with: keys on disk, of each batch only its changes are uploaded.
 STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
-KEY, NEW = "_state_key", "_new_key"
+NEW = "_new_key"
 
 
 def read_arrivals(spark: SparkSession, incoming: str, spec: IngestSpec,
@@ -69,48 +68,17 @@ def read_arrivals(spark: SparkSession, incoming: str, spec: IngestSpec,
     return parse_lines(numbered(r.csv(incoming)), spec)
 
 
-def _folded(text: str) -> str:
-    """One form for all texts that are equal up to case, accents, ignorable controls
-    and trailing blanks."""
-    out = unicodedata.normalize("NFKD", unicodedata.normalize("NFKD", text).casefold())
-    return "".join(c for c in out if not unicodedata.combining(c) and (unicodedata.category(c) not in ("Cc", "Cf") or c in "\t\n\v\f\r")).rstrip(" ")
-
-
-def state_key(spec: IngestSpec) -> Column:
-    """The unique key's coarse form as one string, null where a part is null. Plain
-    ASCII is folded by Spark, other text in an Arrow UDF."""
-    @F.pandas_udf("string")
-    def folded(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: x if x is None else _folded(x))
-
-    parts = []
-    for k in spec.unique_key:
-        text = F.col(f"`{k}`").cast("string")
-        if spec.key_collation and spec.column(k).type.lower().startswith(("varchar", "char", "string")):
-            plain = text.rlike(r"^[\x20-\x7e]*\z")
-            text = F.when(plain, F.lower(F.rtrim(text))).otherwise(folded(F.when(~plain, text)))
-        parts.append(F.concat(F.length(text).cast("string"), F.lit(":"), text))
-    return F.concat(*parts)
-
-
 def _arriving(raw: DataFrame, spec: IngestSpec) -> DataFrame:
     """Validated rows, and beside them the keys among them that no row had before."""
     checked = validate(raw, spec)
     if not spec.unique_key:
         return checked
     whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in spec.unique_key])
-    rows = checked.withColumn(KEY, F.when(F.col(REASON).isNull() & whole, state_key(spec)))
+    rows = checked.withColumn(KEY, F.when(F.col(REASON).isNull() & whole, folded_key(spec)))
     keys = rows.where(F.col(KEY).isNotNull()).select(KEY).dropDuplicates([KEY])
     return rows.withColumn(NEW, F.lit(False)).unionByName(keys.withColumn(NEW, F.lit(True)), allowMissingColumns=True)
 
 
-def _repeated(good: DataFrame, before: DataFrame, spec: IngestSpec) -> list:
-    """Keys of ``good`` that ``before`` holds, under the key's collation."""
-    cond = [key_col(c, spec.key_collation, good) == F.col(f"__k{i}") for i, c in enumerate(spec.unique_key)]
-    old = before.select(*[key_col(c, spec.key_collation, before).alias(f"__k{i}") for i, c in enumerate(spec.unique_key)])
-    return good.select(*spec.unique_key).join(old, cond, "left_semi").limit(5).collect()
-
-
 def _check_keys(rows: DataFrame, good: DataFrame, sink: str, epoch: int, spec: IngestSpec) -> None:
     """Refuse repeated keys. Earlier rows are read only where the state has seen a
     key's coarse form before, or for keys with letters that have no ASCII base."""
@@ -121,18 +89,18 @@ def _check_keys(rows: DataFrame, good: DataFrame, sink: str, epoch: int, spec: I
             return None
         return spark.read.schema(_stored(good.select(*spec.unique_key))).parquet(folder).filter(F.col("batch_id") != epoch)
 
-    hard = rows.where(~F.col(NEW) & F.col(KEY).rlike(r"[^\x00-\x7f]")).select(*spec.unique_key)
+    hard = rows.where(~F.col(NEW) & F.col(KEY).rlike(HARD)).select(*spec.unique_key)
     had = rows.agg(F.count(F.when(~F.col(NEW), F.col(KEY))).alias("rows"), F.count(F.when(F.col(NEW), 1)).alias("new"),
-                   F.count(F.when(~F.col(NEW) & F.col(KEY).rlike(r"[^\x00-\x7f]"), 1)).alias("hard")).first()
+                   F.count(F.when(~F.col(NEW) & F.col(KEY).rlike(HARD), 1)).alias("hard")).first()
     dups: list = []
     if had["rows"] != had["new"] or had["hard"]:
         dups = check_unique(good, spec.unique_key, spec.key_collation).limit(5).collect()
         before = earlier(sink)
         if not dups and before is not None:
-            dups = _repeated(good if had["rows"] != had["new"] else hard, before, spec)
+            dups = repeated_keys(good if had["rows"] != had["new"] else hard, before, spec)
     kept = earlier(f"{sink.rstrip('/')}__hard_keys") if not dups else None
     if kept is not None:
-        dups = _repeated(good, kept, spec)
+        dups = repeated_keys(good, kept, spec)
     if dups:
         raise IngestError(f"unique key {spec.unique_key} violated: {[tuple(d)[:len(spec.unique_key)] for d in dups]}")
     if had["hard"]:
