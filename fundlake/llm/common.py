@@ -51,12 +51,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: Names that Hadoop gives to stores, and Arrow's.
+STORES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "gs": "gs", "hdfs": "hdfs"}
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a shared-folder URI, as seen from any executor."""
     if "://" not in uri and not uri.startswith("file:"):
         return pafs.LocalFileSystem(), uri
     if uri.startswith("file:") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:"):]
+    scheme, _, rest = uri.partition("://")
+    uri = f"{STORES.get(scheme, scheme)}://{rest}"
     return pafs.FileSystem.from_uri(uri)
 
 

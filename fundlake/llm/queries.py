@@ -71,7 +71,7 @@ def op5_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     from fundlake.llm.tokens import read_tokens, write_tokens
-    manifest = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 49_408, 2)
+    manifest = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), None, 2)
     return read_tokens(manifest)
 
 
@@ -286,7 +286,8 @@ def op12_minmax_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op12_minmax_groups"] = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(
-      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents
 ), s AS (
   SELECT DISTINCT rid, array_to_string(w[k:k + 4], ' ') AS g FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)
 ), n AS (

@@ -48,6 +48,9 @@ def id_bits(vocabulary: int) -> int:
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    """Ids of ``bits`` bits each; a wider id raises."""
+    if len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {int(ids.max())} does not fit in {bits} bits")
     if bits in (8, 16, 32):
         return ids.astype(f">u{bits // 8}").tobytes()
     wide = np.unpackbits(ids.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
@@ -62,6 +65,8 @@ def unpack(data: bytes, n: int, bits: int) -> np.ndarray:
     return np.packbits(wide, axis=1).view(">u4").ravel().astype("<u4")
 
 
+#: Text that a tokenizer must encode as the sum of its pieces, for texts to be cut.
+_SAMPLE = "The Quick brown fox, jumps.  Éte ÀB, x1. (a.b) don't\tstop\n\n  End-of line, 3.5. für Straße. 日本 語, \U0001f600 ok."
 #: Stands between pieces that are encoded together (a private-use character).
 _MARK = "\ue000"
 
@@ -75,12 +80,23 @@ class _Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.mark = self._ids(_MARK)
+        self.cuts = self._cuts_agree()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _cuts_agree(self) -> bool:
+        """Whether the tokenizer cuts a sample where ``_pieces`` does, lower-cases as it
+        does, and keeps marks apart; else texts are encoded whole."""
+        data = _SAMPLE.encode()
+        w = _pieces(np.array([0, len(data)]), data)
+        pieces = [w.data[a:z] for a, z in zip(w.starts.tolist(), w.ends.tolist(), strict=True)]
+        apart = [self._ids(p.decode("utf-8", "replace")) for p in pieces]
+        return bool(len(self.mark)) and np.array_equal(np.concatenate(apart), self._ids(_SAMPLE)) \
+            and b"".join(self._together(pieces)) == b"".join(x.tobytes() for x in apart)
+
     def _together(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece, encoded as one text with marks between them. The
         mark's ids decode to the mark alone, so pieces without it cannot hold them."""
@@ -148,9 +164,13 @@ def _pieces(offsets: np.ndarray, data: bytes) -> Words:
 def encode(offsets: np.ndarray, data: bytes, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, number of ids of each), ``end_id`` after each text.
     Each distinct piece between spaces is encoded once."""
+    encoder = _encoder(path)
+    if not encoder.cuts:
+        each = [encoder._ids(data[a:z].decode("utf-8", "replace")) for a, z in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        return np.concatenate([np.append(x, end_id) for x in each]).astype("<u4"), np.array([len(x) + 1 for x in each], np.int64)
     w = _pieces(offsets, data)
     codes, words = w.coded()
-    got = _encoder(path)(words.to_pylist())
+    got = encoder(words.to_pylist())
     size = np.array([len(x) for x in got], np.int64) >> 2
     flat = np.frombuffer(b"".join(got), "<u4")
     first = np.cumsum(size) - size
@@ -195,16 +215,19 @@ class TokenFile:
         return self.read(int(self.starts[k]), int(self.starts[k + 1]))
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, vocabulary: int, end_id: int, id_col: str = "doc_id",
+def write_tokens(docs: DataFrame, tokenizer: str, vocabulary: int | None, end_id: int, id_col: str = "doc_id",
                  text_col: str = "text", folder: str | None = None, partitions: int | None = None) -> DataFrame:
     """Encode all texts and write them in ascending id order (null ids first;
     rows of one id by a hash of their text). Null texts are empty; every text
-    ends with ``end_id``. Returns the manifest: part, path, n_docs, n_ids, and
+    ends with ``end_id``. The ids' width is that of ``vocabulary``, or of the tokenizer's
+    own where that is None; an id that is wider raises. Returns the manifest: part, path, n_docs, n_ids, and
     start, the ids of all parts before. An empty table gives no files."""
     spark = docs.sparkSession
     folder = folder or work_path(spark, "tokens")
     fs, path = open_store(folder)
     fs.create_dir(path, recursive=True)
+    if vocabulary is None:
+        vocabulary = _encoder(tokenizer).tokenizer.get_vocab_size()
     bits = id_bits(vocabulary)
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]

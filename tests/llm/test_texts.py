@@ -1,11 +1,14 @@
 """Operators on texts, against plain versions and on edge cases."""
 
 import hashlib
+import os
 import re
+import types
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 import xxhash
 
 from fundlake.llm import decontaminate as D
@@ -204,6 +207,40 @@ def test_pack_round_trip():
             assert len(raw) == -(-n * bits // 8) and np.array_equal(K.unpack(raw, n, bits), ids)
 
 
+def test_wide_ids_are_refused():
+    for bits, wide in ((8, 256), (11, 1 << 11), (16, 70_000)):
+        with pytest.raises(ValueError, match=str(wide)):
+            K.pack(np.array([1, wide], np.uint32), bits)
+
+
+def test_a_tokenizer_with_other_cuts_encodes_whole_texts(sample):
+    from tokenizers import Tokenizer
+    data = [(r.text or "").encode() for r in sample.collect()][:60]
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in data])])
+    cuts = {}
+    for name in sorted(x for x in os.listdir(os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))) if x.endswith(".json")):
+        path = public_tokenizers.path(name)
+        try:
+            tok = Tokenizer.from_file(path)
+        except Exception:  # another kind of file
+            continue
+        ids, counts = K.encode(offsets, b"".join(data), path, 2)
+        want = [[*tok.encode(x.decode(), add_special_tokens=False).ids, 2] for x in data]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == [len(x) for x in want], name
+        cuts[name] = K._encoder(path).cuts
+    assert cuts["word_bpe_49k.json"]
+
+
+def test_hadoop_store_names(monkeypatch):
+    from fundlake.llm import common
+    seen = []
+    store = types.SimpleNamespace(from_uri=lambda uri: seen.append(uri) or (None, uri))
+    monkeypatch.setattr(common, "pafs", types.SimpleNamespace(FileSystem=store))
+    for uri in ("s3a://b/x", "file:/tmp/x", "hdfs://n/x"):
+        common.open_store(uri)
+    assert seen == ["s3://b/x", "file:///tmp/x", "hdfs://n/x"]
+
+
 def test_tokens_read_back(edge, empty, sample, monkeypatch):
     from tokenizers import Tokenizer
     path = public_tokenizers.path("word_bpe_49k.json")
