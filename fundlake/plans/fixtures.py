@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.statements import END_MARKER, SECTION_START
 from ..session import work_path
 
 _CACHE: dict[tuple, str] = {}
@@ -313,8 +314,8 @@ def statements_text(spark: SparkSession, sf_dir: str) -> str:
         pages = it.select("doc", "flag").distinct().join(docs, "doc")
         first_flag = it.groupBy("doc").agg(F.min("flag").alias("first_flag"))
         pages = pages.join(first_flag, "doc")
-        sched = F.when(F.col("flag") == F.col("first_flag"), F.lit("Schedule of Investment Portfolio")) \
-                 .otherwise(F.lit("Schedule of Investment Portfolio (cont’d)"))
+        sched = F.when(F.col("flag") == F.col("first_flag"), F.lit(SECTION_START)) \
+                 .otherwise(F.lit(f"{SECTION_START} (cont’d)"))
         header = [F.col("fund"), sched, F.date_format("d", "MMMM d, yyyy"), F.lit("Issue"), F.lit("currency"),
                   F.lit("Number of units"), F.lit("Cost"), F.lit("Fair value")]
         parts = [keyed(pages, 0, e, 0, z, z, F.lit(i), h) for i, h in enumerate(header)]
@@ -345,7 +346,7 @@ def statements_text(spark: SparkSession, sf_dir: str) -> str:
         parts.append(keyed(last, 4, e, 1, z, z, z, F.concat_ws(" ", F.lit("Cash (Bank overdraft) (0.1%)"),
                                                                _fmt_amount(F.col("cash")))))
         parts.append(keyed(last, 4, e, 2, z, z, z, F.concat_ws(
-            " ", F.lit("Total net assets attributable to holders of redeemable units (100.0%)"),
+            " ", F.lit(f"{END_MARKER} units (100.0%)"),
             _fmt_amount(F.col("mv") + F.col("cash")))))
         lines = parts[0]
         for p_ in parts[1:]:
