@@ -107,18 +107,23 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
            procedure_params: dict | None = None) -> LoadResult:
     """Load files into ``table`` (default ``spec.target_table``).
 
-    mode: ``replace`` (truncate + load, K01/K03) or ``append`` (K02).
+    mode: ``replace`` (truncate + load, K01/K03), ``append`` (K02) or
+    ``replace_partitions``: of a table in partitions (``spec.partition_by``) only
+    those that the files have good rows of are replaced. A unique key must then hold
+    the partition column, so that the rows that stay cannot break it.
     on_bad: ``fail`` raises before the table is touched if any row is
     rejected; ``quarantine`` loads the good rows and keeps the rejects.
     """
-    from ..sinks.tables import ensure_table, replace_table_data, append_table_data, with_surrogate_id
+    from ..sinks.tables import append_table_data, ensure_table, replace_partitions, replace_table_data, with_surrogate_id
     from .constraints import check_unique
     from .keys import check_append, drop_keys, remember
     from .procedures import run_procedure
     from ..operators.verify import append_audit
 
-    if mode not in ("replace", "append"):
-        raise ValueError(f"mode must be replace or append, got {mode!r}")
+    if mode not in ("replace", "append", "replace_partitions"):
+        raise ValueError(f"mode must be replace, append or replace_partitions, got {mode!r}")
+    if mode == "replace_partitions" and (not spec.partition_by or spec.unique_key and spec.partition_by not in spec.unique_key):
+        raise ValueError("replace_partitions needs partition_by, as a part of the unique key where there is one")
     if on_bad not in ("fail", "quarantine"):
         raise ValueError(f"on_bad must be fail or quarantine, got {on_bad!r}")
     table = table or spec.target_table
@@ -133,7 +138,7 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
                          rows_rejected=rows_rejected, status=status, message=message, started=started)
 
     try:
-        ensure_table(spark, table, spec.ddl())
+        ensure_table(spark, table, spec.ddl(), spec.partition_by)
         checked = validate(read_delimited(spark, path, spec), spec)
         obs = Observation(f"load_{table}")
         staged_path = work_path(spark, f"stage-{table}")
@@ -158,12 +163,15 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
                 raise IngestError(f"unique key {spec.unique_key} violated: {[tuple(d)[:len(spec.unique_key)] for d in dups]}")
         if spec.surrogate_id:
             start = 1
-            if mode == "append":
+            if mode != "replace":
                 start = (existing.agg(F.max(spec.surrogate_id)).first()[0] or 0) + 1
             good = with_surrogate_id(good, spec.surrogate_id, start)
         rows_loaded = rows_read - rows_rejected
-        if mode == "replace":
-            replace_table_data(spark, table, good)
+        if mode != "append":
+            if spec.partition_by:
+                replace_partitions(spark, table, good, drop_others=mode == "replace")
+            else:
+                replace_table_data(spark, table, good)
             drop_keys(spark, table)
         else:
             append_table_data(spark, table, good)

@@ -38,16 +38,22 @@ def _folded(text: str) -> str:
 
 
 def folded_key(spec: IngestSpec) -> Column:
-    """The unique key's folded form as one string, null where a part is null. Plain
-    ASCII is folded by Spark, other text in an Arrow UDF."""
+    """The unique key's folded form as one string, null where a part is null."""
+    return folded_columns([(k, bool(spec.key_collation) and spec.column(k).type.lower().startswith(("varchar", "char", "string")))
+                           for k in spec.unique_key])
+
+
+def folded_columns(columns: list[tuple[str, bool]]) -> Column:
+    """One string of (column, whether it compares under the collation), null where a
+    part is null. Plain ASCII is folded by Spark, other text in an Arrow UDF."""
     @F.pandas_udf("string")
     def folded(texts: pd.Series) -> pd.Series:
         return texts.map(lambda x: x if x is None else _folded(x))
 
     parts = []
-    for k in spec.unique_key:
+    for k, collated in columns:
         text = F.col(f"`{k}`").cast("string")
-        if spec.key_collation and spec.column(k).type.lower().startswith(("varchar", "char", "string")):
+        if collated:
             plain = text.rlike(r"^[\x20-\x7e]*\z")
             text = F.when(plain, F.lower(F.rtrim(text))).otherwise(folded(F.when(~plain, text)))
         parts.append(F.concat(F.length(text).cast("string"), F.lit(":"), text))

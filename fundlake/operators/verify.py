@@ -10,7 +10,7 @@ import datetime as _dt
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +77,59 @@ def check_records(actual: DataFrame, expected: DataFrame, keys: list[str],
                     (found & (F.size(diffs) == 0)).alias("ok"))
 
 
+def _sums(cols: list[Column], sign: Column) -> list[Column]:
+    """Signed sums of two 64-bit hashes of a row, by 32-bit halves so that they stay exact."""
+    hashes = (F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols))
+    return [F.sum(sign * half) for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+
+
+def _told(c: str, types: dict[str, str]) -> list[Column]:
+    """A column as text for hashing, and whether it is NULL (a hash passes over NULLs)."""
+    v = F.col(f"`{c}`").try_cast(types[c]) if c in types else F.col(f"`{c}`")
+    return [F.coalesce(v.cast("string"), F.lit("")), v.isNull()]
+
+
+def keyed_diff(a: DataFrame, b: DataFrame, keys: list[str], compare: list[str], types: dict[str, str] | None = None,
+               buckets: int = 1024, bucket: str | None = None) -> DataFrame:
+    """V05/J06 both ways, for large tables: keys, n_a, n_b, status (``only_a``,
+    ``only_b``, ``count``, ``values``) and mismatched (columns whose values differ, where
+    both sides have equally many rows of the key).
+
+    Level one sums hashes of the rows per bucket of the key; only the sums are shuffled.
+    Level two reads the rows of the buckets whose sums differ and groups them by key, with
+    partial sums before the shuffle, so a repeated key costs no more than another.
+    ``bucket`` names a column that holds the bucket on both sides, as keyed tables do:
+    then level two prunes their partitions. Equal tables are found equal always;
+    differing rows stay unseen only where two 64-bit hashes agree by chance.
+
+    NULL differs from ''; NULL keys meet each other; ``types`` casts a column first.
+    Equal or empty tables give no rows."""
+    types = types or {}
+    where = F.col(f"`{bucket}`") if bucket else F.pmod(F.xxhash64(*[x for k in keys for x in _told(k, types)]), F.lit(buckets)).cast("int")
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        return df.select(where.alias("_at"), *[F.col(f"`{c}`") for c in [*keys, *compare]], F.lit(sign).alias("_sign"))
+
+    whole = [x for c in [*keys, *compare] for x in _told(c, types)]
+    sums = (side(a, 1).unionByName(side(b, -1)).groupBy("_at")
+            .agg(F.struct(F.sum("_sign"), *_sums(whole, F.col("_sign"))).alias("s")))
+    equal = reduce(lambda x, y: x & y, [F.col(f"s.`{f.name}`") == 0 for f in sums.schema["s"].dataType])
+    differing = [r[0] for r in sums.where(~equal).select("_at").collect()]  # no more than there are buckets
+    rows = side(a.where(where.isin(differing)), 1).unionByName(side(b.where(where.isin(differing)), -1))
+    per_key = [F.struct(*_sums(_told(c, types), F.col("_sign"))).alias(f"_d{i}") for i, c in enumerate(compare)]
+    grouped = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(
+        F.count_if(F.col("_sign") == 1).alias("n_a"), F.count_if(F.col("_sign") == -1).alias("n_b"), *per_key)
+    flags = []
+    for i, c in enumerate(compare):
+        halves = grouped.schema[f"_d{i}"].dataType
+        flags.append(F.when(reduce(lambda x, y: x | y, [F.col(f"_d{i}.`{f.name}`") != 0 for f in halves]), F.lit(c)))
+    differ = F.when(F.col("n_a") == F.col("n_b"), F.array_compact(F.array(*flags))).otherwise(F.array().cast("array<string>"))
+    status = (F.when(F.col("n_b") == 0, "only_a").when(F.col("n_a") == 0, "only_b")
+              .when(F.col("n_a") != F.col("n_b"), "count").otherwise("values"))
+    return (grouped.select(*[F.col(f"`{k}`") for k in keys], "n_a", "n_b", status.alias("status"), differ.alias("mismatched"))
+            .where((F.col("n_a") != F.col("n_b")) | (F.size("mismatched") > 0)))
+
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("spec", T.StringType()),
@@ -125,7 +178,3 @@ def append_audit(spark: SparkSession, audit_table: str, *, spec, target_table: s
     ensure_table(spark, audit_table,
                  ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row.schema.fields))
     append_table_data(spark, audit_table, row)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda x, y: x.unionByName(y), frames)

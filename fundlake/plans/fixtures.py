@@ -243,24 +243,35 @@ def lineitem_holdings(spark: SparkSession, sf_dir: str) -> str:
     """date, fund_name, sec_name, sector, currency, units, cost, mv; text
     fields quoted, sector blank for return flag 'N'."""
     def render(path):
-        li = table(spark, sf_dir, "lineitem")
-        mv = (F.col("l_extendedprice").cast("decimal(15,2)") *
-              (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
-        (li.select(_text(F.to_date("l_shipdate")).alias("date"),
-                   F.concat(F.lit("Fund "), _text(F.col("l_suppkey"))).alias("fund_name"),
-                   F.concat(F.lit("Part "), _text(F.col("l_partkey")), F.lit(", lot "),
-                            _text(F.col("l_orderkey")), F.lit("-"), _text(F.col("l_linenumber"))).alias("sec_name"),
-                   F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.col("l_returnflag")).alias("sector"),
-                   F.col("l_linestatus").alias("currency"),
-                   _text(F.col("l_quantity").cast("decimal(15,2)")).alias("units"),
-                   _text(F.col("l_extendedprice").cast("decimal(15,2)")).alias("cost"),
-                   _text(F.round(mv, 2)).alias("mv"))
-           .write.option("header", "true").option("quoteAll", "true").option("emptyValue", "")
-           .csv(path))
-        return path
+        return _holdings_file(table(spark, sf_dir, "lineitem"), path, 0)
     return cached(spark, sf_dir, "lineitem_holdings", render)
 
 
+def restated_holdings(spark: SparkSession, sf_dir: str, month_end: str) -> str:
+    """The holdings of one month filed again: those of line status 'F' only, each worth 1 more."""
+    def render(path):
+        month = table(spark, sf_dir, "lineitem").where((F.last_day(F.to_date("l_shipdate")) == F.lit(month_end).cast("date")) & (F.col("l_linestatus") == "F"))
+        return _holdings_file(month, path, 1)
+    return cached(spark, sf_dir, f"restated_holdings_{month_end}", render)
+
+
+def _holdings_file(li: DataFrame, path: str, more: int) -> str:
+    mv = (F.col("l_extendedprice").cast("decimal(15,2)") *
+          (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
+    (li.select(_text(F.to_date("l_shipdate")).alias("date"),
+               F.concat(F.lit("Fund "), _text(F.col("l_suppkey"))).alias("fund_name"),
+               F.concat(F.lit("Part "), _text(F.col("l_partkey")), F.lit(", lot "),
+                        _text(F.col("l_orderkey")), F.lit("-"), _text(F.col("l_linenumber"))).alias("sec_name"),
+               F.when(F.col("l_returnflag") == "N", F.lit("")).otherwise(F.col("l_returnflag")).alias("sector"),
+               F.col("l_linestatus").alias("currency"),
+               _text(F.col("l_quantity").cast("decimal(15,2)")).alias("units"),
+               _text(F.col("l_extendedprice").cast("decimal(15,2)")).alias("cost"),
+               _text(F.round(mv, 2) + F.lit(more)).alias("mv"))
+       .write.option("header", "true").option("quoteAll", "true").option("emptyValue", "")
+       .csv(path))
+    return path
+
+
 # --- events arriving as several files ----------------------------------------
 def events_arrivals(spark: SparkSession, sf_dir: str) -> str:
     """Events split by event type into separate files of a fresh incoming

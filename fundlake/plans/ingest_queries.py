@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.constraints import check_not_null, check_unique, normalized_key
 from ..operators.ingest import IngestError, accepted, ingest, validate
 from ..operators.lookup import with_fund_code
-from ..operators.merge import merge_table
+from ..operators.merge import BUCKET, create_keyed_table, merge_buckets, merge_table
 from ..operators.procedures import lookup, run_procedure
 from ..session import unique_name, work_path
 from ..sinks.tables import create_table, replace_table_data, write_csv
@@ -290,6 +290,38 @@ def merge_replace(spark: SparkSession, sf: str) -> DataFrame:
     return merge_table(spark, t, update, ["suppkey"], "replace")
 
 
+_CUST = "c_custkey AS custkey, {name} AS name, CAST(c_acctbal AS DECIMAL(15,2)) {more} AS acctbal"
+_RENAMED = "c_nationkey = 3 AND c_mktsegment = 'BUILDING'"
+
+
+@query("merge_touched", f"""
+SELECT {_CUST.format(name="c_name", more="")}, TRUE AS other_files_kept FROM customer WHERE NOT ({_RENAMED}) AND c_nationkey <> 4
+UNION ALL SELECT custkey, name, CAST(acctbal AS DECIMAL(15,2)), TRUE FROM (SELECT {_CUST.format(name="lower(c_name)", more="+ 10")} FROM customer WHERE {_RENAMED})
+UNION ALL SELECT {_CUST.format(name="c_name", more="")}, TRUE FROM customer WHERE c_nationkey = 4
+""", covers="K07 merges into a table in buckets of its key: an append, then a replace that rewrites the touched buckets only")
+def merge_touched(spark: SparkSession, sf: str) -> DataFrame:
+    """Names are the key and compare under the collation."""
+    c = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("custkey"), F.col("c_name").alias("name"), F.col("c_acctbal").cast("decimal(15,2)").alias("acctbal"),
+        "c_nationkey", F.expr(_RENAMED).alias("renamed"))
+    t = unique_name("tgt_customer")
+    create_keyed_table(spark, t, "custkey BIGINT NOT NULL, name VARCHAR(25) NOT NULL, acctbal DECIMAL(15,2)", ["name"], "UNICODE_CI_AI_RTRIM", 64)
+    merge_buckets(spark, t, c.where("c_nationkey <> 4"), "append")
+    merge_buckets(spark, t, c.where("c_nationkey in (3, 4)"), "append")  # those of nation 3 are known
+    before = bucket_files(spark, t)
+    update = c.where("renamed").select("custkey", F.lower("name").alias("name"), (F.col("acctbal") + 10).cast("decimal(15,2)").alias("acctbal"))
+    touched = merge_buckets(spark, t, update, "replace")
+    after = bucket_files(spark, t)
+    kept = all(after.get(b) == files for b, files in before.items() if b not in touched)
+    return spark.table(t).select("custkey", "name", "acctbal", F.lit(kept).alias("other_files_kept"))
+
+
+def bucket_files(spark: SparkSession, table: str) -> dict[int, list[str]]:
+    """The files of each bucket: names only, as many rows as the table has buckets."""
+    files = spark.table(table).groupBy(BUCKET).agg(F.sort_array(F.collect_set(F.col("_metadata.file_path"))).alias("files"))
+    return {r[BUCKET]: r["files"] for r in files.collect()}
+
+
 def _merge_class_fees(spark: SparkSession, sf: str, kind: str) -> str:
     """Two class-fee loads, each merged into one target by the read procedure."""
     target = unique_name("fees")
@@ -393,3 +425,23 @@ def lookup_code(spark: SparkSession, sf: str) -> DataFrame:
                .join(n.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
                .select(F.col("c_custkey").alias("custkey"), F.col("n_name").alias("fund_name")))
     return with_fund_code(holders, codes)
+
+
+# Holdings as they are filed, by month end, in a table with one partition per date.
+MONTH_HOLDINGS_SPEC = LINE_HOLDINGS_SPEC.with_options(
+    partition_by="date",
+    field_transformations=MappingProxyType({**LINE_HOLDINGS_SPEC.field_transformations, "date": "last_day(to_date(@date))"}))
+RESTATED, AS_FILED = "1996-03-31", "1996-04-30"
+_MONTH = _HOLD_SQL.replace("CAST(l_shipdate AS DATE) AS date", "last_day(CAST(l_shipdate AS DATE)) AS date")
+
+
+@query("holdings_by_date", f"""
+SELECT * REPLACE (CAST(mv + 1 AS DECIMAL(21,6)) AS mv) FROM ({_MONTH}) WHERE date = DATE '{RESTATED}' AND currency = 'F'
+UNION ALL SELECT * FROM ({_MONTH}) WHERE date = DATE '{AS_FILED}'
+""", covers="K01 P05 H02 holdings in a partition per date: one date restated, others untouched, the read procedure prunes")
+def holdings_by_date(spark: SparkSession, sf: str) -> DataFrame:
+    t = unique_name("stg_holdweb")
+    ingest(spark, MONTH_HOLDINGS_SPEC, fx.lineitem_holdings(spark, sf), table=t, on_bad="fail")
+    ingest(spark, MONTH_HOLDINGS_SPEC, fx.restated_holdings(spark, sf, RESTATED), mode="replace_partitions", table=t, on_bad="fail")
+    restated, filed = (run_procedure(spark, "usp_holdweb_process", table=t, date=d) for d in (RESTATED, AS_FILED))
+    return restated.unionByName(filed)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ingest import IngestError, ingest
-from ..operators.verify import check_records, multiset_diff, reconcile_counts
+from ..operators.merge import BUCKET, create_keyed_table, merge_buckets
+from ..operators.verify import check_records, keyed_diff, multiset_diff, reconcile_counts
 from ..session import unique_name, work_path
 from ..spec import IngestSpec, TargetColumn as C
 from ..streaming.file_stream import ingest_stream, loaded
@@ -153,6 +154,41 @@ def record_check(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("custkey", "found", F.array_join("mismatched", ",").alias("mismatched"), "ok")
 
 
+_GONE, _ADDED = "day(o_orderdate) = 2 AND o_orderstatus = 'P'", "day(o_orderdate) = 3 AND o_orderstatus = 'P'"
+_PRICED, _BLANKED = "day(o_orderdate) = 4 AND o_orderstatus = 'P'", "day(o_orderdate) IN (4, 5) AND o_orderstatus = 'P'"
+
+
+@query("keyed_compare", f"""
+WITH a AS (SELECT o_orderkey AS orderkey, CAST(o_totalprice AS DECIMAL(15,2)) AS totalprice, o_orderpriority AS priority FROM orders),
+b AS (SELECT o_orderkey AS orderkey, CAST(CASE WHEN {_PRICED} THEN CAST(o_totalprice AS DECIMAL(15,2)) + 1 ELSE o_totalprice END AS DECIMAL(15,2)) AS totalprice,
+             CASE WHEN {_BLANKED} THEN NULL ELSE o_orderpriority END AS priority FROM orders WHERE NOT ({_GONE})
+      UNION ALL SELECT -o_orderkey - 1, CAST(o_totalprice AS DECIMAL(15,2)), o_orderpriority FROM orders WHERE {_ADDED})
+SELECT coalesce(a.orderkey, b.orderkey) AS orderkey, CAST(a.orderkey IS NOT NULL AS BIGINT) AS n_a, CAST(b.orderkey IS NOT NULL AS BIGINT) AS n_b,
+  CASE WHEN b.orderkey IS NULL THEN 'only_a' WHEN a.orderkey IS NULL THEN 'only_b' ELSE 'values' END AS status,
+  CASE WHEN a.orderkey IS NULL OR b.orderkey IS NULL THEN ''
+       ELSE concat_ws(',', CASE WHEN a.totalprice <> b.totalprice THEN 'totalprice' END,
+                           CASE WHEN a.priority IS DISTINCT FROM b.priority THEN 'priority' END) END AS mismatched
+FROM a FULL JOIN b ON a.orderkey = b.orderkey
+WHERE a.orderkey IS NULL OR b.orderkey IS NULL OR a.totalprice <> b.totalprice OR a.priority IS DISTINCT FROM b.priority
+""", covers="V05 J06 two tables compared by key, both ways: sums of buckets first, then the rows of differing buckets")
+def keyed_compare(spark: SparkSession, sf: str) -> DataFrame:
+    """Two keyed tables; level two reads the partitions of differing buckets."""
+    o = fx.table(spark, sf, "orders").select("*", *[F.expr(e).alias(n) for n, e in (("gone", _GONE), ("added", _ADDED), ("priced", _PRICED), ("blanked", _BLANKED))])
+    price = F.col("o_totalprice").cast("decimal(15,2)")
+    key, priority = F.col("o_orderkey").alias("orderkey"), F.col("o_orderpriority").alias("priority")
+    first = o.select(key, price.alias("totalprice"), priority)
+    second = o.where("not gone").select(key, F.when(F.col("priced"), price + 1).otherwise(price).cast("decimal(15,2)").alias("totalprice"),
+                                        F.when(~F.col("blanked"), F.col("o_orderpriority")).alias("priority")) \
+        .unionByName(o.where("added").select((-F.col("o_orderkey") - 1).alias("orderkey"), price.alias("totalprice"), priority))
+    names = []
+    for rows in (first, second):
+        names.append(unique_name("cmp_orders"))
+        create_keyed_table(spark, names[-1], "orderkey BIGINT, totalprice DECIMAL(15,2), priority STRING", ["orderkey"], buckets=64)
+        merge_buckets(spark, names[-1], rows)
+    d = keyed_diff(spark.table(names[0]), spark.table(names[1]), ["orderkey"], ["totalprice", "priority"], bucket=BUCKET)
+    return d.withColumn("mismatched", F.array_join("mismatched", ","))
+
+
 @query("load_audit", f"""
 SELECT 'customers' AS spec, 'replace' AS mode, count(*) AS rows_read, count(*) AS rows_loaded,
        CAST(0 AS BIGINT) AS rows_rejected, 'ok' AS status, CAST(NULL AS VARCHAR) AS message_head,

@@ -15,17 +15,20 @@ from ..session import materialize, work_path
 from ..operators.ingest import _VARCHAR
 
 
-def create_table(spark: SparkSession, name: str, ddl: str, location: str | None = None) -> str:
-    """Drop if exists, then create a typed Parquet table (K05). Returns its folder."""
+def create_table(spark: SparkSession, name: str, ddl: str, location: str | None = None,
+                 partition_by: str | None = None) -> str:
+    """Drop if exists, then create a typed Parquet table (K05), in partitions of one
+    date or integer column where ``partition_by`` names it. Returns its folder."""
     location = location or work_path(spark, f"table-{name}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet LOCATION '{location}'")
+    parts = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet{parts} LOCATION '{location}'")
     return location
 
 
-def ensure_table(spark: SparkSession, name: str, ddl: str) -> None:
+def ensure_table(spark: SparkSession, name: str, ddl: str, partition_by: str | None = None) -> None:
     if not spark.catalog.tableExists(name):
-        create_table(spark, name, ddl)
+        create_table(spark, name, ddl, partition_by=partition_by)
 
 
 def _conform(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
@@ -59,6 +62,53 @@ def replace_table_data(spark: SparkSession, name: str, df: DataFrame) -> str:
     return new_location
 
 
+def partition_column(spark: SparkSession, name: str) -> str | None:
+    return next((c.name for c in spark.catalog.listColumns(name) if c.isPartition), None)
+
+
+def replace_partitions(spark: SparkSession, name: str, df: DataFrame, drop_others: bool = False) -> list[str]:
+    """Replace the partitions that ``df`` has rows of and leave the others, or drop
+    them (K01 for one date, say). The rows are written to a new folder, then each
+    partition is pointed at its part of it: a failed job leaves the table as it was,
+    and no file of another partition is read or written. Returns the partitions
+    replaced; an empty ``df`` replaces none. A NULL partition value is refused."""
+    col = partition_column(spark, name)
+    if not col:
+        raise ValueError(f"{name} has no partitions")
+    kind = spark.table(name).schema[col].dataType.typeName()
+    if kind not in ("date", "integer", "long"):
+        raise ValueError(f"{name} is partitioned by a {kind} column")
+    folder = work_path(spark, f"table-{name}")
+    value = F.col(f"`{col}`")
+    rows = _conform(spark, name, df).withColumn(col, F.when(value.isNull(), F.raise_error(
+        F.lit(f"NULL in partition column {col}"))).otherwise(value).cast(kind))
+    rows.hint("rebalance", F.col(f"`{col}`")).write.partitionBy(col).parquet(folder)
+    # One row per partition of the table, as the catalog holds them.
+    values = [] if not has_data(spark, folder) else sorted(
+        r[0] for r in spark.read.schema(spark.table(name).schema).parquet(folder).select(value.cast("string")).distinct().collect())
+    known = {p[0] for p in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    others = sorted(p for p in known if p.split("=", 1)[1] not in values) if drop_others else []
+    if others:
+        spark.sql(f"ALTER TABLE {name} DROP " + ", ".join(f"PARTITION ({col} = '{p.split('=', 1)[1]}')" for p in others))
+    new = []
+    for v in values:
+        spec, at = f"PARTITION ({col} = '{v}')", f"'{folder}/{col}={v}'"
+        if f"{col}={v}" in known:
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {at}")
+        else:
+            new.append(f"{spec} LOCATION {at}")
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(new)}")
+    spark.sql(f"REFRESH TABLE {name}")
+    return values
+
+
+def has_data(spark: SparkSession, folder: str) -> bool:
+    """Whether a written folder holds partitions."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(folder + "/*=*")
+    return bool(glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob))
+
+
 def with_surrogate_id(df: DataFrame, col: str = "id", start: int = 1) -> DataFrame:
     """Dense 1-based (from ``start``) ids without a single-partition sort.
 

@@ -14,6 +14,11 @@ the number of lines to skip.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,21 +98,41 @@ def _skip_head(lines: DataFrame, spec: IngestSpec) -> DataFrame:
     """Skip the first N lines of every file, N > 1, keeping files splittable.
     Blank lines are not counted, as they are not for one header line.
 
-    A line's index inside its file is only needed in the first split of each
-    file (``file_block_start = 0``): there, ``monotonically_increasing_id``
-    counts rows of the task in file order, so index = id - min(id) of that
-    file's first split. Later splits are kept whole. The per-file minimum is a
-    one-row-per-file aggregate, left to Spark's own size check for broadcasting.
+    The head of a file lies in its first split (``file_block_start = 0``), which one
+    task reads whole and in file order, so one pass that counts the lines of the file
+    at hand drops it: one scan, no shuffle. Batches without a head line go through as
+    they are.
     """
-    lines = lines.select(
-        F.coalesce(F.col(CORRUPT), F.col(LINE)).alias(LINE),
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"))
-    firsts = lines.filter("_block = 0").groupBy(SOURCE_FILE).agg(F.min("_row").alias("_first"))
-    return (lines.join(firsts, SOURCE_FILE)
-            .filter((F.col("_block") > 0) | (F.col("_row") - F.col("_first") >= spec.skip_lines))
-            .select(LINE, SOURCE_FILE))
+    skip = spec.skip_lines
+
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, seen = None, 0
+        for batch in batches:
+            starts = batch.column(2).to_numpy(zero_copy_only=False)
+            keep = np.ones(len(starts), dtype=bool)
+            at = 0
+            while at < len(starts):
+                if starts[at] != 0:  # up to the next first split
+                    at += int(np.argmax(starts[at:] == 0)) if (starts[at:] == 0).any() else len(starts) - at
+                    file = None
+                    continue
+                name = batch.column(1)[at].as_py()
+                if name != file:
+                    file, seen = name, 0
+                end = at
+                while end < len(starts) and starts[end] == 0 and seen < skip and batch.column(1)[end].as_py() == name:
+                    keep[end] = False
+                    end, seen = end + 1, seen + 1
+                if end == at:  # the head is behind: on to the next file of this batch
+                    names = batch.column(1).slice(at)
+                    other = pc.not_equal(names, name).to_numpy(zero_copy_only=False) | (starts[at:] != 0)
+                    end = at + (int(np.argmax(other)) if other.any() else len(other))
+                at = end
+            yield (batch if keep.all() else batch.filter(pa.array(keep))).select([0, 1])
+
+    placed = lines.select(F.coalesce(F.col(CORRUPT), F.col(LINE)).alias(LINE), F.col("_metadata.file_path").alias(SOURCE_FILE),
+                          F.col("_metadata.file_block_start").alias("_block"))
+    return placed.mapInArrow(drop, f"{LINE} string, {SOURCE_FILE} string")
 
 
 def parse_lines(lines: DataFrame, spec: IngestSpec) -> DataFrame:

@@ -33,6 +33,8 @@ class IngestSpec:
     unique_key: tuple[str, ...] = ()
     key_collation: str | None = "UNICODE_CI_AI_RTRIM"
     surrogate_id: str | None = None
+    #: a date or integer column by which the table is partitioned
+    partition_by: str | None = None
     procedure_name: str | None = None
     procedure_params: Mapping[str, Any] = field(default_factory=lambda: MappingProxyType({}))
     # reader options
