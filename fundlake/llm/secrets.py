@@ -1,15 +1,18 @@
 """Secret scan with a random forest against false positives.
 
-A candidate is a run of 16 or more key characters with a digit. Its features
-are its length, character shares and transitions, the share of it that words of
-a dictionary cover, the path of its document and its neighbouring words. A
-random forest trained on labelled findings says how likely it is a secret.
+A candidate is a private key block, a token of three parts, a key with a provider's
+prefix, any value of six or more characters that is assigned to a secret's name, or
+a run of 16 or more key characters with a digit. Its features are its length, character
+shares and transitions, the share of it that words of a dictionary cover, the words of
+its document's path and its neighbouring words, both hashed. A random forest trained on
+labelled findings says how likely it is a secret.
 
 Findings that users labelled are passed in. Without them, labels are drawn from
 the scanned corpus: what has the exact form of a provider's key, or a mixed
 value that is assigned to a secret's name, is one; runs of digits, values near
 words that name public identifiers, and placeholders are not. Others are
-unlabelled and only scored. A fixed list of labelled examples is added.
+unlabelled and only scored. The forest does not see those rules, only the words and
+characters. A fixed list of labelled examples is added.
 
 All of it is DataFrame functions and the DataFrame API of ``pyspark.ml``.
 """
@@ -17,24 +20,34 @@ All of it is DataFrame functions and the DataFrame API of ``pyspark.ml``.
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import fold_rows, write_once
 
-CANDIDATE = r"(?<![A-Za-z0-9_/+\-])(?=[A-Za-z_/+\-]*[0-9])[A-Za-z0-9_/+\-]{16,}={0,2}"
+SECRET_NAME = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_\-]?key|access[_\-]?key|auth(?:orization)?|bearer|credential|private[_\-]?key"
+ASSIGNED = r"[\"']?\s{0,3}(?:=>|:=|[=:])\s{0,3}"
+#: A secret's name, what assigns, and the scheme word of a header.
+LEAD = rf"(?i:(?:{SECRET_NAME})[A-Za-z0-9_\-]{{0,24}}{ASSIGNED}(?:(?:bearer|basic)\s{{1,3}})?)"
+VALUE = "(?:\"[^\"\\r\\n]{6,}\"|'[^'\\r\\n]{6,}'|`[^`\\r\\n]{6,}`|[^\\s\"'`,;]{6,})"
+KEY_BLOCK = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----[^\-]*+(?:-(?!----)[^\-]*+){0,64}+(?:-----END [A-Z ]{0,40}PRIVATE KEY-----)?"
+JWT = r"(?<![A-Za-z0-9_\-])eyJ[A-Za-z0-9_\-]{8,}+\.[A-Za-z0-9_\-]{8,}+(?:\.[A-Za-z0-9_\-]*+)?"
+# Prefixes of well-known providers' keys.
+PREFIXED = r"(?<![A-Za-z0-9])(?:sk-(?:proj-|ant-)?|sk_live_|rk_live_|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|AKIA|ASIA|AIza|npm_|hf_)[A-Za-z0-9_\-]{16,}+"
+#: No run that is the name which a value is assigned to.
+RUN = (rf"(?<![A-Za-z0-9_/+\-])(?![A-Za-z0-9_/+\-]*?(?i:{SECRET_NAME})[A-Za-z0-9_\-]{{0,24}}{ASSIGNED}[^\s=])"
+       r"(?=[A-Za-z_/+\-]*[0-9])[A-Za-z0-9_/+\-]{16,}={0,2}")
+CANDIDATE = "|".join((KEY_BLOCK, JWT, PREFIXED, LEAD + VALUE, RUN))
 CONTEXT = 48
 #: Labelled findings used for the fit, of least hash.
 TRAIN_ROWS = 20_000
-TREES, DEPTH, SEED = 24, 6, 7
+TREES, DEPTH, SEED = 48, 6, 7
 LEAST_SCORE = 0.5
 
 PROVIDER = r"^(?:AKIA[0-9A-Z]{16}|ASIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|glpat-[A-Za-z0-9_\-]{20}|xox[abprs]-[A-Za-z0-9\-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_\-]{35})$"
-NAMED = r"(?i)(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)\W{0,4}$"
+NAMED = rf"(?i)(?:{SECRET_NAME})[A-Za-z0-9_\-]{{0,24}}(?:\W{{0,4}}|{ASSIGNED}(?:(?:bearer|basic)\s{{1,3}})?[\"'`]?)$"
 PUBLIC = r"(?i)(?:uuid|guid|commit|sha\d*|md5|checksum|digest|revision|isbn|issn|doi|serial|order|invoice|card|phone|build|version|example|sample|dummy|placeholder)\W{0,4}$"
-TEST_PATH = r"(?i)(?:^|[/_.\-])(?:test|tests|spec|example|examples|sample|fixture|fixtures|docs?|mock)(?:$|[/_.\-])"
 DICTIONARY = ("about access account address admin after again also always another because before between build change client cloud code "
               "config connect content core could country data default demo develop document down east every example false field file "
               "first folder from function general great group have house image index info into just know large lib library light "
@@ -56,28 +69,55 @@ EXAMPLES = (
     ("order number ", "2024000000123456", "", "mail.txt", 0), ("token = '", "example-token-placeholder-1", "'", "docs/guide.md", 0),
     ("api_key=", "xxxxxxxxxxxxxxxx1234", "", "docs/example.env", 0), ("see ", "src/main/java/server/Version2Test", "", "README", 0),
     ("build ", "release-candidate-version-2024", "", "README", 0), ("id ", "0000000000000000", "", "data.csv", 0),
+    ("password = '", "Tr0ub4dor&3", "'", "src/login.py", 1), ("token=", "qWmZxRtPlKjHgFdSaNbVcYuE", "", "config.ini", 1),
+    ("key ", "sk-proj-abQZkLmNtRwXyPsDfGhJvCeU", "", "chat.log", 1), ("password: ", "please change", " it", "notes.txt", 0),
+    ("password = ", "getpass()", "", "src/cli.py", 0), ("token: ", "string", "", "docs/api.md", 0),
     ("password: ", "password1234567890", "", "tests/login.py", 0), ("file ", "test_user_login_with_token_2", "", "tests/a.py", 0),
 )
-FEATURES = ("length", "digits", "upper", "lower", "marks", "changes", "pairs", "repeats", "hex", "distinct", "covered", "provider", "named", "public",
-            "quoted", "assigned", "test_path")
+FEATURES = ("length", "digits", "upper", "lower", "marks", "changes", "pairs", "repeats", "hex", "distinct", "covered", "quoted", "assigned")
+#: Hash buckets of the neighbouring words before and after, and of the words of the path.
+WORD_BUCKETS, PATH_BUCKETS, NEAR = 8, 4, 2
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, path_col: str) -> DataFrame:
-    """(doc_id, path, position, candidate, before, after); position in characters from 0."""
+    """(doc_id, path, position, candidate, before, after); position in characters from 0.
+    Of a value that is assigned, the candidate is the value without its quotes."""
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text")) \
         .where(F.col("text").rlike(CANDIDATE))
     cut = given.select("doc_id", "path", F.split("text", CANDIDATE).alias("pieces"), F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("found"))
-    ends = fold_rows(
-        F.arrays_zip(F.slice("pieces", F.lit(1), F.size("found")).alias("p"), F.col("found").alias("f")), F.lit(0).cast("long"), "array<bigint>",
-        lambda n, x: (n + F.length(x["p"]) + F.length(x["f"]), F.array(n + F.length(x["p"]))))
-    each = F.transform("found", lambda c, i: F.struct(
-        F.get(F.col("at"), i).alias("position"), c.alias("candidate"),
-        F.right(F.get(F.col("pieces"), i), F.lit(CONTEXT)).alias("before"), F.left(F.get(F.col("pieces"), i + 1), F.lit(CONTEXT)).alias("after")))
-    return cut.withColumn("at", ends).select("doc_id", "path", F.explode(each).alias("c")).select("doc_id", "path", "c.*")
+
+    def some(c: str, i: Column) -> Column:
+        return F.coalesce(F.get(F.col(c), i), F.lit(""))
+
+    parts = F.transform("found", lambda m, i: F.struct(
+        some("pieces", i).alias("p"), m.alias("m"), F.regexp_replace(m, f"(?s)^{LEAD}[\"'`]?(?=.{{6}})", "").alias("rest"),
+        F.left(F.concat(some("pieces", i + 1), some("found", i + 1), some("pieces", i + 2)), F.lit(CONTEXT)).alias("next")))
+    named = F.transform(parts, lambda x: F.struct(
+        x["p"].alias("p"), x["m"].alias("m"), F.left(x["m"], F.length(x["m"]) - F.length(x["rest"])).alias("lead"),
+        F.when(F.length(x["rest"]) < F.length(x["m"]), F.regexp_replace(x["rest"], "[\"'`]$", "")).otherwise(x["m"]).alias("value"), x["next"].alias("next")))
+
+    def step(state: Column, x: Column) -> tuple[Column, Column]:
+        before = F.right(F.concat(state["tail"], x["p"], x["lead"]), F.lit(CONTEXT))
+        closing = F.substring(x["m"], F.length(x["lead"]) + F.length(x["value"]) + 1, F.lit(1))
+        row = F.struct((state["n"] + F.length(x["p"]) + F.length(x["lead"])).alias("position"), x["value"].alias("candidate"),
+                       before.alias("before"), F.left(F.concat(closing, x["next"]), F.lit(CONTEXT)).alias("after"))
+        after = F.struct((state["n"] + F.length(x["p"]) + F.length(x["m"])).alias("n"), F.right(F.concat(state["tail"], x["p"], x["m"]), F.lit(CONTEXT)).alias("tail"))
+        return after, F.array(row)
+
+    first = F.struct(F.lit(0).cast("long").alias("n"), F.lit("").alias("tail"))
+    rows = fold_rows(named, first, "array<struct<position:bigint,candidate:string,before:string,after:string>>", step)
+    return cut.select("doc_id", "path", F.explode(rows).alias("c")).select("doc_id", "path", "c.*")
+
+
+def _words(text: Column, buckets: int) -> Column:
+    """Which hash buckets the words fall into, as an array of 0.0 and 1.0."""
+    at = F.transform(text, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+    return F.transform(F.array(at), lambda hs: F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda j: F.array_contains(hs, j).cast("double")))[0]
 
 
 def with_features(found: DataFrame) -> DataFrame:
-    """Adds the columns of FEATURES as doubles."""
+    """Adds the columns of FEATURES as doubles, and ``features``: those and the hashed
+    words before, after and of the path."""
     c, n = F.col("candidate"), F.length("candidate").cast("double")
 
     def share(regex: str) -> Column:
@@ -90,32 +130,38 @@ def with_features(found: DataFrame) -> DataFrame:
     rest = F.length(F.regexp_replace(low, "(?:" + "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))) + ")", ""))
     kinds = ("a-z", "A-Z", "0-9", r"_/+\-=")
     changes = "|".join(f"(?<=[{k}])(?=[^{k}])" for k in kinds)
-    return found.withColumns({
+
+    def near(side: str, take: str) -> Column:
+        words = F.regexp_extract_all(F.lower(F.coalesce(F.col(side), F.lit(""))), F.lit("[a-z]+"), F.lit(0))
+        return words if take == "all" else F.slice(words, F.lit(1), F.lit(NEAR)) if take == "first" else F.reverse(F.slice(F.reverse(words), F.lit(1), F.lit(NEAR)))
+
+    told = found.withColumns({
         "length": n, "digits": share("[0-9]"), "upper": share("[A-Z]"), "lower": share("[a-z]"), "marks": share(r"[_/+\-=]"),
         "changes": share(changes), "pairs": F.regexp_count(low, F.lit("(?=(?:" + "|".join(BIGRAMS) + "))")) / n, "repeats": share(r"(.)(?=\1)"),
         "hex": flag(c.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")), "distinct": F.size(F.array_distinct(F.split(c, ""))) / F.least(n, F.lit(32.0)),
-        "covered": 1 - rest / n, "provider": flag(c.rlike(PROVIDER)), "named": flag(F.col("before").rlike(NAMED)),
-        "public": flag(F.col("before").rlike(PUBLIC)), "quoted": flag(F.col("before").rlike("[\"'`]$")),
-        "assigned": flag(F.col("before").rlike("[=:]\\s*[\"'`]?$")), "test_path": flag(F.col("path").rlike(TEST_PATH))})
+        "covered": 1 - rest / n, "quoted": flag(F.col("before").rlike("[\"'`]$")), "assigned": flag(F.col("before").rlike("[=:]\\s*[\"'`]?$"))})
+    return told.withColumn("features", array_to_vector(F.concat(
+        F.array(*FEATURES), _words(near("before", "last"), WORD_BUCKETS), _words(near("after", "first"), WORD_BUCKETS), _words(near("path", "all"), PATH_BUCKETS))))
 
 
 def labelled_findings(featured: DataFrame) -> DataFrame:
     """Adds ``label`` to the findings that the rules of the module can tell; drops the others."""
-    alike = (F.col("digits") == 1) | (F.col("distinct") < 0.2) | (F.col("public") == 1) | (F.col("covered") > 0.5)
-    sure = (F.col("provider") == 1) | ((F.col("named") == 1) & (F.col("digits") < 1) & (F.col("digits") > 0.1))
+    whole = F.col("candidate").rlike(f"^(?:{KEY_BLOCK}|{JWT})$")
+    alike = (F.col("digits") == 1) | (F.col("distinct") < 0.2) | F.col("before").rlike(PUBLIC) | (F.col("covered") > 0.5)
+    sure = whole | F.col("candidate").rlike(PROVIDER) | (F.col("before").rlike(NAMED) & (F.col("digits") < 1) & (F.col("digits") > 0.1))
     return featured.withColumn("label", F.when(alike, 0.0).when(sure, 1.0)).where("label is not null")
 
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> RandomForestClassificationModel:
-    """Fit on at most ``rows`` findings (columns FEATURES and label), those of
+    """Fit on at most ``rows`` findings (columns features and label), those of
     least hash, and the fixed examples."""
     spark = labelled.sparkSession
     fixed = with_features(spark.createDataFrame([(*x[:4], float(x[4])) for x in EXAMPLES],
                                                 "before string, candidate string, after string, path string, label double"))
     some = labelled.orderBy(F.xxhash64("candidate", "before"), "candidate", "before", "doc_id", "position").limit(rows)
-    sample = write_once(some.select(*FEATURES, "label").union(fixed.select(*FEATURES, "label")).coalesce(1), "secret-sample")
-    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
-    return forest.fit(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample))
+    sample = write_once(some.select("features", "label").union(fixed.select("features", "label")).coalesce(1), "secret-sample")
+    forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="onethird", featuresCol="features", labelCol="label")
+    return forest.fit(sample)
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str = "source", findings: DataFrame | None = None) -> DataFrame:
@@ -128,8 +174,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gives none."""
     found = write_once(with_features(candidates(docs, id_col, text_col, path_col)), "secret-candidates")
     model = train(labelled_findings(found) if findings is None else with_features(findings))
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
     score = F.round(F.get(vector_to_array("probability"), F.lit(1)), 9)
-    return model.transform(assembled).select(
+    return model.transform(found).select(
         "doc_id", "position", F.col("length").cast("long").alias("n_chars"), F.sha2("candidate", 256).alias("sha256"),
         score.alias("score"), (score >= LEAST_SCORE).alias("is_secret"))
