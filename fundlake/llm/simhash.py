@@ -7,11 +7,14 @@ children have in common, and each child only its further shared bits. A search
 walks down from the roots, adds the differences it meets at each node, and
 leaves a whole group as soon as the sum exceeds the allowed distance.
 
-On a cluster, the upper nodes (one per group, at most ``MAX_GROUPS``) route
-packed fingerprints to the groups that may hold a partner; each pair of groups
-is one independent row of work. A pair of groups returns a spanning forest of
-its links, never all of them, and the forests are joined into components by
-alternating star contraction.
+On a cluster, one such order would leave nearly every pair of groups open: their
+upper nodes share few bits. So there is one order for each of ``distance`` + 1
+blocks of bits, rotated to the top. Two linked fingerprints agree on one block
+whole, and in that order they stand under one key; a group is searched in itself
+by the task that sorted it. Only a key that lies over several groups needs pairs
+of them, each an independent row of work that the nodes' shared bits may prune.
+A search returns a spanning forest of its links, never all of them, and the
+forests are joined into components by alternating star contraction.
 """
 
 from __future__ import annotations
@@ -29,9 +32,10 @@ from fundlake.llm.common import BY_SPACE, Words, partitions_for, remove_path, te
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 3
 SEED = 42
-#: Fingerprints per group, until there are MAX_GROUPS of them; then groups grow.
+#: Fingerprints per group.
 GROUP_FINGERPRINTS = 8192
-MAX_GROUPS = 4096
+#: Sorted partitions at most; beyond them a task searches several groups in turn.
+MAX_PARTITIONS = 1 << 14
 LEAF = 16
 FANOUT = 8
 #: Candidate pairs examined at once by a search; bounds its memory.
@@ -195,59 +199,107 @@ def _links(targets: np.ndarray, sources: np.ndarray, same: bool, distance: int)
     return nodes[moved], nodes[parent[moved]]
 
 
+def key_blocks(distance: int) -> list[tuple[int, int]]:
+    """(first bit from the top, width) of ``distance`` + 1 blocks of the 64 bits:
+    fingerprints within ``distance`` bits agree on the whole of at least one."""
+    cuts = [64 * i // (distance + 1) for i in range(distance + 2)]
+    return [(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+
+
+def _rotated(fps: np.ndarray, by: int) -> np.ndarray:
+    return (fps << np.uint64(by)) | (fps >> np.uint64(64 - by)) if by % 64 else fps
+
+
+_PIECE = "tbl int, key long, grp long, mask long, pattern long, fps binary, u long, v long"
+
+
+def _searched(distance: int):
+    """Task function over (tbl, fp) in Gray order: the links inside each group
+    (u, v), and each group's fingerprints of its first and last key (pieces),
+    which other groups may hold too. Every key between lies in one group whole."""
+    widths = [width for _, width in key_blocks(distance)]
+    firsts = [first for first, _ in key_blocks(distance)]
+    size = GROUP_FINGERPRINTS
+
+    def rows(n: int, **given: pa.Array) -> pa.RecordBatch:
+        kinds = {"tbl": pa.int32(), "fps": pa.binary()}
+        names = [f.split()[0] for f in _PIECE.split(", ")]
+        return pa.RecordBatch.from_arrays([given.get(c, pa.nulls(n, kinds.get(c, pa.int64()))) for c in names], names=names)
+
+    def group(tbl: int, grp: int, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a, b = _links(fps, fps, True, distance)
+        if len(a):
+            a, b = (_rotated(x, 64 - firsts[tbl]).view(np.int64) for x in (a, b))
+            yield rows(len(a), u=pa.array(np.maximum(a, b)), v=pa.array(np.minimum(a, b)))
+        keys = fps >> np.uint64(64 - widths[tbl])
+        for key in {int(keys[0]), int(keys[-1])}:
+            mine = fps[keys == key]
+            low, high = np.bitwise_and.reduce(mine), np.bitwise_or.reduce(mine)
+            node = np.array([key, ~(low ^ high) & np.uint64(0xFFFFFFFFFFFFFFFF), low], np.uint64).view(np.int64)
+            yield rows(1, tbl=pa.array([tbl], pa.int32()), key=pa.array(node[:1]), grp=pa.array([grp]), mask=pa.array(node[1:2]),
+                       pattern=pa.array(node[2:]), fps=pa.array([mine.tobytes()], pa.binary()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        grp = TaskContext.get().partitionId() << 32
+        tbl, held = -1, np.zeros(0, np.uint64)
+        for batch in batches:
+            tables = batch.column(0).to_numpy(zero_copy_only=False)
+            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            cut = np.flatnonzero(np.diff(tables)) + 1
+            for lo, hi in zip([0, *cut], [*cut, len(fps)], strict=True):
+                if hi == lo:
+                    continue
+                if tables[lo] != tbl:
+                    if len(held):
+                        yield from group(tbl, grp, held)
+                        grp += 1
+                    tbl, held = int(tables[lo]), np.zeros(0, np.uint64)
+                held = np.concatenate([held, fps[lo:hi]])
+                while len(held) >= size:
+                    yield from group(tbl, grp, held[:size])
+                    grp, held = grp + 1, held[size:]
+        if len(held):
+            yield from group(tbl, grp, held)
+
+    return run
+
+
 def links(classes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
     """Links (u, v), u > v, that join all distinct fingerprints ``fp`` of
     ``classes`` exactly as their pairs within ``distance`` bits do."""
-    spark = classes.sparkSession
-    n = classes.count()
-    groups = min(MAX_GROUPS, max(1, -(-n // GROUP_FINGERPRINTS)))
+    blocks = key_blocks(distance)
+    n = classes.count() * len(blocks)
+    partitions = min(MAX_PARTITIONS, max(1, -(-n // GROUP_FINGERPRINTS)))
+    spread = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("tbl"), (F.shiftleft("fp", at).bitwiseOR(F.shiftrightunsigned("fp", 64 - at)) if at else F.col("fp")).alias("fp"))
+        for i, (at, _) in enumerate(blocks)]))
+    turned = classes.select(spread.alias("x")).select("x.tbl", "x.fp")
     rank = gray_rank(F.col("fp"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        got = [b.column(0).to_numpy(zero_copy_only=False) for b in batches if b.num_rows]
-        if got:
-            fps = np.concatenate(got).view(np.uint64)
-            low, high = np.bitwise_and.reduce(fps), np.bitwise_or.reduce(fps)
-            mask = np.array([~(low ^ high), low]).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array(mask[:1]), pa.array(mask[1:]), pa.array([fps.tobytes()], pa.binary())],
-                names=["grp", "mask", "pattern", "fps"])
-
-    packed = write_once(
-        classes.select("fp").repartitionByRange(groups, rank).sortWithinPartitions(rank)
-        .mapInArrow(pack, "grp int, mask long, pattern long, fps binary"), "simhash-groups")
-    # The upper nodes: a few numbers per group, at most MAX_GROUPS rows.
-    upper = sorted((r["grp"], r["mask"], r["pattern"]) for r in packed.select("grp", "mask", "pattern").collect())
-    ids = np.array([g for g, _, _ in upper], np.int64)
-    masks = np.array([m for _, m, _ in upper], np.int64).view(np.uint64)
-    patterns = np.array([p for _, _, p in upper], np.int64).view(np.uint64)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for grp, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                fps = np.frombuffer(blob, np.uint64)
-                for k in range(int(np.searchsorted(ids, grp)), len(ids)):
-                    near = fps[_popcount((fps ^ patterns[k]) & masks[k]) <= distance]
-                    if len(near):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([int(ids[k])], pa.int32()), pa.array([grp], pa.int32()), pa.array([near.tobytes()], pa.binary())],
-                            names=["target", "source", "asked"])
-
-    asked = packed.select("grp", "fps").repartition(min(groups, partitions_for(spark) * 4), "grp") \
-        .mapInArrow(route, "target int, source int, asked binary")
-    work = asked.join(packed.select(F.col("grp").alias("target"), "fps"), "target") \
-        .select("target", "source", "asked", "fps").repartition(partitions_for(spark) * 2, "target", "source")
+    found = write_once(turned.repartitionByRange(partitions, "tbl", rank).sortWithinPartitions("tbl", rank)
+                       .mapInArrow(_searched(distance), _PIECE), "simhash-groups")
+
+    # Only keys that lie over several groups: pairs of their pieces, first as
+    # nodes; the shared bits of two nodes prune the pair before any fingerprint moves.
+    pieces = found.where("grp is not null")
+    a, b = (pieces.select("tbl", "key", F.col("grp").alias(f"{c}_grp"), F.col("mask").alias(f"{c}_mask"),
+                          F.col("pattern").alias(f"{c}_pattern")) for c in "ab")
+    apart = F.bit_count(F.col("a_pattern").bitwiseXOR(F.col("b_pattern")).bitwiseAND(F.col("a_mask")).bitwiseAND(F.col("b_mask")))
+    pairs = a.join(b, ["tbl", "key"]).where((F.col("a_grp") < F.col("b_grp")) & (apart <= distance)) \
+        .select("tbl", "key", "a_grp", "b_grp")
+    for c in "ab":
+        pairs = pairs.join(pieces.select("tbl", "key", F.col("grp").alias(f"{c}_grp"), F.col("fps").alias(f"{c}_fps")), ["tbl", "key", f"{c}_grp"])
+    work = pairs.select("tbl", "a_grp", "b_grp", "a_fps", "b_fps").repartition(partitions_for(classes.sparkSession) * 2, "tbl", "a_grp", "b_grp")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for target, source, mine, theirs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                a, b = _links(np.frombuffer(theirs, np.uint64), np.frombuffer(mine, np.uint64), target == source, distance)
-                if len(a):
-                    a, b = a.view(np.int64), b.view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["u", "v"])
+            for tbl, mine, theirs in zip(*(batch.column(i).to_pylist() for i in (0, 3, 4)), strict=True):
+                u, v = _links(np.frombuffer(theirs, np.uint64), np.frombuffer(mine, np.uint64), False, distance)
+                if len(u):
+                    u, v = (_rotated(x, 64 - blocks[tbl][0]).view(np.int64) for x in (u, v))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], names=["u", "v"])
 
-    return work.mapInArrow(meet, "u long, v long").distinct()
+    return found.where("u is not null").select("u", "v").union(work.mapInArrow(meet, "u long, v long")).distinct()
 
 
 # ---- components -------------------------------------------------------------

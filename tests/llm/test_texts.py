@@ -84,6 +84,27 @@ def test_many_groups_give_the_same_components(sample, monkeypatch):
     assert rows(S.simhash_groups(sample), "doc_id", "fingerprint", "component_id") == plain_components(data)
 
 
+def test_links_over_groups_equal_all_pairs(spark, monkeypatch):
+    """Near fingerprints by random flips, and many that share a whole key of one
+    order, so that it lies over several groups and partitions."""
+    monkeypatch.setattr(S, "GROUP_FINGERPRINTS", 16)
+    rng = np.random.default_rng(5)
+    seeds = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (60, 4, 3)).astype(np.uint64)
+    near = (seeds[:, None] ^ np.bitwise_xor.reduce(flips, axis=2)).ravel()
+    one_key = (np.uint64(0xABCD) << np.uint64(32)) | (rng.integers(0, 1 << 64, 150, dtype=np.uint64) & np.uint64(0xFFFF00000000000F))
+    fps = np.unique(np.concatenate([seeds, near, one_key]))
+    for distance in (0, 3, 6):
+        linked = np.argwhere(np.bitwise_count(fps[:, None] ^ fps[None, :]) <= distance)
+        wanted = S._roots(len(fps), linked[:, 0], linked[:, 1], np.arange(len(fps)))
+        given = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long").repartition(5)
+        got = [(r.u, r.v) for r in S.links(given, distance).collect()]
+        assert all(u > v for u, v in got)
+        place = {int(f): k for k, f in enumerate(fps.view(np.int64))}
+        a, b = (np.array([place[x[k]] for x in got], np.int64) for k in (0, 1))
+        assert np.array_equal(S._roots(len(fps), a, b, np.arange(len(fps))), wanted)
+
+
 def test_components_of_a_hub_and_a_chain(spark):
     edges = [(0, k) for k in range(1, 60)] + [(k, k + 1) for k in range(100, 160)]
     got = dict(rows(S.components(spark.createDataFrame(edges, "u long, v long")), "node", "root"))
