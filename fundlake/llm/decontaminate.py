@@ -9,15 +9,17 @@ length bounds), and is verified word by word.
 
 The windows are a stated query set. They are cut into blocks of at most
 ``BLOCK_WINDOWS``, written as files in the shared folder, and every task runs
-its texts against one block after the other. So nothing is broadcast, texts are
-not shuffled, and a hot passage costs no more than its length.
+groups of about ``GROUP_BYTES`` of its texts against one block after the other.
+A group's words are numbered and their places listed once, so a block costs its
+loading, once a group, and work by the candidates that it has there. Nothing is
+broadcast, texts are not shuffled, and a hot passage costs no more than its length.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +27,66 @@ import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fundlake.llm.common import BY_ALNUM, Words, map_texts, open_store, partitions_for, ranges, text_slices, work_path
+from fundlake.llm.common import BY_ALNUM, Words, open_store, ranges, text_slices, work_path
 
 WINDOW = 10
 BLOCK_WINDOWS = 200_000
 BLOCK_WORDS = 1_000_000
+#: Text bytes that one reading of a block serves; a longer text is a group of its own.
+GROUP_BYTES = 32 << 20
 #: Candidates verified at once.
 CANDIDATES = 1 << 20
 
 
+class Coded:
+    """A run of texts as word numbers, with the places of each word."""
+
+    def __init__(self, rows: pa.Array | None, offsets: np.ndarray, data: bytes):
+        w = Words(offsets, data, BY_ALNUM)
+        codes, self.words = w.coded()
+        self.rows, self.doc_first = rows, w.doc_first
+        # Numpy sorts 16-bit numbers by radix.
+        self.codes = codes.astype(np.uint16 if len(self.words) <= 1 << 16 else np.int32)
+        self.counts = np.bincount(self.codes, minlength=len(self.words))
+        self.number = np.zeros(0, np.int64)  # of each word in its group
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Where the given words stand, word after word."""
+        order = self._order
+        return order[ranges(self._first[words], self.counts[words])]
+
+    @cached_property
+    def _order(self) -> np.ndarray:
+        return np.argsort(self.codes, kind="stable").astype(np.int32)
+
+    @cached_property
+    def _first(self) -> np.ndarray:
+        return np.cumsum(self.counts) - self.counts
+
+
+def _groups(batches: Iterator[pa.RecordBatch], texts: int, rows: int | None = None) -> Iterator[tuple[list[Coded], pa.Array]]:
+    """Runs of texts of about GROUP_BYTES together, and their distinct words."""
+    def numbered(runs: list[Coded]) -> tuple[list[Coded], pa.Array]:
+        d = pa.concat_arrays([r.words for r in runs]).dictionary_encode()
+        numbers = np.split(d.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum([len(r.words) for r in runs])[:-1])
+        for r, n in zip(runs, numbers, strict=True):
+            r.number = n
+        return runs, d.dictionary
+
+    held, size = [], 0
+    for batch in batches:
+        for at, offsets, data in text_slices(batch.column(texts)):
+            held.append(Coded(None if rows is None else batch.column(rows).slice(at, len(offsets) - 1), offsets, data))
+            size += len(data)
+            if size >= GROUP_BYTES:
+                yield numbered(held)
+                held, size = [], 0
+    if held:
+        yield numbered(held)
+
+
 def windows(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """(item string, words array<binary>): every window of every item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,14 +136,13 @@ def word_counts(docs: DataFrame, text_col: str, vocabulary: DataFrame) -> DataFr
     files = _files(vocabulary.select("word", F.lit(0).cast("long").alias("n")).repartition(max(1, -(-n // BLOCK_WORDS)), "word"), "vocabulary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, offsets, data in text_slices(batch.column(0)):
-                codes, words = Words(offsets, data, BY_ALNUM).coded()
-                seen = np.bincount(codes, minlength=len(words))
-                for path in files:
-                    known = pc.index_in(words, value_set=_word_block(path)[0])
-                    here = pc.is_valid(known)
-                    yield pa.RecordBatch.from_arrays([words.filter(here).cast(pa.binary()), pa.array(seen).filter(here)], names=["word", "n"])
+        for runs, words in _groups(batches, 0):
+            seen = np.zeros(len(words), np.int64)
+            for r in runs:
+                seen[r.number] += r.counts
+            for path in files:
+                here = pc.is_valid(pc.index_in(words, value_set=_word_block(path)[0]))
+                yield pa.RecordBatch.from_arrays([words.filter(here).cast(pa.binary()), pa.array(seen).filter(here)], names=["word", "n"])
 
     seen = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, n long")
     return vocabulary.select("word", F.lit(0).cast("long").alias("n")).union(seen).groupBy("word").agg(F.sum("n").alias("n"))
@@ -120,28 +171,33 @@ class Block:
         self.anchored = np.append(np.bincount(anchor, minlength=len(self.vocabulary)), 0)  # the last: unknown words
         self.anchor_first = np.cumsum(self.anchored) - self.anchored
 
-    def occurrences(self, w: Words, codes: np.ndarray, words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(document, first word, window) of every occurrence."""
-        known = pc.fill_null(pc.index_in(words, value_set=self.vocabulary), len(self.vocabulary)).to_numpy(zero_copy_only=False)
-        text = known[codes]
-        at = np.flatnonzero(self.anchored[text])
-        counts = self.anchored[text[at]]
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The block's number of each word; one past the last for unknown words."""
+        return pc.fill_null(pc.index_in(words, value_set=self.vocabulary), len(self.vocabulary)).to_numpy(zero_copy_only=False)
+
+    def occurrences(self, run: Coded, known: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(document, first word, window) of every occurrence. ``known``: the
+        block's number of each word of the run."""
+        hot = np.flatnonzero(self.anchored[known])
+        at = run.places(hot) if len(hot) else hot
+        anchor = np.repeat(known[hot], run.counts[hot])
+        counts = self.anchored[anchor]
         ends = np.cumsum(counts)
         lo = 0
         while lo < len(at):
             hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CANDIDATES, "right")))
             c = counts[lo:hi]
-            win = self.by_anchor[ranges(self.anchor_first[text[at[lo:hi]]], c)]
-            pos = np.repeat(at[lo:hi], c)
+            win = self.by_anchor[ranges(self.anchor_first[anchor[lo:hi]], c)]
+            pos = np.repeat(at[lo:hi], c).astype(np.int64)
             lo = hi
-            doc = np.searchsorted(w.doc_first, pos, "right") - 1
+            doc = np.searchsorted(run.doc_first, pos, "right") - 1
             begin = pos - self.offset[win]
-            ok = (begin >= w.doc_first[doc]) & (begin + self.size[win] <= w.doc_first[doc + 1])
+            ok = (begin >= run.doc_first[doc]) & (begin + self.size[win] <= run.doc_first[doc + 1])
             doc, begin, win = doc[ok], begin[ok], win[ok]
             for j in range(int(self.size[win].max()) if len(win) else 0):
                 short = self.size[win] <= j
                 step = np.where(short, 0, j)
-                ok = short | (text[begin + step] == self.words[self.first[win] + step])
+                ok = short | (known[run.codes[begin + step]] == self.words[self.first[win] + step])
                 doc, begin, win = doc[ok], begin[ok], win[ok]
             if len(win):
                 yield doc, begin, win
@@ -196,26 +252,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carry: list[str], text_
     repeated items count once. With no items nothing is contaminated."""
     files = index_blocks(docs, benchmark, item_col, item_text, text_col, window)
 
-    def work(offsets: np.ndarray, data: bytes) -> list[pa.Array]:
-        w = Words(offsets, data, BY_ALNUM)
-        codes, words = w.coded()
-        n = len(offsets) - 1
-        edge = np.zeros(len(codes) + 1, np.int64)
-        items: dict[int, set[str]] = {}
-        for path in files:
-            block = _block(path)
-            for doc, begin, win in block.occurrences(w, codes, words):
-                np.add.at(edge, begin, 1)
-                np.add.at(edge, begin + block.size[win], -1)
-                named = block.item[win] >= 0
-                pairs = np.unique(doc[named] * (len(block.items) + 1) + block.item[win[named]])
-                for d, k in zip(*(x.tolist() for x in np.divmod(pairs, len(block.items) + 1)), strict=True):
-                    items.setdefault(d, set()).add(block.items[k])
-        hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
-        n_hit = hit[w.doc_first[1:]] - hit[w.doc_first[:-1]]
-        none = hashlib.sha256(b"").hexdigest()
-        return [pa.array(np.diff(w.doc_first)), pa.array(n_hit), pa.array([len(items.get(d, ())) for d in range(n)], pa.int64()),
-                pa.array([hashlib.sha256(",".join(sorted(items[d])).encode()).hexdigest() if d in items else none for d in range(n)]),
-                pa.array(n_hit > 0)]
-
-    return map_texts(docs, text_col, carry, "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean", work)
+    fields = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    schema = T.StructType([given.schema["row"], *T.StructType.fromDDL(fields).fields])
+    none = hashlib.sha256(b"").hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for runs, words in _groups(batches, 1, 0):
+            edges = [np.zeros(len(r.codes) + 1, np.int64) for r in runs]
+            items: list[dict[int, set[str]]] = [{} for _ in runs]
+            for path in files:
+                block = _block(path)
+                known = block.numbers(words)
+                for r, edge, found in zip(runs, edges, items, strict=True):
+                    for doc, begin, win in block.occurrences(r, known[r.number]):
+                        np.add.at(edge, begin, 1)
+                        np.add.at(edge, begin + block.size[win], -1)
+                        named = block.item[win] >= 0
+                        pairs = np.unique(doc[named] * (len(block.items) + 1) + block.item[win[named]])
+                        for d, k in zip(*(x.tolist() for x in np.divmod(pairs, len(block.items) + 1)), strict=True):
+                            found.setdefault(d, set()).add(block.items[k])
+            for r, edge, found in zip(runs, edges, items, strict=True):
+                hit = np.concatenate([[0], np.cumsum(np.cumsum(edge[:-1]) > 0)])
+                n_hit = hit[r.doc_first[1:]] - hit[r.doc_first[:-1]]
+                n = len(r.rows)
+                yield pa.RecordBatch.from_arrays([
+                    r.rows, pa.array(np.diff(r.doc_first)), pa.array(n_hit), pa.array([len(found.get(d, ())) for d in range(n)], pa.int64()),
+                    pa.array([hashlib.sha256(",".join(sorted(found[d])).encode()).hexdigest() if d in found else none for d in range(n)]),
+                    pa.array(n_hit > 0)], names=schema.names)
+
+    return given.mapInArrow(run, schema)

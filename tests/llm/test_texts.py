@@ -164,6 +164,7 @@ def test_decontaminate(edge, empty, benchmark, monkeypatch):
     assert decon(edge, benchmark) == plain_hits(data, items)
     monkeypatch.setattr(D, "BLOCK_WINDOWS", 1)  # several blocks give the same
     monkeypatch.setattr(D, "BLOCK_WORDS", 3)
+    monkeypatch.setattr(D, "GROUP_BYTES", 100)  # and several groups
     assert decon(edge, benchmark) == plain_hits(data, items)
     assert decon(empty, benchmark) == []
     assert not any(r[-1] for r in decon(edge, benchmark.where("false")))
