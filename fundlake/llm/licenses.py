@@ -1,7 +1,7 @@
 """License scan: ordered signature rules on the words of a text.
 
 A rule is a sequence of words (``a|b`` alternatives, ``?`` optional) that a
-license notice, name, tag or clue consists of; between two words stands any run
+passage of a license, a notice, name, tag, address or clue consists of; between two words stands any run
 of separators, as between the words of a comment block. A text passes the
 keyword prefilter or is done; of a passing text, only rules whose own keyword
 stands in it run. Each match is an interval of words. Intervals are taken by
@@ -26,8 +26,8 @@ WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 # The phrases and labels that are always scanned for.
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))
 
-NOTICE, VERSIONED, NAMED, CLUE = 3, 2, 1, 0
-RELEVANCE = {NOTICE: 1.0, VERSIONED: 0.9, NAMED: 0.7, CLUE: 0.3}
+TEXT, NOTICE, VERSIONED, NAMED, CLUE = 4, 3, 2, 1, 0
+RELEVANCE = {TEXT: 1.0, NOTICE: 1.0, VERSIONED: 0.9, NAMED: 0.7, CLUE: 0.3}
 
 
 @dataclass(frozen=True)
@@ -95,6 +95,75 @@ CLUES = (
     ("see-license", "licen", "see the? license|licence|copying file? for details"), ("unknown-license", "licen", "licensed|licenced under"),
     ("unknown-license", "licen", "license|licence agreement"), ("unknown-license", "licen", "open source license|licence"),
 )
+# Passages of the licenses themselves and of their standard
+# notices, and where their texts are published: (label, keyword, words).
+TEXTS = (
+    ("mit", "obtaining", "permission is hereby granted free of charge to any person obtaining a copy of this software and? associated? documentation? files? the software to deal in the software without restriction"),
+    ("ncsa", "obtaining", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software without restriction"),
+    ("boost-1.0", "organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("x11", "advertising", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software"),
+    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", "endorse", "nor the names? of its contributors may be used to endorse or promote products derived from this software"),
+    ("bsd-4-clause", "advertising materials", "all advertising materials mentioning features or use of this software must display the following acknowledgement|acknowledgment"),
+    ("isc", "without fee", "permission to use copy modify and or? distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice"),
+    ("0bsd", "without fee", "permission to use copy modify and or? distribute this software for any purpose with or without fee is hereby granted the software is provided as is"),
+    ("postgresql", "written agreement", "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("hpnd", "without fee", "permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted"),
+    ("zlib", "held liable", "provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("apache-2.0", "apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
+    ("apache-2.0", "irrevocable", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright|patent license"),
+    ("apache-1.1", "apache", "this product includes software developed by the apache software foundation"),
+    ("openssl", "openssl", "this product includes software developed by the openssl project for use in the openssl toolkit"),
+    ("php", "php", "this product includes php software freely available from"),
+    ("gpl-2.0", "verbatim", "gnu general public license version 2 june 1991"),
+    ("gpl-2.0", "freedom to share", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3.0", "copyleft", "the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("agpl-3.0", "affero", "the gnu affero general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl-3.0", "lesser", "this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("gnu-license-text", "verbatim", "everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed"),
+    ("wtfpl", "verbatim", "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed as long as the name is changed"),
+    ("gfdl-1.3-or-later", "documentation", "copy distribute and or modify this document under the terms of the gnu free documentation license version 1 3 or any later version"),
+    ("gfdl-1.2-or-later", "documentation", "copy distribute and or modify this document under the terms of the gnu free documentation license version 1 2 or any later version"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("mpl-2.0", "mozilla", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-1.1", "mozilla", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("cddl", "distribution", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("epl-1.0", "eclipse", "accompanying materials are made available under the terms of the eclipse public license v1 0"),
+    ("epl-2.0", "eclipse", "accompanying materials are made available under the terms of the eclipse public license v|version? 2 0"),
+    ("artistic-2.0", "redistributed", "this license establishes the terms under which a given free software package may be copied modified distributed and or redistributed"),
+    ("python-2.0", "licensee", "psf hereby grants|is granting licensee a nonexclusive royalty free world wide license to reproduce analyze test perform"),
+    ("ofl-1.1", "font", "this font software is licensed under the sil open font license version 1 1"),
+    ("cc0-1.0", "waived", "waived all copyright and related or neighboring|neighbouring rights"),
+    ("json", "evil", "the software shall be used for good not evil"),
+    ("beerware", "retain", "as long as you retain this notice you can do whatever you want with this stuff"),
+    ("classpath-exception-2.0", "statically", "linking this library statically or dynamically with other modules is making a combined work based on this library"),
+    ("gcc-exception", "runtime library", "gcc runtime library exception"),
+    ("sspl", "server side", "server side public license|licence"), ("busl", "business source", "business source license|licence"),
+    ("elastic", "elastic", "elastic license|licence 2 0"),
+    ("commons-clause", "commons clause", "the software is provided to you by the licensor under the license as defined below subject to the following condition"),
+    ("apache-2.0", "apache org", "apache org licenses license 2 0"), ("mit", "opensource org", "opensource org licenses|license mit"),
+    ("bsd-2-clause", "opensource org", "opensource org licenses|license bsd 2 clause"), ("bsd-3-clause", "opensource org", "opensource org licenses|license bsd 3 clause"),
+    ("isc", "opensource org", "opensource org licenses|license isc"), ("mpl-2.0", "mozilla org", "mozilla org mpl 2 0"),
+    ("gpl-3.0", "gnu org", "gnu org licenses gpl 3 0"), ("gpl-2.0", "gnu org", "gnu org licenses old licenses gpl 2 0"),
+    ("gpl", "gnu org", "gnu org licenses gpl"), ("lgpl", "gnu org", "gnu org licenses lgpl"), ("agpl", "gnu org", "gnu org licenses agpl"),
+    ("boost-1.0", "boost org", "boost org license 1 0 txt"), ("epl-2.0", "eclipse org", "eclipse org legal epl 2 0"), ("epl-1.0", "eclipse org", "eclipse org legal epl v10"),
+    ("cc-by-4.0", "creativecommons", "creativecommons org licenses by 4 0"), ("cc-by-3.0", "creativecommons", "creativecommons org licenses by 3 0"),
+    ("cc-by-sa-4.0", "creativecommons", "creativecommons org licenses by sa 4 0"), ("cc-by-sa-3.0", "creativecommons", "creativecommons org licenses by sa 3 0"),
+    ("cc-by-nc-4.0", "creativecommons", "creativecommons org licenses by nc 4 0"), ("cc-by-nd-4.0", "creativecommons", "creativecommons org licenses by nd 4 0"),
+    ("cc-by-nc-sa-4.0", "creativecommons", "creativecommons org licenses by nc sa 4 0"), ("cc-by-nc-nd-4.0", "creativecommons", "creativecommons org licenses by nc nd 4 0"),
+    ("cc0-1.0", "publicdomain", "creativecommons org publicdomain zero 1 0"), ("ofl-1.1", "scripts sil", "scripts sil org ofl"),
+)
+# The version clauses of the GNU licenses: (label, words of the name, versions).
+GNU = (("gpl", "gnu general public license|licence", ("1", "2", "3")), ("agpl", "gnu affero general public license|licence", ("3",)),
+       ("lgpl", "gnu lesser general public license|licence", ("2 1", "3")), ("lgpl", "gnu library general public license|licence", ("2",)))
+PUBLISHED = "{} as published by the free software foundation"
+MODIFY = "redistribute it and or modify it under the terms of the "
+# Short names with their versions, also written in one word (GPLv3).
+SHORT = (("gpl", ("2", "3", "2 0", "3 0")), ("lgpl", ("2", "2 1", "3", "3 0")), ("agpl", ("3", "3 0")), ("mpl", ("1 1", "2 0")),
+         ("epl", ("1 0", "2 0")), ("cddl", ("1 0", "1 1")), ("eupl", ("1 1", "1 2")))
+# Tags of license expressions besides those of the families: exceptions and newer licenses.
+TAGS = ("classpath exception 2 0", "gcc exception 3 1", "llvm exception", "linux syscall note", "autoconf exception 3 0", "bison exception 2 2",
+        "font exception 2 0", "openvpn openssl exception", "busl 1 1", "bsl 1 1", "sspl 1 0", "elastic 2 0", "hpnd", "x11", "blueoak 1 0 0", "upl 1 0")
 NOTICES = ("licensed|licenced under the? terms|conditions? of? the? {}", "released|distributed|available|published under the? terms|conditions? of? the? {}",
            "redistribute it and or modify it under the terms of the {}")
 
@@ -157,21 +226,49 @@ def listed() -> list[tuple[str, str, str, int]]:
             for n in NOTICES:
                 add(f.keyword, n.format(name), f.label, NOTICE)
             add(f.keyword, name, f.label, NAMED)
-        for t in f.tags:
-            add("spdx", f"spdx license identifier {t}", f"spdx-{t.replace(' ', '-')}", NOTICE)
+            for v in f.versions:
+                add(f.keyword, f"{name} v{v}", f"{f.label}-{v.replace(' ', '.')}", VERSIONED)
+    for t in tags():
+        add("spdx", f"spdx license identifier {t}", f"spdx-{t.replace(' ', '-')}", NOTICE)
+    for label, k, p in TEXTS:
+        add(k, p, label, TEXT)
+    for label, name, versions in GNU:
+        for v in versions:
+            for start in ("", MODIFY):
+                told = start + PUBLISHED.format(name)
+                add("free software", f"{told} either version {v} of the license|licence or at? your? option? any later version", f"{label}-{v.replace(' ', '.')}-or-later", TEXT)
+                add("free software", f"{told} version {v}", f"{label}-{v.replace(' ', '.')}", TEXT)
+    for name, versions in SHORT:
+        for v in versions:
+            for said in (f"{name} version|v? {v}", f"{name} v{v}", f"{name}v{v}"):
+                add(name, said, f"{name}-{v.replace(' ', '.')}", VERSIONED)
+                add(name, f"licensed|licenced|released|distributed|available under the? {said}", f"{name}-{v.replace(' ', '.')}", NOTICE)
+        add(name, f"licensed|licenced|released|distributed|available under the? {name}", name, NOTICE)
     for label, k, p in CLUES:
         add(k, p, label, CLUE)
     return out
 
 
+def tags() -> list[str]:
+    return [t for f in FAMILIES for t in f.tags] + list(TAGS)
+
+
+#: What stands before a later member of a license expression, on its line.
+EXPRESSION = r"(?<=spdx-license-identifier:[^\n]{0,200}[ )](?:or|and|with)[ (]{1,3})"
+
+
 def rules() -> list[tuple[str, str, str, int]]:
-    """(keyword, regex, label, priority) of the listed rules."""
-    return [(k, pattern(p), label, priority) for k, p, label, priority in listed()]
+    """(keyword, regex, label, priority) of the listed rules, and of each tag as
+    a later member of a license expression (``A OR B``, ``A WITH B``)."""
+    later = [("spdx", "(?i)" + EXPRESSION + pattern(t).removeprefix("(?i)"), f"spdx-{t.replace(' ', '-')}", NOTICE) for t in tags()]
+    return [(k, pattern(p), label, priority) for k, p, label, priority in listed()] + later
 
 
 #: A text without any of these words, or "cc by", holds no match of any rule.
 PREFILTER = ("licen", "spdx", "cc0", "reserved", "proprietary", "permission", "copyright", "domain", "warranty",
-             "redistribut", "creative", "reproduced", "gpl", "mulan", "copying")
+             "redistribut", "creative", "reproduced", "gpl", "mulan", "copying", "endorse", "advertising", "openssl", "apache",
+             "verbatim", "evil", "retain", "statically", "mozilla", "php", "published", "runtime", "dealings", "neighbo", "mpl", "epl",
+             "cddl", "eupl", "scripts", "freedom")
 
 
 def _count(text: Column) -> Column:
@@ -228,7 +325,7 @@ def _kept(found: Column) -> Column:
         return (F.transform(reach, lambda r, p: F.when(~inside & (p <= priority), F.greatest(r, till)).otherwise(r)),
                 F.when(inside, F.array().cast(_HIT)).otherwise(hit))
 
-    return fold_rows(ordered, F.array(*[F.lit(-1)] * 4), _HIT, step)
+    return fold_rows(ordered, F.array(*[F.lit(-1)] * len(RELEVANCE)), _HIT, step)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -5,9 +5,11 @@ import hashlib
 import re
 import zipfile
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pyarrow.fs as pafs
+import regex
 
 from fundlake.llm import warc
 from fundlake.llm.licenses import BASE, listed, rules, scan_licenses
@@ -45,6 +47,52 @@ def test_license_rules_and_suppression(spark):
     assert len(rules()) > 300
 
 
+CASES = [
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+     "(the \"Software\"), to deal in the Software without restriction, including", "mit"),
+    ("Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that:\n * 3. Neither the name of X "
+     "nor the names of its contributors may be used to endorse or promote products\n * derived from this software", "bsd,bsd-3-clause"),
+    ("// SPDX-License-Identifier: MIT OR Apache-2.0\n// or BSD-3-Clause", "spdx-apache-2-0,spdx-mit"),
+    ("SPDX-License-Identifier: (GPL-2.0-only WITH Classpath-exception-2.0) AND ISC", "spdx-classpath-exception-2-0,spdx-gpl-2-0-only,spdx-isc"),
+    ("SPDX-License-Identifier: BSL-1.1", "spdx-bsl-1-1"),
+    ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software "
+     "Foundation, either version 3 of the License, or (at your option) any later version.", "gpl,gpl-3-or-later"),  # gpl: the base label
+    ("modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; version 2.1", "lgpl-2.1"),
+    ("licensed under GPLv3", "gpl-3"), ("see https://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"), ("GPL v2 code", "gpl-2"),
+    ("the SPDX list, MIT or Apache 2.0", ""), ("obtaining a copy of this software", ""), ("a gpl sign", ""), ("everyone is permitted to copy", ""),
+]
+
+
+@cache
+def plain_rules():
+    return [(regex.compile(rx.replace(r"\x{80}", "\x80").replace(r"\x{10FFFF}", "\U0010FFFF")), label, priority)
+            for _, rx, label, priority in rules()]
+
+
+def plain_detections(text):
+    """Every match of every rule, without keywords and prefilter, and of them
+    those that no other of equal or higher priority contains."""
+    hits = []
+    for number, (rx, label, priority) in enumerate(plain_rules()):
+        for m in rx.finditer(text):
+            at = len(alnum(text[:m.start()]))
+            hits.append((at, -at - len(alnum(m.group())), -priority, number, label))
+    hits.sort()
+    return [(at, -back, label) for k, (at, back, low, _, label) in enumerate(hits)
+            if not any(a <= at and b <= back and p <= low for a, b, p, _, _ in hits[:k])]
+
+
+def test_license_detections_against_plain(spark):
+    rng = np.random.default_rng(4)
+    phrases = [sorted(examples(p))[0] for _, p, _, _ in listed()]
+    mixed = [" ".join(str(x) for k in rng.integers(0, len(phrases), 6) for x in (phrases[k], rng.choice(["and", "v2", "or later", "\n//", "the"]))) for _ in range(60)]
+    texts = [t for t, _ in CASES] + mixed
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in got[:len(CASES)]] == [x for _, x in CASES]
+    for r, text in zip(got, texts, strict=True):
+        assert [(d.at, d.till, d.label) for d in r.detections] == plain_detections(text), text
+
+
 def test_license_detections_of_many_matches(spark):
     text = "copyright x and cc by 4.0, " * 3000
     got = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
