@@ -187,3 +187,42 @@ def test_names_with_the_word_total_are_holdings(spark):
     assert sorted(r.sec_name for r in S.statement_holdings(lines, codes).collect()) == ["Northern Total Market Fund", "Total Return Bond Trust"]
     checks = S.statement_reconcile(lines, codes).collect()
     assert len(checks) == 3 and all(r.ok and r.n_items == 2 for r in checks)
+
+
+def test_statements_sharing_a_file_read_as_their_own_files(spark, tmp_dir):
+    import os
+    from fundlake.sources.statements import read_statement_lines
+    texts = ["l1\nl2\fp2a\np2b\f\fp4\nx", "\fstart\nsecond\n\nfourth", TEXT, "", "x\fy\f", "p1\n\fp2\n line\f\n\fz", "last\r\nline"]
+    files = os.path.join(tmp_dir, "one-each"), os.path.join(tmp_dir, "shared")
+    for f in files:
+        os.makedirs(f)
+    for k, v in enumerate(texts):
+        with open(os.path.join(files[0], f"{k}.txt"), "w", encoding="utf-8", newline="") as f:
+            f.write(v + "\n")
+    for name, part in (("a", texts[:4]), ("b", texts[4:])):
+        with open(os.path.join(files[1], f"{name}.txt"), "w", encoding="utf-8", newline="") as f:
+            f.write("".join(v + "\n\u001d\n" for v in part))
+
+    def documents(path, **how):
+        docs = {}
+        for r in read_statement_lines(spark, path, block_lines=2, **how).collect():
+            docs.setdefault(r.doc_id, []).append((r.page, r.line_no, r.line, r.prev_line))
+        return sorted((sorted(d, key=lambda x: x[:2]) for d in docs.values()), key=repr)
+
+    want = documents(files[0])
+    assert len(want) == 6
+    for size in ("128m", "64", "8"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert documents(files[1], document_break="\u001d") == want
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rendered_statements_share_files(spark):
+    from fundlake.plans import fixtures as fx
+    sf = "/root/testdata/sf0.001"
+    path = fx.statements_text(spark, sf)
+    raw = spark.read.text(path)
+    assert raw.where(F.col("value") == fx.DOCUMENT_BREAK).count() == fx.statement_items(spark, sf).select("doc").distinct().count()
+    assert len(raw.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
