@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -43,9 +44,10 @@ def _source_expr(spec: IngestSpec, src: str) -> Column:
     return F.expr(rewrite_transform(t)) if t else F.col(f"`{src}`")
 
 
-def coerce(value: Column, type_text: str) -> tuple[Column, Column]:
-    """(typed value, failure flag). Varchar lengths follow table-insert rules:
-    excess trailing spaces are trimmed, any other excess is a failure."""
+def coerce(value: Column, type_text: str) -> tuple[Column, Callable[[Column], Column]]:
+    """(typed value, failure flag from the typed value once it is a column). Varchar
+    lengths follow table-insert rules: excess trailing spaces are trimmed, any other
+    excess is a failure."""
     m = _VARCHAR.match(type_text)
     if m:
         n = int(m.group(2))
@@ -53,33 +55,36 @@ def coerce(value: Column, type_text: str) -> tuple[Column, Column]:
         over = F.length(s) > n
         only_spaces = F.rtrim(F.substring(s, n + 1, 1 << 30)) == F.lit("")
         typed = F.when(over & only_spaces, F.substring(s, 1, n)).otherwise(s)
-        return typed, F.coalesce(over & ~only_spaces, F.lit(False))
+        return typed, lambda _: F.coalesce(over & ~only_spaces, F.lit(False))
     if type_text.strip().lower() == "string":
-        s = value.cast("string")
-        return s, F.lit(False)
-    typed = value.try_cast(type_text)
-    return typed, value.isNotNull() & typed.isNull()
+        return value.cast("string"), lambda _: F.lit(False)
+    return value.try_cast(type_text), lambda typed: value.isNotNull() & typed.isNull()
 
 
 def validate(raw: DataFrame, spec: IngestSpec) -> DataFrame:
-    """Target columns (typed) + ``_reject_reason`` + ``_source_file`` + ``_raw_record``."""
+    """Target columns (typed) + ``_reject_reason`` + ``_source_file`` + ``_raw_record``.
+    One projection after the other, so that a field is transformed and cast once and
+    not again for every reason that looks at it."""
     by_target = {t: s for s, t in spec.field_mappings}
-    typed_cols, reasons = [], []
-    for c in spec.columns:
+    values, typed_cols, reasons = [], [], []
+    for i, c in enumerate(spec.columns):
         src = by_target.get(c.name)
-        value = _source_expr(spec, src) if src else F.lit(None)
-        typed, bad = coerce(value, c.type)
+        value, typed = F.col(f"_v{i}"), F.col(f"_t{i}")
+        values.append((_source_expr(spec, src) if src else F.lit(None)).alias(f"_v{i}"))
+        cast, flag = coerce(value, c.type)
+        typed_cols.append(cast.alias(f"_t{i}"))
+        bad = flag(typed)
         reasons.append(F.when(bad, F.lit(f"bad value for {c.name}")))
         if not c.nullable:
             reasons.append(F.when(~bad & typed.isNull(), F.lit(f"NULL in NOT NULL column {c.name}")))
-        typed_cols.append(typed.alias(c.name))
     corrupt = F.col(CORRUPT).isNotNull()
     reason = F.when(corrupt, F.lit("malformed record")).otherwise(
         F.nullif(F.concat_ws("; ", *reasons), F.lit("")))
     shown = [F.coalesce(F.col(f"`{s}`"), F.lit(spec.null_marker)) for s in spec.source_fields]
     raw_text = F.when(corrupt, F.col(CORRUPT)).otherwise(F.concat_ws(spec.delimiter, *shown))
-    return raw.select(*typed_cols, reason.alias(REASON), F.col(SOURCE_FILE),
-                      F.when(reason.isNotNull(), raw_text).alias(RAW))
+    told = raw.select("*", *values).select("*", *typed_cols).select("*", reason.alias(REASON))
+    return told.select(*[F.col(f"_t{i}").alias(c.name) for i, c in enumerate(spec.columns)], F.col(REASON), F.col(SOURCE_FILE),
+                       F.when(F.col(REASON).isNotNull(), raw_text).alias(RAW))
 
 
 def accepted(checked: DataFrame, spec: IngestSpec) -> DataFrame:
@@ -90,6 +95,13 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col(REASON).isNotNull()).select(SOURCE_FILE, RAW, REASON)
 
 
+def _as_declared(table: DataFrame, spec: IngestSpec) -> bool:
+    """Whether the table's columns are those that the spec declares, so that staged rows are
+    the table's rows as they stand."""
+    declared = [(f.name, f.metadata.get("__CHAR_VARCHAR_TYPE_STRING", f.dataType.simpleString())) for f in table.schema.fields]
+    return declared == [(c.name, re.sub(r"\s", "", c.type.lower())) for c in spec.columns]
+
+
 @dataclass
 class LoadResult:
     table: str
@@ -171,7 +183,8 @@ def ingest(spark: SparkSession, spec: IngestSpec, path: str | list[str], mode: s
             if spec.partition_by:
                 replace_partitions(spark, table, good, drop_others=mode == "replace")
             else:
-                replace_table_data(spark, table, good)
+                whole = not rows_rejected and not spec.surrogate_id and _as_declared(existing, spec)
+                replace_table_data(spark, table, good, staged_path if whole else None)
             drop_keys(spark, table)
         else:
             append_table_data(spark, table, good)

@@ -255,6 +255,10 @@ def restated_holdings(spark: SparkSession, sf_dir: str, month_end: str) -> str:
     return cached(spark, sf_dir, f"restated_holdings_{month_end}", render)
 
 
+#: Rows of a holdings file: compressed files are read by one task each.
+HOLDINGS_PER_FILE = 250_000
+
+
 def _holdings_file(li: DataFrame, path: str, more: int) -> str:
     mv = (F.col("l_extendedprice").cast("decimal(15,2)") *
           (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
@@ -268,6 +272,7 @@ def _holdings_file(li: DataFrame, path: str, more: int) -> str:
                _text(F.col("l_extendedprice").cast("decimal(15,2)")).alias("cost"),
                _text(F.round(mv, 2) + F.lit(more)).alias("mv"))
        .write.option("header", "true").option("quoteAll", "true").option("emptyValue", "")
+       .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", HOLDINGS_PER_FILE)
        .csv(path))
     return path
 

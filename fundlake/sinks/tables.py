@@ -52,11 +52,14 @@ def append_table_data(spark: SparkSession, name: str, df: DataFrame) -> None:
     _conform(spark, name, df).write.insertInto(name, overwrite=False)
 
 
-def replace_table_data(spark: SparkSession, name: str, df: DataFrame) -> str:
+def replace_table_data(spark: SparkSession, name: str, df: DataFrame, written: str | None = None) -> str:
     """Truncate-then-load (K01/K03) as write-new-then-swap: the table points
-    at its old folder until the new one is fully committed."""
-    new_location = work_path(spark, f"table-{name}")
-    _conform(spark, name, df).write.parquet(new_location)
+    at its old folder until the new one is fully committed. ``written``: a committed
+    folder whose rows are those of ``df`` in the table's types, which becomes the
+    table's own; columns that the table does not have are not read."""
+    new_location = written or work_path(spark, f"table-{name}")
+    if not written:
+        _conform(spark, name, df).write.parquet(new_location)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_location}'")
     spark.sql(f"REFRESH TABLE {name}")
     return new_location

@@ -179,3 +179,33 @@ def test_headered_files_bind_by_name(spark, tmp_dir):
     assert dict(got.dtypes) == {"a": "double", "b": "string", "c": "int"}
     assert sorted(map(tuple, got.select("a", "b", "c").collect()), key=repr) == sorted(
         [(1.0, "x", None), (2.0, None, None), (2.5, "y", None), (None, "8", 7), (3.0, "z", None)], key=repr)
+
+
+def test_a_field_is_cast_once(spark, tmp_dir):
+    path = write(os.path.join(tmp_dir, "a.csv"), "k,n,a,x\n1,ab,2.5,note\n")
+    plan = validate(read_delimited(spark, path, SPEC), SPEC)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as decimal(5,2)") == 1 and plan.count("as bigint") == 1
+
+
+def test_a_clean_replace_writes_its_rows_once(spark, tmp_dir):
+    clean = write(os.path.join(tmp_dir, "clean.csv"), "k,n,a,x\n1,ab,2.5,p\n2,cd,,q\n")
+    mixed = write(os.path.join(tmp_dir, "mixed.csv"), "k,n,a,x\n3,ef,1.5,r\n4,too long,1,s\n")
+    more = write(os.path.join(tmp_dir, "more.csv"), "k,n,a,x\n5,gh,4.5,t\n")
+    def files(t):
+        return [f.rsplit("/", 1)[0].split(":")[-1].lstrip("/") for f in spark.table(t).inputFiles()]
+    def rows(t):
+        return sorted((r.k, r.name, r.amt and float(r.amt), r.note) for r in spark.table(t).collect())
+    t = unique_name("once")
+    r = ingest(spark, SPEC, clean, table=t, on_bad="fail")
+    assert spark.table(t).columns == ["k", "name", "amt", "note"]
+    assert set(files(t)) == {r.staged_path.split(":")[-1].lstrip("/")}
+    ingest(spark, SPEC, more, mode="append", table=t, on_bad="fail")
+    assert rows(t) == [(1, "ab", 2.5, "p"), (2, "cd", None, "q"), (5, "gh", 4.5, "t")] and r.rejects.count() == 0
+    r = ingest(spark, SPEC, mixed, table=t)  # rejected rows do not reach the table
+    assert rows(t) == [(3, "ef", 1.5, "r")] and r.rejects.count() == 1
+    # a table of other types keeps its own
+    other = unique_name("other")
+    spark.sql(f"CREATE TABLE {other} (k INT, name STRING, amt DECIMAL(9,3), note STRING) USING parquet LOCATION '{tmp_dir}/{other}'")
+    ingest(spark, SPEC, clean, table=other, on_bad="fail")
+    assert [f.dataType.simpleString() for f in spark.table(other).schema] == ["int", "string", "decimal(9,3)", "string"]
+    assert rows(other) == [(1, "ab", 2.5, "p"), (2, "cd", None, "q")]
