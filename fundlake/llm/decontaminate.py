@@ -18,7 +18,7 @@ broadcast, texts are not shuffled, and a hot passage costs no more than its leng
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -35,7 +35,7 @@ WINDOW = 10
 BLOCK_WINDOWS = 200_000
 BLOCK_WORDS = 1_000_000
 #: Text bytes that one reading of a block serves; a longer text is a group of its own.
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 12 << 20
 #: Candidates verified at once.
 CANDIDATES = 1 << 20
 
@@ -66,8 +66,10 @@ class Coded:
         return np.cumsum(self.counts) - self.counts
 
 
-def _groups(batches: Iterator[pa.RecordBatch], texts: int, rows: int | None = None) -> Iterator[tuple[list[Coded], pa.Array]]:
-    """Runs of texts of about GROUP_BYTES together, and their distinct words."""
+def _groups(batches: Iterator[pa.RecordBatch], texts: Callable[[pa.RecordBatch], pa.Array],
+            rows: int | None = None) -> Iterator[tuple[list[Coded], pa.Array]]:
+    """Runs of texts of about GROUP_BYTES together, and their distinct words. The taker
+    empties the list when it is done, so that one group is held at a time."""
     def numbered(runs: list[Coded]) -> tuple[list[Coded], pa.Array]:
         d = pa.concat_arrays([r.words for r in runs]).dictionary_encode()
         numbers = np.split(d.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum([len(r.words) for r in runs])[:-1])
@@ -77,7 +79,7 @@ def _groups(batches: Iterator[pa.RecordBatch], texts: int, rows: int | None = No
 
     held, size = [], 0
     for batch in batches:
-        for at, offsets, data in text_slices(batch.column(texts)):
+        for at, offsets, data in text_slices(texts(batch)):
             held.append(Coded(None if rows is None else batch.column(rows).slice(at, len(offsets) - 1), offsets, data))
             size += len(data)
             if size >= GROUP_BYTES:
@@ -136,13 +138,14 @@ def word_counts(docs: DataFrame, text_col: str, vocabulary: DataFrame) -> DataFr
     files = _files(vocabulary.select("word", F.lit(0).cast("long").alias("n")).repartition(max(1, -(-n // BLOCK_WORDS)), "word"), "vocabulary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for runs, words in _groups(batches, 0):
+        for runs, words in _groups(batches, lambda batch: batch.column(0)):
             seen = np.zeros(len(words), np.int64)
             for r in runs:
                 seen[r.number] += r.counts
             for path in files:
                 here = pc.is_valid(pc.index_in(words, value_set=_word_block(path)[0]))
                 yield pa.RecordBatch.from_arrays([words.filter(here).cast(pa.binary()), pa.array(seen).filter(here)], names=["word", "n"])
+            runs.clear()
 
     seen = docs.select(F.col(text_col).cast("string")).mapInArrow(run, "word binary, n long")
     return vocabulary.select("word", F.lit(0).cast("long").alias("n")).union(seen).groupBy("word").agg(F.sum("n").alias("n"))
@@ -254,12 +257,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carry: list[str], text_
 
     fields = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(text_col).cast("string").alias("text"))
+    # Carried texts travel once.
+    inside = carry.index(text_col) if text_col in carry and docs.schema[text_col].dataType == T.StringType() else None
+    if inside is not None:
+        given = given.select("row")
     schema = T.StructType([given.schema["row"], *T.StructType.fromDDL(fields).fields])
     none = hashlib.sha256(b"").hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for runs, words in _groups(batches, 1, 0):
-            edges = [np.zeros(len(r.codes) + 1, np.int64) for r in runs]
+        for runs, words in _groups(batches, lambda batch: batch.column(1) if inside is None else batch.column(0).field(inside), 0):
+            edges = [np.zeros(len(r.codes) + 1, np.int32) for r in runs]
             items: list[dict[int, set[str]]] = [{} for _ in runs]
             for path in files:
                 block = _block(path)
@@ -280,5 +287,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, carry: list[str], text_
                     r.rows, pa.array(np.diff(r.doc_first)), pa.array(n_hit), pa.array([len(found.get(d, ())) for d in range(n)], pa.int64()),
                     pa.array([hashlib.sha256(",".join(sorted(found[d])).encode()).hexdigest() if d in found else none for d in range(n)]),
                     pa.array(n_hit > 0)], names=schema.names)
+            runs.clear(), edges.clear(), items.clear()
 
     return given.mapInArrow(run, schema)

@@ -291,3 +291,23 @@ def test_encode_odd_texts():
     raw = "".join(texts).encode()
     ids, counts = K.encode(np.cumsum([0, *[len(t.encode()) for t in texts]]), raw, path, 2)
     assert ids.tolist() == [x for t in texts for x in [*tok.encode(t, add_special_tokens=False).ids, 2]] and counts.sum() == len(ids)
+
+
+def test_carried_texts_go_to_the_search_once(edge, benchmark):
+    def columns(docs, carry):
+        return D.decontaminate(docs, benchmark, carry)._jdf.queryExecution().analyzed().child().output().size()
+    assert columns(edge, edge.columns) == 1, "the text is in the carried row"
+    assert columns(edge, ["doc_id"]) == 2
+
+
+def test_decontamination_holds_one_group_at_a_time(monkeypatch):
+    import weakref
+    import pyarrow as pa
+    monkeypatch.setattr(D, "GROUP_BYTES", 8)
+    batches = iter([pa.record_batch([pa.array([f"some words of text {k}"])], names=["t"]) for k in range(6)])
+    seen = []
+    for runs, _ in D._groups(batches, lambda b: b.column(0)):
+        assert not any(w() for w in seen)
+        seen += [weakref.ref(r) for r in runs]
+        runs.clear()
+    assert len(seen) == 6
