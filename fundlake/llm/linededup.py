@@ -35,6 +35,8 @@ WINDOW = 2
 DIVISOR = 2
 LEAST_LINES = 2
 LINE_DIGEST = 16
+#: Bytes of a chunk's digest; contents are compared before anything is removed.
+CHUNK_DIGEST = 16
 #: Shorter chunks (bytes without the line ends) stay: blank lines, rules.
 LEAST_BYTES = 32
 #: Repeated passages of more words go whole.
@@ -148,7 +150,7 @@ def _spans(offsets: np.ndarray, data: bytes):
 
 
 def _key(digests: bytes, lo: int, hi: int) -> bytes:
-    return sha256(digests[LINE_DIGEST * lo:LINE_DIGEST * hi]).digest()
+    return sha256(digests[LINE_DIGEST * lo:LINE_DIGEST * hi]).digest()[:CHUNK_DIGEST]
 
 
 def _rows(docs: DataFrame) -> DataFrame:

@@ -91,3 +91,9 @@ def test_bytes_decide_where_digests_collide(spark, monkeypatch):
     docs = spark.createDataFrame([(1, a), (2, b), (3, c), (4, c)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
     assert got == {1: a, 2: b, 3: c, 4: ""}
+
+
+def test_rows_of_chunks_are_narrow(sample):
+    """The digests of all chunks are shuffled twice: half of a sha256 each."""
+    rows = L._rows(sample.selectExpr("doc_id", "xxhash64(text) as th", "coalesce(text, '') as text"))
+    assert {len(r.digest) for r in rows.limit(200).collect()} == {16}
