@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlake.llm.common import BY_SPACE, Words, partitions_for, ranges, text_slices, write_once
-from fundlake.llm.simhash import components, text_digest
+from fundlake.llm.simhash import components, joined_components, text_digest
 
 SHINGLE_WORDS = 5
 LEAST_PERCENT = 85
@@ -207,15 +207,17 @@ def _agreeing(cls, comp, n, sig, side, start: np.ndarray, percent: int) -> Itera
         at = to
 
 
-def _blocks(members: DataFrame, extra: list[str]) -> DataFrame:
+def _blocks(members: DataFrame, classes: DataFrame, extra: list[str]) -> DataFrame:
     """The members of the buckets that hold several components, dealt to pairs of
     blocks (key, i, j) and sorted by them. ``side`` is -1 within one block, else the
-    member's block. A block has about BLOCK classes and BLOCK_SHINGLES shingles."""
+    member's block. A block has about BLOCK classes and BLOCK_SHINGLES shingles.
+    Only members of such buckets take signatures (and ``extra``) from ``classes``."""
     spark = members.sparkSession
     blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
     open_ = members.groupBy("key").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), blocks).where("_a <> _b").select("key", "blocks")
     own = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    return members.join(open_, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+    told = classes.select(F.col("cls").alias("_cls"), "signature", *extra)
+    return members.join(open_, "key").withColumn("own", own).join(told, F.col("cls") == F.col("_cls")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")).alias("side"),
                 "cls", "comp", "n", "signature", *extra) \
         .repartition(partitions_for(spark) * 2, "key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -253,10 +255,10 @@ def _pairs(t: pa.Table, heads: np.ndarray, ends: np.ndarray, percent: int) -> It
     yield from _agreeing(cls, comp, n, sig, side, np.repeat(ends, ends - heads), percent)
 
 
-def best_partners(members: DataFrame, percent: int) -> DataFrame:
+def best_partners(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """For each class at most one pair (u, v), u > v: with the class of another
     component whose signature agrees most with its own in some bucket of ``members``
-    (key, cls, comp, n, signature)."""
+    (key, cls, comp, n); ``classes`` has the signatures."""
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t, heads, ends in _groups(batches):
             cls = t.column(4).to_numpy()
@@ -267,14 +269,15 @@ def best_partners(members: DataFrame, percent: int) -> DataFrame:
                     order = order[np.concatenate([[True], u[order][1:] != u[order][:-1]])]
                     yield pa.RecordBatch.from_arrays([pa.array(u[order]), pa.array(v[order]), pa.array(same[order].astype(np.int32))], names=["u", "v", "same"])
 
-    found = _blocks(members, []).mapInArrow(meet, "u long, v long, same int")
+    found = _blocks(members, classes, []).mapInArrow(meet, "u long, v long, same int")
     found = found.groupBy("u").agg(F.max(F.struct("same", (-F.col("v")).alias("v"))).alias("x")).select("u", (-F.col("x.v")).alias("v"))
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def remaining_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v), u > v, that join the components of ``members`` (key, cls, comp, n,
-    signature, bands) as all links between classes that share a bucket would.
+def remaining_links(members: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v), u > v, that join the components of ``members`` (key, cls, comp, n)
+    as all links between classes that share a bucket would; ``classes`` has the
+    signatures and bands.
 
     A pair is asked in its first shared band only. Sets travel once for each pair of
     blocks in which they are asked, not once for each pair of classes, and of the
@@ -301,7 +304,7 @@ def remaining_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
             part = t.take(pa.array(told))
             yield pa.RecordBatch.from_arrays([*(part.column(k).combine_chunks() for k in (0, 1, 2, 4, 5)), lists], names=["key", "i", "j", "cls", "comp", "partners"])
 
-    asked = _blocks(members, ["bands"]).mapInArrow(ask, "key long, i int, j int, cls long, comp long, partners array<long>")
+    asked = _blocks(members, classes, ["bands"]).mapInArrow(ask, "key long, i int, j int, cls long, comp long, partners array<long>")
     told = asked.join(sets.select("cls", "items"), "cls").select("key", "i", "j", "cls", "comp", "partners", "items") \
         .repartition(partitions_for(members.sparkSession) * 2, "key", "i", "j").sortWithinPartitions("key", "i", "j")
 
@@ -361,27 +364,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     grouped = rows.where("n > 0").groupBy("set_digest").agg(rep, F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
     classes = write_once(grouped.withColumn("cls", F.monotonically_increasing_id()), "minmax-classes")
 
-    spread = classes.select("cls", F.explode("bands").alias("key"))
+    spread = classes.select("cls", "n", F.explode("bands").alias("key"))
     shared = spread.groupBy("key").agg(F.min("cls").alias("pivot"), F.max("cls").alias("_top")).where("pivot <> _top").select("key", "pivot")
     members = write_once(spread.join(shared, "key"), "minmax-members")
-    wanted = members.select("cls").distinct().join(classes.select("cls", "rep"), "cls")
+    wanted = classes.select("cls", "rep").join(members, "cls", "left_semi")
     sets = write_once(full_sets(docs, wanted, id_col, text_col, shingle_words), "minmax-sets")
 
     votes = members.where("cls <> pivot").groupBy("cls", "pivot").count()
     asked = votes.groupBy("cls").agg(F.max(F.struct("count", (-F.col("pivot")).alias("v"))).alias("x")).select(F.col("cls").alias("u"), (-F.col("x.v")).alias("v"))
     asked = write_once(asked, "minmax-asked")
-    links = write_once(confirmed(asked, sets, least_percent), "minmax-links")
-    roots = components(links)
-    told = members.select("key", "cls").join(classes.select("cls", "n", "signature", "bands"), "cls")
+    roots = components(write_once(confirmed(asked, sets, least_percent), "minmax-links"))
 
     def by_component() -> DataFrame:
-        return told.join(roots, told["cls"] == roots["node"], "left").select("key", "cls", F.coalesce("root", "cls").alias("comp"), "n", "signature", "bands")
+        return members.join(roots, members["cls"] == roots["node"], "left").select("key", "cls", F.coalesce("root", "cls").alias("comp"), "n")
 
-    best = best_partners(by_component(), least_percent).join(asked, ["u", "v"], "left_anti")
-    links = links.union(write_once(confirmed(best, sets, least_percent), "minmax-links"))
-    roots = components(links)
-    links = links.union(write_once(remaining_links(by_component(), sets, least_percent), "minmax-links"))
-    roots = components(links)
+    best = write_once(best_partners(by_component(), classes, least_percent).join(asked, ["u", "v"], "left_anti"), "minmax-asked")
+    roots = joined_components(roots, write_once(confirmed(best, sets, least_percent), "minmax-links"))
+    roots = joined_components(roots, write_once(remaining_links(by_component(), classes, sets, least_percent), "minmax-links"))
 
     of_class = classes.join(roots, classes["cls"] == roots["node"], "left").select("set_digest", "rep.doc_id", F.coalesce("root", "cls").alias("root"))
     least = of_class.groupBy("root").agg(F.min("doc_id").alias("component_id"))

@@ -40,6 +40,8 @@ LEAF = 16
 FANOUT = 8
 #: Candidate pairs examined at once by a search; bounds its memory.
 SEARCH_PAIRS = 1 << 21
+#: Links whose nodes' least ones (two rows a link at most) are broadcast.
+BROADCAST_LINKS = 1 << 17
 
 
 # ---- fingerprints -----------------------------------------------------------
@@ -307,11 +309,16 @@ def links(classes: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
 def components(edges: DataFrame, salt: int = 8) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): the smallest node that
     it reaches. Alternating large-star and small-star steps; each step is
-    written to the shared folder. A hub's links are spread over salted keys."""
+    written to the shared folder. A hub's links are spread over salted keys; up to
+    BROADCAST_LINKS links stay where they are, and each node's least one travels."""
     spark = edges.sparkSession
+    width = spark.sparkContext.defaultParallelism
 
-    def star(pairs: DataFrame, keep: Column) -> DataFrame:
+    def star(pairs: DataFrame, keep: Column, few: bool) -> DataFrame:
         least = pairs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        if few:
+            moved, own = F.struct(F.when(keep, F.col("b")).otherwise(F.col("a")).alias("u"), F.col("m").alias("v")), F.struct(F.col("a").alias("u"), F.col("m").alias("v"))
+            return pairs.join(F.broadcast(least.coalesce(width)), "a").select(F.inline(F.array(moved, own))).where("u <> v")
         spread = least.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         salted = pairs.withColumn("s", F.pmod(F.xxhash64("b"), F.lit(salt)).cast("int"))
         return salted.join(spread, ["a", "s"]).where(keep).select(F.col("b").alias("u"), F.col("m").alias("v")) \
@@ -323,11 +330,13 @@ def components(edges: DataFrame, salt: int = 8) -> DataFrame:
         back = spark.read.schema("u long, v long").parquet(path)
         return path, back, tuple(back.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    path, now, seal = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    path, now, seal = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
     while seal[0]:
+        few = seal[0] <= BROADCAST_LINKS
         both = now.selectExpr("u as a", "v as b").union(now.selectExpr("v as a", "u as b"))
-        large = star(both, F.col("b") > F.col("a")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        new_path, after, new_seal = written(star(large.selectExpr("u as a", "v as b"), F.lit(True)))
+        large = star(both, F.col("b") > F.col("a"), few).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        small = star(large.selectExpr("u as a", "v as b"), F.lit(True), few)
+        new_path, after, new_seal = written(small.distinct().coalesce(width) if few else small)
         if new_seal == seal:
             remove_path(spark, new_path)
             break
@@ -336,6 +345,14 @@ def components(edges: DataFrame, salt: int = 8) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def joined_components(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of what gave ``roots`` (node, root) and of further ``links`` (u, v):
+    components already known enter as one link for each node, not as all of theirs."""
+    if links.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links))
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    shingle_words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
     """Near-duplicate groups: one row per row of ``docs`` with ``doc_id``,

@@ -6,6 +6,7 @@ import re
 import numpy as np
 
 from fundlake.llm import minmax as M
+from fundlake.llm import simhash as S
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
@@ -122,3 +123,42 @@ def test_long_sets_span_chunks():
         if len(part):
             v = part[:, None] * M._FACTORS + M._SHIFTS
             assert (least[k] == v.min(0)).all() and (most[k] == v.max(0)).all()
+
+
+def test_rounds_without_new_links_walk_no_components_again(spark, monkeypatch):
+    """Copies that the first round links: the later rounds add no link, and the steps
+    that join components (each of them some shuffles) end with the first."""
+    steps, work_path = [], S.work_path
+    monkeypatch.setattr(S, "work_path", lambda session, name: steps.append(name) or work_path(session, name))
+    rng = random.Random(8)
+    base = [[f"g{g}w{rng.randrange(10**6)}" for _ in range(400)] for g in range(6)]
+    rows = [(k, edited(rng, base[k % 6], k // 6 % 2)) for k in range(24)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string")) == plainly(rows)
+    assert 2 <= len(steps) <= 3
+
+
+def test_components_of_few_and_of_many_links(spark, monkeypatch):
+    """A path, a hub, a cycle, repeated links and loops, added to in a second call."""
+    rng = random.Random(9)
+    edges = [(k, k + 1) for k in range(60)] + [(1000, 1001 + k) for k in range(90)] + [(2000 + k, 2000 + (k + 1) % 7) for k in range(7)] + [(5, 5), (60, 59), (3001, 3000)] * 2
+    more = [(rng.randrange(90), 1000 + rng.randrange(90)), (2003, 3001), (4000, 4001), (4001, 4001)]
+
+    def plain(links):
+        parent = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+        for a, b in links:
+            if a != b:
+                a, b = find(a), find(b)
+                parent[max(a, b)] = min(a, b)
+        return {x: find(x) for x in parent if find(x) != x}
+    first, further = (spark.createDataFrame(e, "u long, v long") for e in (edges, more))
+    for most in (0, 20, 1 << 17):
+        monkeypatch.setattr(S, "BROADCAST_LINKS", most)
+        roots = S.components(first)
+        assert sorted(map(tuple, roots.collect())) == sorted(plain(edges).items())
+        assert sorted(map(tuple, S.joined_components(roots, further).collect())) == sorted(plain(edges + more).items())
+        assert S.joined_components(roots, further.where("false")) is roots
