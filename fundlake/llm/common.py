@@ -36,11 +36,12 @@ BY_ALNUM = _table(bytes(c for c in range(128)
                         if not (0x30 <= c <= 0x39 or 0x41 <= c <= 0x5A or 0x61 <= c <= 0x7A)))
 
 
-def write_once(df: DataFrame, name: str) -> DataFrame:
+def write_once(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: later readers
-    do not recompute it, and a lost executor cannot take it away."""
+    do not recompute it, and a lost executor cannot take it away. ``codec`` is
+    Parquet's (None: the session's); whole texts take less disk under zstd."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

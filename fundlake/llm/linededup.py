@@ -192,7 +192,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     otherwise null ids are the last to own a chunk. Every removed line stays
     where its first copy stands. An empty table gives no rows."""
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")) \
-        .withColumn("th", F.xxhash64("text"))
+        .withColumn("th", F.hash("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("long"))
+    # ``th`` keeps apart rows that share an id. Texts that share both get each other's
+    # digests too, of which each uses only those found in it: 31 bits do.
     # Equal chunks of a task meet before the shuffle.
     repeated = write_once(
         _rows(base).groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.sum("n").alias("n"),
@@ -204,7 +206,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     paired = base.join(found, base["doc_id"].eqNullSafe(found["_id"]) & (base["th"] == found["_th"]), "left").select("doc_id", "cut", "text")
     clashing: set[bytes] = set()
     while True:
-        done = write_once(_removed(paired, frozenset(clashing)), "line-dedup")
+        done = write_once(_removed(paired, frozenset(clashing)), "line-dedup", "zstd")
         proof = done.select(F.explode("proof").alias("p")).groupBy("p.key").agg(F.min("p.content").alias("a"), F.max("p.content").alias("b"))
         # One row for each collision of a digest over the whole corpus.
         new = {bytes(r["key"]) for r in proof.where("a <> b").select("key").collect()}

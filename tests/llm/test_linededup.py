@@ -1,7 +1,12 @@
 """Line dedup: brute force over all runs of lines, recall by lines and words, collisions."""
 
 import random
+from pathlib import Path
+from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
+
+from fundlake.llm import common
 from fundlake.llm import linededup as L
 
 
@@ -97,3 +102,32 @@ def test_rows_of_chunks_are_narrow(sample):
     """The digests of all chunks are shuffled twice: half of a sha256 each."""
     rows = L._rows(sample.selectExpr("doc_id", "xxhash64(text) as th", "coalesce(text, '') as text"))
     assert {len(r.digest) for r in rows.limit(200).collect()} == {16}
+
+
+def test_texts_in_the_work_folder_are_compressed_well(spark, sample, monkeypatch):
+    paths, work_path = {}, common.work_path
+
+    def noted(session, name):
+        paths[name] = work_path(session, name)
+        return paths[name]
+    monkeypatch.setattr(common, "work_path", noted)
+    L.dedup_lines(sample)
+    files = list(Path(urlparse(paths["line-dedup"]).path).glob("*.parquet"))
+    groups = [pq.ParquetFile(f).metadata.row_group(0) for f in files if pq.ParquetFile(f).metadata.num_rows]
+    assert groups and {g.column(c).compression for g in groups for c in range(g.num_columns)} == {"ZSTD"}
+
+
+def test_texts_of_an_id_may_share_their_hash(spark, monkeypatch):
+    """Rows of one id, and of none, whose texts share ``th`` are cut as others are."""
+    rng = random.Random(6)
+    a, b, c = ("\n".join(words(rng, 9) for _ in range(4)) for _ in range(3))
+    docs = [(1, a), (2, f"{a}\nmine {words(rng, 3)}"), (2, f"{b}\n{words(rng, 4)}"), (None, f"{words(rng, 4)}\n{b}"), (None, c), (None, f"{c}\n{a}"), (0, f"{b}\n{a}")]
+    given = spark.createDataFrame(docs, "doc_id long, text string")
+    seen = []
+    rows = L._rows
+    monkeypatch.setattr(L, "_rows", lambda d: rows(seen.append(d) or d))
+    want = sorted((tuple(r) for r in L.dedup_lines(given).collect()), key=repr)
+    assert all(0 <= r.th < 1 << 31 for r in seen[0].collect())
+    monkeypatch.setattr(L.F, "hash", lambda *c: L.F.lit(7))
+    got = sorted((tuple(r) for r in L.dedup_lines(given).collect()), key=repr)
+    assert got == want and sum(r[3] for r in got) >= 5
