@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlake.session import work_path
+from fundlake.session import remove_path, work_path
 
 #: Text bytes handled at once inside a task; bounds the temporary arrays.
 SLICE_BYTES = 4 << 20
@@ -45,13 +45,6 @@ def write_once(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Delete one work folder that nothing reads any more."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 #: Names that Hadoop gives to stores, and Arrow's.
 STORES = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "gs": "gs", "hdfs": "hdfs"}
 

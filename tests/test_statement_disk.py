@@ -3,6 +3,8 @@ group by group, shuffle files dropped, fund names broadcast."""
 
 import gzip
 import os
+import time
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -11,6 +13,9 @@ from pyspark.sql import functions as F
 
 from fundlake.operators import statements as S
 from fundlake.operators.scan import scan_in_place
+from fundlake.plans import fixtures as fx
+from fundlake.plans import statement_queries as Q
+from fundlake.session import shuffles_dropped
 from fundlake.sources.statements import read_statement_lines
 
 FUNDS = ("Example Bond Fund", "Harbour Fund")
@@ -98,3 +103,77 @@ def test_whole_documents_have_the_state_of_all_others(spark, tmp_dir, packed):
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert seen == ({True} if packed else {True, False})
+
+
+def _shuffle_files(spark):
+    return [f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if f.endswith(".data")]
+
+
+def test_shuffle_files_are_dropped_after_the_write(spark, tmp_dir):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = set(_shuffle_files(spark)), spark.conf.get(name)
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(os.path.join(tmp_dir, "dropped"))
+    until = time.time() + 20
+    while set(_shuffle_files(spark)) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not set(_shuffle_files(spark)) - before
+    assert spark.conf.get(name) == held
+    assert spark.read.parquet(os.path.join(tmp_dir, "dropped")).count() == 1000
+
+
+def _tables(spark, folder, lines, funds):
+    day = datetime(1997, 5, 2)
+    li = spark.createDataFrame(
+        [(k, 7, s, n, 3.0, price, 0.0, flag, status, day) for k, (s, n, price, flag, status) in enumerate(lines)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    li.coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(7, "oak peg", "Brand#1", "LARGE TIN")], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{folder}/part.parquet")
+    spark.createDataFrame(funds, "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{folder}/supplier.parquet")
+    return folder
+
+
+def _texts(folder):
+    texts, folder = [], folder.replace("file:", "")
+    for f in os.listdir(folder):
+        if f.startswith("part"):
+            with gzip.open(os.path.join(folder, f), "rt", encoding="utf-8", newline="") as g:
+                texts += g.read().split(f"\n{BREAK}\n")[:-1]
+    return sorted(texts)
+
+
+def test_statement_of_a_key_that_suppliers_share(spark, tmp_dir):
+    sf = _tables(spark, f"{tmp_dir}/t", [(1, 1, 1000.0, "A", "F"), (1, 2, 20.0, "N", "O"), (1, 7, 5.0, None, "F")],
+                 [(1, "Fund B", 1), (1, "Fund A", 1), (1, "Fund A", 2), (2, "Fund without items", 3)])
+    head = lambda sched: ["Fund A", "Fund B", *[x for x in (sched, "May 2, 1997", "Issue", "currency", "Number of units", "Cost", "Fair value") for _ in "ab"]]
+    item = lambda key, n, amounts: f"oak peg Brand#1, lot {key}-{n}, large tin grade, due 1997/05/02 {amounts}"
+    cont = "Schedule of Investment Portfolio (cont’d)"
+    none = [*head(cont), "Line status F (weights in %):", *[item(2, 7, "CAD 3 5 (5)")] * 3, "15 (15)", "15 (15)"]
+    a = [*head("Schedule of Investment Portfolio"), *["Flag A items:"] * 2, "Line status F (weights in %):", *[item(0, 1, "CAD 3 1,000 1,000")] * 3,
+         "3,000 3,000", "Total flag A items 3,000 3,000"]
+    n = [*head(cont), *["Flag N items:"] * 2, "Line status O (weights in %):",
+         *["oak peg Brand#1, lot 1-2,", "large tin grade, due 1997/05/02", "USD 3 20 20"] * 3, "60 60", "Total flag N items 60 60",
+         "Total investments 1,025 1,015", "Total investments 2,050 2,030", "Cash (Bank overdraft) (0.1%) 18", "Cash (Bank overdraft) (0.1%) 9",
+         "Total net assets attributable to holders of redeemable units (100.0%) 1,024",
+         "Total net assets attributable to holders of redeemable units (100.0%) 2,048"]
+    assert _texts(fx.statements_text(spark, sf)) == ["\f".join("\n".join(page) for page in (none, a, n))]
+
+
+def test_statements_are_rendered_group_by_group(spark, tmp_dir, monkeypatch):
+    sf = _tables(spark, f"{tmp_dir}/t", [(s, 1 + (s + i) % 7, 10.0 * i + s, "AN"[i % 2], "FO"[i % 3 % 2]) for i in range(12) for s in range(9)],
+                 [(s, f"Fund {s}", s % 3) for s in range(9)])
+    monkeypatch.setattr(fx, "RENDER_BYTES", 1500)
+    texts, folders = [], []
+    for folder in fx.statement_folders(spark, sf):
+        assert not any(map(os.path.exists, folders))
+        folders.append(folder.replace("file:", ""))
+        texts += _texts(folders[-1])
+    assert len(folders) > 2 and not any(map(os.path.exists, folders))
+    state = {q: sorted(map(repr, Q.__dict__[q](spark, sf).collect())) for q in ("statement_state", "statement_holdings", "statement_reconcile")}
+    assert sorted(texts) == _texts(fx.statements_text(spark, sf)) and len(texts) == 9
+    assert len(state["statement_holdings"]) == 108 and all("ok=True" in r for r in state["statement_reconcile"])
+    monkeypatch.undo()
+    again = f"{tmp_dir}/once"
+    os.symlink(f"{tmp_dir}/t", again)  # another path: nothing kept by path is used again
+    assert state == {q: sorted(map(repr, Q.__dict__[q](spark, again).collect())) for q in state}
