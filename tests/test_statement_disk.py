@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fundlake.operators import lookup
 from fundlake.operators import statements as S
 from fundlake.operators.scan import scan_in_place
 from fundlake.plans import fixtures as fx
@@ -105,6 +106,33 @@ def test_whole_documents_have_the_state_of_all_others(spark, tmp_dir, packed):
     assert seen == ({True} if packed else {True, False})
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_holdings_and_names_shuffle_no_lines(spark, tmp_dir):
+    """Only the few funds are dealt out anew, whatever the threshold for broadcasts."""
+    files, codes = os.path.join(tmp_dir, "files"), _codes(spark, tmp_dir)
+    os.makedirs(files)
+    _shared_file(os.path.join(files, "a.txt.gz"), gzip.open)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = read_statement_lines(spark, files, document_break=BREAK, whole=True)
+        S.statement_state(lines, codes).write.parquet(os.path.join(tmp_dir, "state"))
+        held = S.statement_holdings(None, codes, state=spark.read.parquet(os.path.join(tmp_dir, "state")))
+        assert "SortMergeJoin" not in _plan(held) and _plan(held).count("hashpartitioning") == 1  # of the codes' names
+        assert "SortMergeJoin" not in _plan(S.classify(lines, codes)) and _plan(S.classify(lines, codes)).count("hashpartitioning") == 1
+        before, lookup.BROADCAST_BYTES = lookup.BROADCAST_BYTES, 1  # a table of funds beyond it is joined as any other
+        try:
+            other = S.statement_holdings(lines, codes)
+            assert "SortMergeJoin" in _plan(other)
+            assert sorted(map(repr, other.drop("doc_id").collect())) == sorted(map(repr, held.drop("doc_id").collect()))
+        finally:
+            lookup.BROADCAST_BYTES = before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def _shuffle_files(spark):
     return [f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if f.endswith(".data")]
 
